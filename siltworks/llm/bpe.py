@@ -27,15 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from siltworks.llm.tokens import ChunkIds, chunks_of, read_text
+from siltworks.llm.tokens import LATIN, WORDS, ChunkIds, chunks_of, read_text
 
 #: Entries that a worker's memo tables hold before they are emptied; bounds memory, not results.
 MEMO = 400_000
 
-#: The pattern of word-end BPE files that split letters, single digits and other characters (fixed value),
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: the characters for which its classes are written out, and it over those in lower case.
-LATIN = re.compile("[!-~¡-ſ]*\\Z")
+#: The classes of that pattern over Latin characters in lower case.
 LATIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|[^\\sa-zªµºß-öø-ſ0-9²³¹¼½¾]+")
 
 

@@ -152,7 +152,8 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, id_col: str = "vec
         at = np.flatnonzero(counts > 0)
         return pa.table({"node": pa.array(ids[at], pa.int64()), "links": pa.array(counts[at].astype(np.int64)), "star": pa.array(ids[label[at]], pa.int64())})
 
-    fields = pairs.select("label", "d", "lo", "hi", "tile", "node", "copies", "v")
+    # dealt anew: rows that stand by label and range would put all pairs of one range into one task
+    fields = pairs.repartition("label", "d", "lo", "hi").select("label", "d", "lo", "hi", "tile", "node", "copies", "v")
     found = keep(fields.groupBy("label", "d", "lo", "hi").applyInArrow(compare, "node long, links long, star long"), "links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     linked = components(found.select(F.col("node").alias("a"), F.col("star").alias("b"))).select(F.col("id").alias("node"), "component")

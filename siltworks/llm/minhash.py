@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltworks.llm import url_filter
 from siltworks.llm.shared import components, keep, stars
 
 #: Values in a sketch; shingles in a block of a group (bounds a task unit's memory); standard deviations of slack.
@@ -153,12 +154,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: tuple[int, in
     groups = components(first.join(hubs, "value").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
     groups = groups.select(F.col("id").alias("doc_id"), F.col("component").alias("group"))
 
-    members = source.join(groups, "doc_id").select("group", "doc_id", "text").mapInArrow(shingles, "group long, doc_id long, n long, shingles binary")
+    # a Bloom filter of bounded size keeps the texts of other documents out of the shuffle
+    groups = keep(groups, "groups")
+    wanted = groups.select(F.col("doc_id").cast("string").alias("entry"))
+    near = url_filter.may_hold(source, F.col("doc_id").cast("string"), *url_filter.build_filter(wanted, groups.count()))
+    members = near.join(groups, "doc_id").select("group", "doc_id", "text").mapInArrow(shingles, "group long, doc_id long, n long, shingles binary")
     members = keep(members.where("n > 0"), "members")
     blocks = members.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tiles = dealt.select("group", "doc_id", "shingles", "block", other).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
+    # dealt anew: rows that stand by group would put all tiles of one group into one task
+    tiles = tiles.repartition("group", "lo", "hi")
     edges = tiles.groupBy("group", "lo", "hi").applyInArrow(lambda t: compare(t, num, den), "a long, b long")
     linked = components(edges).select(F.col("id").alias("rep"), "component")
 

@@ -125,7 +125,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
     gain = {k: float((np.bincount(c, gradient, size(*k)) ** 2 / (np.bincount(c, weight, size(*k)) + 1)).sum()) for k, c in cells.items()}
     model.pairs = sorted(sorted(gain), key=lambda k: -gain[k])[:PAIRS]
     flat = [np.zeros(size(*k)) for k in model.pairs]
-    for _ in range(ROUNDS // 4):
+    for _ in range(ROUNDS // 2):
         for k, table in zip(model.pairs, flat, strict=True):
             gradient, weight = residual()
             g, h = np.bincount(cells[k], gradient, len(table)), np.bincount(cells[k], weight, len(table))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -10,8 +11,13 @@ from collections.abc import Callable
 import numpy as np
 
 #: White space as tokenizer patterns have it; str.split() also splits at four control characters.
-SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
+SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 CONTROL = re.compile("[\x1c-\x1f]")
+#: The pattern of word-end BPE files that split letters, single digits and other characters (fixed value),
+#: the characters for which its classes are known, and marks that end a word.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN = re.compile("[!-~¡-ſ]*\\Z")
+MARKS = frozenset(".,;:!?")
 
 
 def read_text(path: str) -> str:
@@ -53,21 +59,19 @@ class ChunkIds(dict):
                 self.clear()
             self[chunk] = found
 
-    def encode_ready(self, fresh: dict[str, bytes]) -> None:
-        """Take in chunks that were encoded together."""
-        for chunk, found in fresh.items():
-            self.put(chunk, found)
-
 
 class LibraryIds:
     """Ids of whole texts by the tokenizers library.
 
     Where the tokenizer drops white space, a text's ids are those of its chunks
-    one after the other, so the chunks of a batch that are not in the memo are
-    encoded in one call; other tokenizers get the whole texts.
+    one after the other. Chunks are remembered in two generations of at most
+    ``limit`` entries; the new ones of a batch are encoded in one call. Where it
+    lower-cases and splits words from other characters, a chunk of Latin
+    characters has the ids of its lower-case form, and one mark after a word has
+    its own, so ``Word,`` needs no call if ``word`` is known.
     """
 
-    def __init__(self, spec: str, limit: int = 500_000):
+    def __init__(self, spec: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -76,24 +80,48 @@ class LibraryIds:
         self.tokenizer.no_padding()
         one = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
         self.by_chunk = one(" a \nb1,c ") == one("a") + one("b1,c")
-        self.chunks = ChunkIds(one, limit)
+        splits = [p["pattern"]["Regex"] for p in (json.loads(spec).get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
+        self.by_word = self.by_chunk and splits == [WORDS] and one("aÀſ1") == one("AÀſ1") == one("aàſ1")
+        self.limit = limit
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(x)}I", *x) for x in (e.ids for e in found)]
 
+    def _learn(self, new: set[str]) -> None:
+        known, old, plain = self.known, self.old, []
+        derived: list[tuple[str, str, str]] = []
+        for chunk in new:
+            found = old.get(chunk)
+            if found is not None:
+                known[chunk] = found
+            elif self.by_word and (chunk.isascii() or LATIN.match(chunk)) and "<" not in chunk:
+                mark = chunk[-1] if chunk[-1] in MARKS and chunk[-2:-1].isalnum() else ""
+                derived.append((chunk, (chunk[:-1] if mark else chunk).lower(), mark))
+            else:
+                plain.append(chunk)
+        needed = {x for _, *parts in derived for x in parts if x}.difference(known)
+        for x in needed.intersection(old):
+            known[x] = old[x]
+        plain += needed.difference(known)
+        known.update(zip(plain, self._ids(plain), strict=True))
+        known[""] = b""
+        for chunk, word, mark in derived:
+            known[chunk] = known[word] + known[mark]
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null: none."""
         if not self.by_chunk:
             return self._ids([x or "" for x in texts])
-        known, out = self.chunks, []
-        for text in texts:
-            chunks = chunks_of(text)
-            if new := [x for x in set(chunks) if x not in known and x not in known.old]:
-                fresh = dict(zip(new, self._ids(new), strict=True))
-                known.encode_ready(fresh)
-            out.append(b"".join(map(known.__getitem__, chunks)))
-        return out
+        chunks = [chunks_of(x) for x in texts]
+        distinct = set().union(*chunks)
+        if len(self.known) >= self.limit:
+            self.known, self.old = {}, self.known
+        if new := distinct.difference(self.known):
+            self._learn(new)
+        return [b"".join(map(self.known.__getitem__, x)) for x in chunks]
 
 
 _LOADED: dict[int, LibraryIds] = {}

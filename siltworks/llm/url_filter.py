@@ -58,6 +58,16 @@ def build_filter(listed: DataFrame, entries: int) -> tuple[DataFrame, int]:
     return bits.groupBy("block").agg(*(F.bit_or(f"w{w}").alias(f"w{w}") for w in range(4))), blocks
 
 
+def may_hold(df: DataFrame, key: Column, blooms: DataFrame, blocks: int) -> DataFrame:
+    """The rows of ``df`` whose key passes the filter: all that are listed, and a few others."""
+    names = df.columns
+    passed = df.withColumns({"__key": key, "block": block_of(key, blocks)}).join(F.broadcast(blooms), "block")
+    for w in range(4):
+        mask = mask_of(F.col("__key"), w)
+        passed = passed.where(F.col(f"w{w}").bitwiseAND(mask) == mask)
+    return passed.select(*names)
+
+
 def judge(pages: DataFrame, listed: DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Rows (page_id, host, path, rule, verdict, listed), one for each page.
 
@@ -95,12 +105,7 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow", id_col: s
     distinct = parsed.select("host", "path").distinct()
     keys = distinct.select("host", "path", F.explode(looked_up).alias("entry"))
     blooms, blocks = build_filter(rules, shape["n"])
-    keyed = keys.withColumn("block", block_of(F.col("entry"), blocks))
-    passed = keyed.join(F.broadcast(blooms), "block")
-    for w in range(4):
-        mask = mask_of(F.col("entry"), w)
-        passed = passed.where(F.col(f"w{w}").bitwiseAND(mask) == mask)
-    passed = passed.select("host", "path", "entry")
+    passed = may_hold(keys, F.col("entry"), blooms, blocks)
     exact = F.broadcast(rules) if shape["n"] <= SMALL_LIST else rules
     fits = passed.join(exact, "entry").groupBy("host", "path").agg(F.max(F.struct("given", F.length("entry").alias("n"), "entry", "verdict")).alias("best"))
     # AQE splits a hot host and path on the side of the pages
