@@ -15,9 +15,12 @@ each sketch and stays out of the lists.
 
 *Groups.* Lists become groups by a star from each list's smallest document, so
 a long list costs as many rows as it has documents. Every link lies in one group.
-Groups are dealt into blocks of bounded size, and each pair of blocks is one task
-unit: the estimate by the union's bottom-k rules pairs out, the exact Jaccard on
-the full sets confirms the others.
+Groups are dealt into blocks of bounded size. A group that fills more than one is
+first compared with a few of its own documents, its leaders: what a leader links
+is one cell, and two documents of a cell need no comparison. Then each pair of
+blocks that may still join two cells is one task unit, where the exact Jaccard on
+the full sets confirms links. A large group of near copies so costs as many
+comparisons as it has documents, not their square.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.llm import url_filter
@@ -35,6 +38,8 @@ from siltworks.llm.shared import components, keep, stars
 
 #: Values in a sketch; shingles in a block of a group (bounds a task unit's memory); standard deviations of slack.
 SKETCH, BLOCK, SLACK = 64, 100_000, 5
+#: Leaders of a group of several blocks; what a document weighs in a block besides its shingles.
+LEADERS, ROW = 16, 32
 #: Words whose hash a worker remembers.
 MEMO = 1_000_000
 
@@ -78,9 +83,8 @@ def needed_share(num: int, den: int, k: int = SKETCH) -> float:
 
 
 def compare(tile: pa.Table, num: int, den: int) -> pa.Table:
-    """Star edges (a, b) of the links between the two blocks of a tile, or inside its one block."""
+    """Star edges (a, b) of the links between a tile's left and its right documents, which may be the same."""
     ids = tile["doc_id"].to_numpy()
-    blocks, lo, hi = tile["block"].to_numpy(), tile["lo"][0].as_py(), tile["hi"][0].as_py()
     sets = [np.frombuffer(x.as_buffer(), np.int64) for x in tile["shingles"]]
     sizes = np.array([len(x) for x in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -91,7 +95,7 @@ def compare(tile: pa.Table, num: int, den: int) -> pa.Table:
     owner, column = owner[used], place[column[used]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    rows, cols = np.flatnonzero(blocks == lo), np.flatnonzero(blocks == hi)
+    rows, cols = np.flatnonzero(tile["left"].to_numpy()), np.flatnonzero(tile["right"].to_numpy())
     common = np.zeros((len(rows), len(cols)), np.float32)
     width = 2048
     for start in range(0, int(shared.sum()), width):
@@ -109,6 +113,47 @@ def compare(tile: pa.Table, num: int, den: int) -> pa.Table:
     return pa.table({"a": pa.array(ids[label[at]], pa.int64()), "b": pa.array(ids[at], pa.int64())})
 
 
+def links_inside(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) that connect what links connect inside each group of ``members`` (group, doc_id, n, shingles)."""
+    slim = members.groupBy("group", "doc_id").agg(F.sum("n").alias("n"))
+    blocks = F.ceil(F.sum(F.col("n") + ROW) / BLOCK).cast("int").alias("blocks")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+
+    def place(lo: Column, hi: Column, left: Column, right: Column) -> list[Column | str]:
+        return ["group", "doc_id", lo.cast("string").alias("lo"), hi.cast("string").alias("hi"), left.alias("left"), right.alias("right")]
+
+    def compared(places: DataFrame) -> DataFrame:
+        tiles = members.select("group", "doc_id", "shingles").join(places, ["group", "doc_id"])
+        # dealt anew: rows that stand by group would put all tiles of one group into one task
+        return tiles.repartition("group", "lo", "hi").groupBy("group", "lo", "hi").applyInArrow(lambda t: compare(t, num, den), "a long, b long")
+
+    open_cell = F.lit("open")
+    celled, found = slim.withColumn("cell", open_cell), None
+    large = keep(slim.groupBy("group").agg(blocks).where("blocks > 1"), "large-groups")
+    if not large.isEmpty():
+        inside = slim.join(large, "group").select("group", "doc_id", "blocks")
+        order = Window.partitionBy("group").orderBy(F.xxhash64("doc_id"), "doc_id")
+        leaders = inside.withColumn("k", F.row_number().over(order)).where(F.col("k") <= LEADERS)
+        leaders = leaders.select("group", "doc_id", every.alias("block"))
+        at = F.col("block")
+        led = inside.withColumn("block", own).select(*place(at, at, F.lit(True), F.lit(False)))
+        found = keep(compared(led.unionByName(leaders.select(*place(at, at, F.lit(False), F.lit(True))))), "leader-links")
+        cells = components(found).select(F.col("id").alias("doc_id"), F.col("component").cast("string").alias("cell"))
+        celled = slim.join(cells, "doc_id", "left").withColumn("cell", F.coalesce("cell", open_cell))
+    units = celled.groupBy("group", "cell").agg(blocks)
+    part = lambda k: F.concat_ws(":", "cell", k)
+    parts = units.select("group", "cell", every.alias("k")).select("group", "cell", part(F.col("k")).alias("part"))
+    lo, hi = F.col("x.part"), F.col("y.part")
+    pairs = parts.alias("x").join(parts.alias("y"), "group").where((lo <= hi) & ((F.col("x.cell") == open_cell) | (F.col("x.cell") != F.col("y.cell"))))
+    pairs = pairs.select("group", lo.alias("lo"), hi.alias("hi"))
+    ends = pairs.select("group", "lo", "hi", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("part"))
+    dealt = celled.join(units, ["group", "cell"]).select("group", "doc_id", part(own).alias("part")).join(ends, ["group", "part"])
+    lo, hi = F.col("lo"), F.col("hi")
+    rest = compared(dealt.select(*place(lo, hi, F.col("part") == lo, F.col("part") == hi)))
+    return rest if found is None else rest.unionByName(found)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept), one for each row of ``docs``.
 
@@ -160,13 +205,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: tuple[int, in
     near = url_filter.may_hold(source, F.col("doc_id").cast("string"), *url_filter.build_filter(wanted, groups.count()))
     members = near.join(groups, "doc_id").select("group", "doc_id", "text").mapInArrow(shingles, "group long, doc_id long, n long, shingles binary")
     members = keep(members.where("n > 0"), "members")
-    blocks = members.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tiles = dealt.select("group", "doc_id", "shingles", "block", other).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
-    # dealt anew: rows that stand by group would put all tiles of one group into one task
-    tiles = tiles.repartition("group", "lo", "hi")
-    edges = tiles.groupBy("group", "lo", "hi").applyInArrow(lambda t: compare(t, num, den), "a long, b long")
+    edges = links_inside(members, num, den)
     linked = components(edges).select(F.col("id").alias("rep"), "component")
 
     answer = classes.select(*key, "rep").join(linked, "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))

@@ -15,13 +15,13 @@ def op1_bpe(spark, sf_dir):
 
 
 def op2_url_filter(spark, sf_dir):
-    listed = [(entry, verdict, True) for entry, verdict in RULES] + [(f"{host}/", "block", False) for host in SPAM_HOSTS]
+    listed = [(entry, verdict, True) for entry, verdict in RULES] + [(f"{site}.example.{zone}/", "block", False) for site in SPAM_SITES for zone in ZONES]
     return url_filter.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(listed, "entry string, verdict string, given boolean"))
 
 
-#: The given rules, and hosts whose pages the block list has (fixed values).
+#: The given rules, and the sites in each zone that the block list has (fixed values).
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
-SPAM_HOSTS = ["spam-farm.example.org", "cheap-pills.example.com"]
+SPAM_SITES, ZONES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"], ["com", "net", "org"]
 
 
 def op3_html(spark, sf_dir):
@@ -71,9 +71,10 @@ WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, inst
 b AS (SELECT page_id, coalesce(regexp_extract(rest, '^[^?#]*'), '') AS bare FROM p),
 h AS (SELECT page_id, translate(regexp_extract(bare, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              CASE WHEN instr(bare, '/') > 0 THEN substr(bare, instr(bare, '/')) ELSE '' END AS path FROM b),
+s(site) AS (VALUES ('ads-track'), ('adult-x'), ('casino-win'), ('cheap-pills'), ('free-bets'), ('spam-farm')), z(zone) AS (VALUES ('com'), ('net'), ('org')),
 r(rule, rhost, rpath, verdict, given) AS (VALUES ('net/', 'net', '/', 'block', true), ('example.net/en/', 'example.net', '/en/', 'allow', true),
-  ('example.com/de/', 'example.com', '/de/', 'block', true), ('org/fr/', 'org', '/fr/', 'allow', true),
-  ('spam-farm.example.org/', 'spam-farm.example.org', '/', 'block', false), ('cheap-pills.example.com/', 'cheap-pills.example.com', '/', 'block', false)),
+  ('example.com/de/', 'example.com', '/de/', 'block', true), ('org/fr/', 'org', '/fr/', 'allow', true)
+  UNION ALL SELECT site || '.example.' || zone || '/', site || '.example.' || zone, '/', 'block', false FROM s, z),
 m AS (SELECT page_id, host, path, rule, verdict, given, row_number() OVER (PARTITION BY page_id ORDER BY given DESC NULLS LAST, length(rule) DESC NULLS LAST) AS k
       FROM h LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, CASE WHEN given THEN rule END AS rule, coalesce(verdict, 'allow') AS verdict, CASE WHEN NOT given THEN rule END AS listed FROM m WHERE k = 1
