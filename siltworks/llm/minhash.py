@@ -41,7 +41,7 @@ SKETCH, BLOCK, SLACK = 64, 100_000, 5
 #: Leaders of a group of several blocks; what a document weighs in a block besides its shingles.
 LEADERS, ROW = 16, 32
 #: Words whose hash a worker remembers.
-MEMO = 1_000_000
+MEMO = 300_000
 
 
 class WordHash(dict):

@@ -14,10 +14,10 @@ import numpy as np
 SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 CONTROL = re.compile("[\x1c-\x1f]")
 #: The pattern of word-end BPE files that split letters, single digits and other characters (fixed value),
-#: the characters for which its classes are known, and marks that end a word.
+#: the characters for which its classes are known (not İ, whose lower case is two), and marks that end a word (a run of them is one word).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-LATIN = re.compile("[!-~¡-ſ]*\\Z")
-MARKS = frozenset(".,;:!?")
+LATIN = re.compile("[!-~¡-įı-ſ]*\\Z")
+MARKS = "!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
 
 
 def read_text(path: str) -> str:
@@ -67,11 +67,12 @@ class LibraryIds:
     one after the other. Chunks are remembered in two generations of at most
     ``limit`` entries; the new ones of a batch are encoded in one call. Where it
     lower-cases and splits words from other characters, a chunk of Latin
-    characters has the ids of its lower-case form, and one mark after a word has
-    its own, so ``Word,`` needs no call if ``word`` is known.
+    characters has the ids of its lower-case form, and the marks after a word have
+    their own, so ``Word,`` needs no call if ``word`` is known; new words of letters
+    are encoded as one line and told apart by the ids that end a word.
     """
 
-    def __init__(self, spec: str, limit: int = 800_000):
+    def __init__(self, spec: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -81,7 +82,12 @@ class LibraryIds:
         one = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
         self.by_chunk = one(" a \nb1,c ") == one("a") + one("b1,c")
         splits = [p["pattern"]["Regex"] for p in (json.loads(spec).get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
-        self.by_word = self.by_chunk and splits == [WORDS] and one("aÀſ1") == one("AÀſ1") == one("aàſ1")
+        model = json.loads(spec)["model"]
+        suffix = model.get("end_of_word_suffix") or ""
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for s, i in model["vocab"].items() if s.endswith(suffix)]] = True
+        self.by_word = self.by_chunk and bool(suffix) and splits == [WORDS] and one("aÀſ1") == one("AÀſ1") == one("aàſ1")
         self.limit = limit
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -90,6 +96,15 @@ class LibraryIds:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(x)}I", *x) for x in (e.ids for e in found)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters: each is one word of the tokenizer and has one id that ends it."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        if len(ends) != len(words):
+            return self._ids(words)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
     def _learn(self, new: set[str]) -> None:
         known, old, plain = self.known, self.old, []
         derived: list[tuple[str, str, str]] = []
@@ -98,14 +113,19 @@ class LibraryIds:
             if found is not None:
                 known[chunk] = found
             elif self.by_word and (chunk.isascii() or LATIN.match(chunk)) and "<" not in chunk:
-                mark = chunk[-1] if chunk[-1] in MARKS and chunk[-2:-1].isalnum() else ""
-                derived.append((chunk, (chunk[:-1] if mark else chunk).lower(), mark))
+                word = chunk.rstrip(MARKS)
+                if not word[-1:].isalnum():
+                    word = chunk
+                derived.append((chunk, word.lower(), chunk[len(word) :]))
             else:
                 plain.append(chunk)
         needed = {x for _, *parts in derived for x in parts if x}.difference(known)
         for x in needed.intersection(old):
             known[x] = old[x]
-        plain += needed.difference(known)
+        words = []
+        for x in needed.difference(known):
+            (words if x.isalpha() else plain).append(x)
+        known.update(zip(words, self._words(words), strict=True))
         known.update(zip(plain, self._ids(plain), strict=True))
         known[""] = b""
         for chunk, word, mark in derived:

@@ -39,6 +39,13 @@ def packed(ids):
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def test_library_ids_of_random_chunks():
+    pick, letters = random.Random(5), "aZéÀſİſßªº²½9_'’.,;:!?-#&%«»×÷¿<>|/ \n\tst'sre"
+    texts = ["".join(pick.choice(letters) for _ in range(pick.randint(1, 50))) for _ in range(3000)]
+    found = tokens.library(tokens.read_text(PATH)).encode_batch(texts)
+    assert found == [packed(ids_of(t)) for t in texts]
+
+
 # -- 1 ------------------------------------------------------------------------------------------
 
 
