@@ -17,9 +17,17 @@ CONTROL = re.compile("[\x1c-\x1f]")
 #: the characters for which its classes are known (not İ, whose lower case is two), and marks that end a word (a run of them is one word).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LATIN = re.compile("[!-~¡-įı-ſ]*\\Z")
+LATIN_TEXT = re.compile("[\t-\r !-~¡-įı-ſ]*\\Z")
 MARKS = "!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
 
 
+def spelled_bytes() -> dict[int, int]:
+    """Code point of the printable character that stands for a byte over 127 in byte-level vocabularies -> the byte."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {256 + i: b for i, b in enumerate(rest) if b > 127} | {b: b for b in printable if b > 127}
+
+
 def read_text(path: str) -> str:
     """A tokenizer file, read on the driver; workers get it as a broadcast (bounded by the vocabulary)."""
     with open(path, encoding="utf-8") as f:
@@ -87,6 +95,10 @@ class LibraryIds:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if suffix:
             self.ends[[i for s, i in model["vocab"].items() if s.endswith(suffix)]] = True
+        # the model alone, for lines of lower-case words whose bytes are spelled already
+        bare = {**json.loads(spec), "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": [], "post_processor": None}
+        self.model = Tokenizer.from_str(json.dumps(bare))
+        self.spelling = {b: chr(x) for x, b in spelled_bytes().items()}
         self.by_word = self.by_chunk and bool(suffix) and splits == [WORDS] and one("aÀſ1") == one("AÀſ1") == one("aàſ1")
         self.limit = limit
         self.known: dict[str, bytes] = {}
@@ -98,7 +110,8 @@ class LibraryIds:
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of words of Latin letters: each is one word of the tokenizer and has one id that ends it."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        line = " ".join([x if x.isascii() else x.encode().decode("latin-1").translate(self.spelling) for x in words])
+        ids = np.array(self.model.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
         ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
         if len(ends) != len(words):
             return self._ids(words)
@@ -106,23 +119,25 @@ class LibraryIds:
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, new: set[str]) -> None:
-        known, old, plain = self.known, self.old, []
+        known, old, plain, words = self.known, self.old, [], []
         derived: list[tuple[str, str, str]] = []
         for chunk in new:
             found = old.get(chunk)
             if found is not None:
                 known[chunk] = found
-            elif self.by_word and (chunk.isascii() or LATIN.match(chunk)) and "<" not in chunk:
+            elif not self.by_word or "<" in chunk or not (chunk.isascii() or LATIN.match(chunk)):
+                plain.append(chunk)
+            elif chunk.isalpha() and chunk.islower():
+                words.append(chunk)
+            else:
                 word = chunk.rstrip(MARKS)
                 if not word[-1:].isalnum():
                     word = chunk
                 derived.append((chunk, word.lower(), chunk[len(word) :]))
-            else:
-                plain.append(chunk)
-        needed = {x for _, *parts in derived for x in parts if x}.difference(known)
+        needed = {x for _, *parts in derived for x in parts}.difference(known, words)
+        needed.discard("")
         for x in needed.intersection(old):
             known[x] = old[x]
-        words = []
         for x in needed.difference(known):
             (words if x.isalpha() else plain).append(x)
         known.update(zip(words, self._words(words), strict=True))
@@ -131,11 +146,17 @@ class LibraryIds:
         for chunk, word, mark in derived:
             known[chunk] = known[word] + known[mark]
 
+    def _chunks(self, text: str | None) -> list[str]:
+        """Chunks of a text, in lower case where that is known to change no id."""
+        if text and self.by_word and "<" not in text and (text.isascii() or LATIN_TEXT.match(text)):
+            text = text.lower()
+        return chunks_of(text)
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null: none."""
         if not self.by_chunk:
             return self._ids([x or "" for x in texts])
-        chunks = [chunks_of(x) for x in texts]
+        chunks = [self._chunks(x) for x in texts]
         distinct = set().union(*chunks)
         if len(self.known) >= self.limit:
             self.known, self.old = {}, self.known
