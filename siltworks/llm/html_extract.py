@@ -16,28 +16,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content is text for a parser, not markup (fixed values).
-RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "select")
+#: Elements whose content is text for a parser, not markup, and those of them that run to the page's end without an end tag (fixed values).
+RAW = frozenset("script style noscript template textarea iframe svg math object select".split())
+TO_END = frozenset("script style textarea".split())
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 #: Elements that start a new block (fixed values).
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
 #: Elements that have no end tag (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that are not main text wherever they stand, and those that are not outside an article.
 NEVER, OUTSIDE = frozenset("head nav footer aside form button dialog menu".split()), frozenset(["header"])
-#: Words in class, id or role that mark notices, adverts, menus and reader comments.
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notification|alert|popup|modal|newsletter|subscribe|signup|"
-    r"side-?bar|menu|nav\w*|breadcrumbs?|footer|header|masthead|toolbar|pagination|pager|share|sharing|social|related|recommend\w*|comments?|commentlist|replies|reply|disqus|respond|widget|search|login)(?:$|[\s_-])",
-    re.I,
+#: Names in class, id or role that mark notices, adverts, menus and reader comments; those that mark headers, outside an article only;
+#: those that hold articles of others; and what may stand beside a name in one token. A token counts as a whole, so has-sidebar is none.
+NAMES = (
+    r"ads?\d*|advert\w*|adsense|banner|sponsor\w*|promo|promos|promoted|promotions?|cookies?|consent|gdpr|notices?|notifications?|alerts?|popup|modal|newsletter|subscribe|signup|"
+    r"side-?bar|menu|nav|navbar|navigation|navi|navlist|navmenu|breadcrumbs?|footer|toolbar|pagination|pager|share|sharing|social|widgets?|search|login"
 )
+HEADERS = r"header|masthead"
+OF_OTHERS = r"comments?|commentlist|replies|reply|disqus|respond|related|recommend\w*"
+BESIDE = r"site|main|global|primary|secondary|top|bottom|left|right|mobile|google|area|bar|box|list|wrap|wrapper|container|inner|block|section|slot|unit|links?|buttons?|items?|form|\d+"
+
+
+OF_PARTS = r"posts?|articles?|stories|story|entry|entries|page|blog|users?|readers?"
+
+
+def tokens_of(names: str, beside: str) -> re.Pattern:
+    """Whole tokens that are made of these names and of what may stand beside them."""
+    return re.compile(rf"(?<!\S)(?:(?:{beside})[_-]+)*(?:{names})(?:[_-]+(?:{names}|{beside}))*(?!\S)", re.I)
+
+
+MARKED, MARKED_OTHERS, MARKED_OUTSIDE = tokens_of(f"{NAMES}|{OF_OTHERS}", f"{BESIDE}|{OF_PARTS}"), tokens_of(OF_OTHERS, f"{BESIDE}|{OF_PARTS}"), tokens_of(f"{NAMES}|{HEADERS}", BESIDE)
+#: Headings, which no name marks inside an article.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 ITEM = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?P<rawattrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>(?:.*?</(?P=raw)\s*>|.*\Z)"
     r"|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|(?P<text>(?:[^<]|<(?![A-Za-z/!?]))+)|<",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 SPACE = re.compile(r"\s+")
 
 #: Labelled pages: what stands between the braces is the main region.
@@ -61,21 +78,59 @@ class Part:
 
 
 def parts_of(page: str) -> list[Part]:
-    """The items of a page in order."""
+    """The items of a page in order.
+
+    An article in a marked element counts where the page has no other; if none
+    counts (they stand in a menu, an aside, comments or a note of the source),
+    the page is one without articles.
+    """
     whole_article = bool(re.search(r"<(?:article|main)\b", page, re.I))
+    out, reached = read_parts(page, whole_article, False)
+    if whole_article and not reached:
+        out, reached = read_parts(page, True, True)
+        if not reached:
+            out, _ = read_parts(page, False, False)
+    return out
+
+
+def items_of(page: str):
+    """Matches of ITEM in order, each with whether it is a whole raw element."""
+    at, endless = 0, set()
+    while at < len(page):
+        m = ITEM.match(page, at)
+        at = m.end()
+        tag = m["tag"]
+        if not tag or m["end"] or (tag := tag.lower()) not in RAW:
+            yield m, False
+            continue
+        if tag not in endless and (tag in TO_END or not m["attrs"].endswith("/")):
+            if end := RAW_END[tag].search(page, at):
+                at = end.end()
+            elif tag in TO_END:
+                at = len(page)
+            else:
+                endless.add(tag)
+        yield m, True
+
+
+def read_parts(page: str, whole_article: bool, in_marked: bool) -> tuple[list[Part], bool]:
+    """The items of a page, and whether an article or main of it may be main text; ``in_marked``: an article in a marked element may."""
     out: list[Part] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # tag, unwanted inside, article or main inside
-    unwanted = within = False
-    link = 0
-    for m in ITEM.finditer(page):
+    open_tags: list[tuple[str, bool, str, bool]] = []  # tag, unwanted by a tag inside, by a name inside, article or main inside
+    state = outer = (False, "", False)
+    link, reached = 0, False
+    for m, raw in items_of(page):
+        barred, marked, within = state
+        unwanted = barred or bool(marked)
         if text := m["text"]:
             text = html.unescape(text)
             kind = ("dropped" if within else "unwanted") if unwanted else "outside" if whole_article and not within else "link" if link else "word"
             out.append(Part(kind, len(text.split()), text, not unwanted, False))
             continue
+        if raw:
+            out.append(Part("raw", 0, "", False, False))
+            continue
         if not (tag := m["tag"]):
-            if m["raw"]:
-                out.append(Part("raw", 0, "", False, False))
             continue
         tag = tag.lower()
         breaks = tag in BLOCKS
@@ -88,20 +143,35 @@ def parts_of(page: str) -> list[Part]:
             for k in range(len(open_tags) - 1, -1, -1):
                 if open_tags[k][0] == tag:
                     del open_tags[k:]
-                    unwanted, within = open_tags[-1][1:] if open_tags else (False, False)
+                    state = open_tags[-1][1:] if open_tags else outer
                     break
             continue
         link += tag == "a"
         if tag not in BLOCKS and not m["attrs"].strip():
             continue
-        marked = any(MARKED.search(a or b or c) for a, b, c in ATTRIBUTE.findall(m["attrs"])) and tag not in ("html", "body", "article", "main")
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and open_tags and open_tags[-1][0] == tag:
             open_tags.pop()  # its end tag may be left out
-            unwanted, within = open_tags[-1][1:] if open_tags else (False, False)
-        unwanted = unwanted or tag in NEVER or marked or tag in OUTSIDE and not within
-        within = within or tag in ("article", "main")
-        open_tags.append((tag, unwanted, within))
-    return out
+            barred, marked, within = open_tags[-1][1:] if open_tags else outer
+        if tag in ("article", "main"):
+            if not within and marked != "others" and (in_marked or tag == "main"):
+                marked = ""
+            within = True
+            reached = reached or not (barred or marked)
+        elif marked != "others" and tag not in ("html", "body") and not (within and tag in HEADINGS):
+            marked = mark_of(m["attrs"], within) or marked
+        state = (barred or tag in NEVER or tag in OUTSIDE and not within, marked, within)
+        open_tags.append((tag, *state))
+    return out, reached
+
+
+def mark_of(attrs: str, within: bool) -> str:
+    """How names in class, id or role mark an element: "others" (articles of others), "part" or not at all."""
+    if not attrs or "=" not in attrs:
+        return ""
+    found = [a or b or c for name, a, b, c in ATTRIBUTE.findall(attrs) if name.lower() in ("class", "id", "role")]
+    if any(MARKED_OTHERS.search(x) for x in found):
+        return "others"
+    return "part" if any(MARKED.search(x) or not within and MARKED_OUTSIDE.search(x) for x in found) else ""
 
 
 def fit_weights(pages=LABELLED) -> dict[str, float]:

@@ -144,6 +144,31 @@ def test_html_extraction(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div class='layout has-sidebar'><article><h1>T</h1><p>a b</p></article></div>", "T\na b"),
+        ("<div class='sidebar'><article><p>a b</p></article></div>", "a b"),
+        ("<div class='widget'><main><p>a b</p></main></div>", "a b"),
+        ("<article><h1 class='entry-header'>T</h1><p>a b</p></article>", "T\na b"),
+        ("<article><header class='page-header'><h1>T</h1></header><div class='header'>u</div><p>a b</p></article>", "T\nu\na b"),
+        ("<article><p data-id='share'>a b</p><p class='no-comments'>c d</p></article>", "a b\nc d"),
+        # articles of others stay out, and alone they make no article
+        ("<article><p>a b</p><div class='comments'><article><p>nice</p></article></div></article><div class='related-posts'><article><p>c d e f</p></article></div>", "a b"),
+        ("<div class='post'><p>a b c</p></div><div class='comments'><article><p>nice</p></article></div>", "a b c"),
+        ("<article><p>a b</p><div class='site-footer'>x</div><ul class='post-share'><li>y</ul></article>", "a b"),
+        ("<!-- <article> --><p>a b</p>", "a b"),
+        ("<article><p>one <svg/> two</p><p>three</p>", "one two\nthree"),
+        ("<article><p>one <iframe src='x' /> two</p><p>three</p></article><iframe>no</iframe>", "one two\nthree"),
+        ("<article><p>one <svg><path/> two</p><p>three</p>", "one two\nthree"),
+        ("<article><p>one <svg-icon></svg-icon> two</p><p>three</p>", "one two\nthree"),
+        ("<article><p>one <svg>no</svg> two<script>no</script ><style>no", "one two"),
+    ],
+)
+def test_html_keeps_the_whole_article(page, text):
+    assert html_extract.main_text(page, html_extract.fit_weights()) == text
+
+
 def test_html_of_the_test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in pages.join(html_extract.extract(pages).select("page_id", "text"), "page_id").collect():
