@@ -1,7 +1,7 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-Candidates are assignments to names such as ``token``, keys with known
-prefixes, private key headers and long strings with digits. A random forest
+Candidates are assignments to names with a part such as ``token``, keys with
+known prefixes, whole private key blocks and long strings. A random forest
 over length, character transitions, dictionary coverage, path and neighbouring
 words, fitted on labelled findings, tells secrets from hashes, numbers, paths and
 placeholders. DataFrame functions and Spark's own forest only.
@@ -25,23 +25,34 @@ NEAR_OTHER = "commit|sha|sha1|sha256|md5|hash|checksum|digest|uuid|guid|isbn|iss
 WORDS = "example|sample|placeholder|changeme|change|your|here|dummy|test|foo|bar|the|and|for|with|name|user|page|index|image|photo|file|docs|data|http|html|www|com|org|net|token|secret|password|key|value|none|null|true|false|xxx+"
 #: Prefixes of keys of known kinds (fixed values).
 PREFIX = r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]*)?"
-HEADER = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
-ASSIGNED = rf"(?i:\b(?:{NAMES})[\"']?[ \t]{{0,3}}(?::=|=>|[:=])[ \t]{{0,3}}[\"']?)"
-CANDIDATE = (
-    rf"{HEADER}|\b(?:{PREFIX})|{ASSIGNED}[^\s\"'<>,;]{{6,}}"
-    r"|(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/_.-]{0,64}[0-9])[A-Za-z0-9+/_.-]{16,}={0,2}"
+HEADER = r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+#: A private key up to its end line, or without one its header and the lines of base64 that follow.
+PEM = (
+    rf"{HEADER}(?:(?:[A-Za-z0-9+/=\s:,.\\\"'_()@]|-(?!-))*+-----END [A-Z0-9 ]{{0,30}}PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:\s{0,4}(?:Proc-Type|DEK-Info|Version|Comment): [^\n]{0,200})*+(?:(?:\\[nr]|\s){0,8}[A-Za-z0-9+/=]{16,})*+(?:(?:\\[nr]|\s){1,8}[A-Za-z0-9+/]++={0,2}\s*+\z)?)"
 )
+#: A whole name with one of NAMES in it, its sign, an opening quote.
+ASSIGNED = rf"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z0-9+/_.-]++[\"']?[ \t]{{0,3}}[:=])(?i:(?=[a-z0-9+/_.-]*?(?:{NAMES})))[A-Za-z0-9+/_.-]++[\"']?[ \t]{{0,3}}(?::=|=>|={{1,3}}|:)[ \t]{{0,3}}[\"']?"
+#: A value up to its closing quote; without one up to a space, a quote, a tag, or a comma or semicolon that ends it or has another assignment behind it.
+VALUE = (
+    r"(?:(?<=\")(?:[^\"\\\r\n]|\\.)++(?=\")|(?<=')(?:[^'\\\r\n]|\\.)++(?=')"
+    r"|[^\s\"']+?(?=[,;]{0,3}(?:[\s\"']|</?[A-Za-z][A-Za-z0-9]{0,15}[ ]?/?>|\z)|[,;][A-Za-z_][A-Za-z0-9_.-]{0,63}[ \t]{0,3}[:=]))"
+)
+CANDIDATE = rf"{PEM}|\b(?:{PREFIX})|{ASSIGNED}{VALUE}|(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{{16,}}+={{0,2}}"
 #: Characters of text before and after a candidate that its neighbouring words are taken from.
 BEFORE, AFTER = 40, 24
 #: Labelled findings of each kind, trees of the forest, their depth.
 PER_KIND, TREES, DEPTH, SEED = 60, 24, 6, 7
 
-FEATURES = ["length", "transitions", "digits", "uppers", "hex", "coverage", "path", "assigned", "prefixed", "near_secret", "near_other", "distinct"]
+#: Parts of the long words among the labelled findings (fixed values).
+SYLLABLES = ("ung", "keit", "ver", "schaft", "er", "tion", "ment", "con", "ich", "able", "the", "aire", "ando", "dad", "sch", "be")
+
+FEATURES = ["length", "transitions", "digits", "uppers", "hex", "coverage", "path", "assigned", "prefixed", "near_secret", "near_other", "distinct", "symbols", "spaces", "lower"]
 
 
 def described(found: DataFrame) -> DataFrame:
     """Adds the features to rows with columns before, match, after."""
-    name = F.regexp_extract("match", ASSIGNED, 0)
+    name = F.regexp_extract("match", f"^{ASSIGNED}", 0)
     value = F.when(name != "", F.substr("match", F.length(name) + 1)).otherwise(F.col("match"))
     df = found.withColumns({"value": value, "assigned": (name != "").cast("double")})
     v, n = F.col("value"), F.greatest(F.length("value"), F.lit(1)).cast("double")
@@ -56,10 +67,13 @@ def described(found: DataFrame) -> DataFrame:
             "hex": v.rlike("^[0-9a-f]+$|^[0-9A-F]+$").cast("double"),
             "coverage": F.lit(1.0) - F.length(F.regexp_replace(v, f"(?i:{WORDS})", "")) / n,
             "path": F.regexp_count(v, F.lit("[/.]")).cast("double") + F.coalesce(F.col("before").rlike(r"://\S*$").cast("double"), F.lit(0.0)) * 4,
-            "prefixed": v.rlike(f"^(?:{PREFIX}|{HEADER})$").cast("double"),
+            "prefixed": v.rlike(f"^(?:(?:{PREFIX})$|{HEADER})").cast("double"),
             "near_secret": near(NEAR_SECRET),
             "near_other": near(NEAR_OTHER),
             "distinct": F.size(F.array_distinct(F.split(F.substr(v, F.lit(1), F.lit(64)), ""))) / F.least(n, F.lit(64.0)),
+            "symbols": share("[^A-Za-z0-9\\s]"),
+            "spaces": share(r"\s"),
+            "lower": v.rlike(r"^\p{L}?\p{Ll}*[.,!?:]*$").cast("double"),
         }
     )
 
@@ -72,6 +86,9 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
     digits = lambda salt: F.regexp_replace(F.conv(F.substr(h(salt), F.lit(1), F.lit(14)), 16, 10), "^", "4")
     cut = lambda c, n: F.substr(c, F.lit(1), F.lit(n))
     text = lambda *c: F.concat(*(F.lit(x) if isinstance(x, str) else x for x in c))
+    small = lambda salt: F.translate(h(salt), "0123456789", "ghijklmnop")
+    pick = lambda *words: F.element_at(F.array(*map(F.lit, words)), (F.col("id") % len(words) + 1).cast("int"))
+    long_word = lambda salt: F.concat_ws("", *(F.element_at(F.array(*map(F.lit, SYLLABLES)), (F.conv(F.substr(h(salt), F.lit(k), F.lit(4)), 16, 10).cast("int") % len(SYLLABLES) + 1)) for k in range(1, 30, 5)))
     kinds: list[tuple[str, Column, str, int]] = [
         ("and in the ", text('token = "', cut(h("a"), 40)), '" of it', 1),
         ("set the ", text("password=", cut(h("b"), 18)), " then go", 1),
@@ -84,6 +101,23 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
         ("aws secret key ", text(cut(letters("k"), 40)), " leaked", 1),
         ("his key is ", text(cut(letters("l"), 24), cut(h("l"), 8)), " there", 1),
         ("", F.lit("-----BEGIN RSA PRIVATE KEY-----"), "", 1),
+        ("", text("-----BEGIN PRIVATE KEY-----\n", letters("2"), "\n", letters("3"), "\n", letters("4"), "\n-----END PRIVATE KEY-----"), "", 1),
+        ("set ", text("DB_PASSWORD=", pick("hunter", "dragon", "s3cr3t", "tr0ub", "passw0", "monk3y"), cut(h("5"), 2), pick("x", "dor", "value")), " then", 1),
+        ("export ", text("MY_SECRET=", cut(h("6"), 4), cut(small("6"), 5)), "\n", 1),
+        ("with ", text("access_token: ", cut(small("7"), 16)), " and", 1),
+        ("", text("aws_secret_access_key = ", F.translate(cut(letters("8"), 32), "0123456789", "gHiJkLmNoP")), "\n", 1),
+        ("his key is ", F.translate(cut(letters("9"), 40), "0123456789", "gHiJkLmNoP"), " there", 1),
+        ("set ", text("password=", cut(small("10"), 2), pick(",", ";", "<", "!", "$"), cut(small("11"), 9)), " then", 1),
+        ("set ", text('password="', cut(small("12"), 4), " ", cut(h("12"), 6), pick("!", ",", "#", ";"), " ", cut(small("13"), 4)), '"', 1),
+        ("has ", long_word("14"), " in it", 0),
+        ("", F.initcap(long_word("15")), ". the", 0),
+        ("the ", F.upper(long_word("23")), " of", 0),
+        ("of ", text(long_word("16"), "-", long_word("17")), " as", 0),
+        ("in ", text("src/", long_word("18"), "/", long_word("19"), ".java"), " is", 0),
+        ("", F.repeat(pick("-", "_", ".", "/", "=-", "+"), (F.col("id") % 40 + 16).cast("int")), "\n", 0),
+        ("the ", text(pick("token", "password", "secret", "secretary", "tokenizer", "max_tokens"), ": ", pick("a", "is", "none", "true", "required", "yes", "it", "256", "no.", "the", "null", "1", "Maria", "Smith", "Then", "John")), " of", 0),
+        ("x ", text("password = ", pick("${DB_PASSWORD}", "os.environ[", "get_password()", "<password>", "getpass.getpass()", "********")), "", 0),
+        ("his ", text('secret: "', long_word("20"), " the ", long_word("21"), " and for with ", long_word("22")), '" said', 0),
         ("fixed in commit ", cut(h("m"), 40), " of main", 0),
         ("sha256 of it: ", h("n"), " ok", 0),
         ("md5 checksum ", cut(h("o"), 32), " fits", 0),
@@ -106,7 +140,8 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
 
 def fit(findings: DataFrame) -> RandomForestClassificationModel:
     """A random forest over labelled findings (before, match, after, label)."""
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(described(findings).coalesce(1))
+    # coalesced first, else the features are planned again for each kind
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(described(findings.coalesce(1)))
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features").fit(vectors.select("features", "label"))
 
 
@@ -139,7 +174,7 @@ def findings(docs: DataFrame, model: RandomForestClassificationModel | None = No
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(described(candidates(source)))
     scored = model.transform(vectors)
-    kind = F.when(F.col("match").rlike(f"^{HEADER}$"), "private key").when(F.col("prefixed") == 1, "known key").when(F.col("assigned") == 1, "assigned").otherwise("string")
+    kind = F.when(F.col("match").rlike(f"^{HEADER}"), "private key").when(F.col("prefixed") == 1, "known key").when(F.col("assigned") == 1, "assigned").otherwise("string")
     out = [
         "doc_id",
         (F.col("start") + F.length("match") - F.length("value")).cast("long").alias("start"),
