@@ -189,12 +189,15 @@ def findings(docs: DataFrame, model: RandomForestClassificationModel | None = No
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with the secrets of its texts replaced and n_chars counted anew.
 
-    Rows keep all their columns. Findings are gathered by doc_id, a few short
-    strings for a document; rows without an id or a finding stay as they are.
+    Rows keep all their columns, those without a finding stay as they are. A
+    row's findings are gathered by a hash of its doc_id and text, so rows without
+    an id or with a repeated one are redacted too; what shares a hash is rid of
+    the secrets of both.
     """
-    values = findings(docs, with_value=True).where("is_secret and doc_id is not null").groupBy("doc_id").agg(F.collect_set("value").alias("values"))
+    key = lambda: F.xxhash64(docs["doc_id"], docs["text"])
+    values = findings(docs.select(key().alias("doc_id"), docs["text"]), with_value=True).where("is_secret").groupBy("doc_id").agg(F.collect_set("value").alias("values"))
     values = values.select(F.col("doc_id").alias("__found"), F.reverse(F.array_sort(F.transform("values", lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))))).alias("__values"))
-    joined = docs.join(values, docs["doc_id"] == values["__found"], "left")
+    joined = docs.join(values, key() == values["__found"], "left")
     clean = F.aggregate("__values", F.col("text"), lambda t, x: F.replace(t, x["v"], F.lit(mark)))
     joined = joined.withColumn("text", F.when(F.col("__values").isNull(), F.col("text")).otherwise(clean)).drop("__found", "__values")
     return joined.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else joined

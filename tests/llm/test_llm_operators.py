@@ -439,6 +439,13 @@ def test_secret_places(spark):
         assert text[r.start : r.start + r.length] == r.value
 
 
+def test_redact_without_ids_and_with_repeated_ones(spark):
+    rows = [(None, f'a token = "{HEX}" b'), (None, "no secret"), (None, None), (1, "password=b7db7aa4a5fcc78305"), (1, "other b7db7aa4a5fcc78305")]
+    clean = secrets.redact(spark.createDataFrame(rows, DOCS)).collect()
+    assert {(r.doc_id, r.text) for r in clean} >= {(None, 'a token = "[SECRET]" b'), (None, "no secret"), (None, None), (1, "password=[SECRET]")}
+    assert len(clean) == len(rows)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
