@@ -9,6 +9,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -42,8 +43,9 @@ def packed(ids):
 def test_library_ids_of_random_chunks():
     pick, letters = random.Random(5), "aZéÀſİſßªº²½9_'’.,;:!?-#&%«»×÷¿<>|/ \n\tst'sre"
     texts = ["".join(pick.choice(letters) for _ in range(pick.randint(1, 50))) for _ in range(3000)]
-    found = tokens.library(tokens.read_text(PATH)).encode_batch(texts)
+    found = bpe.bytes_of(*tokens.library(tokens.read_text(PATH)).encode_batch(pa.array(texts)))
     assert found == [packed(ids_of(t)) for t in texts]
+    assert bpe.bytes_of(*bpe.codec(tokens.read_text(PATH)).encode_batch(pa.array(texts))) == found
 
 
 # -- 1 ------------------------------------------------------------------------------------------
@@ -68,16 +70,25 @@ def test_bpe_encode_then_decode(spark):
 def test_automaton_on_random_words():
     codec, rng = bpe.codec(tokens.read_text(PATH)), random.Random(5)
     words = ["".join(rng.choices("etaoinshrdlucmab", k=rng.randint(1, 16))) for _ in range(4000)] + ["".join(chr(rng.randrange(33, 0x800)) for _ in range(6)) for _ in range(500)]
-    assert [codec.encode(w) for w in words] == [packed(ids_of(w)) for w in words]
+    assert bpe.bytes_of(*codec.encode_batch(pa.array(words))) == [packed(ids_of(w)) for w in words]
+    assert bpe.bytes_of(*codec._ids(words)) == [packed(ids_of(w)) for w in words]
 
 
 def test_library_chunks():
-    library = tokens.LibraryIds(tokens.read_text(PATH), limit=50)
+    library = tokens.LibraryIds(tokens.read_text(PATH))
     assert library.by_word
-    for _ in range(3):
-        assert library.encode_batch(ODD) == [packed(ids_of(t)) for t in ODD]
+    assert bpe.bytes_of(*library.encode_batch(pa.array(ODD))) == [packed(ids_of(t)) for t in ODD]
+    assert [len(x) for x in library.encode_batch(pa.array([None, ""], pa.string()))] == [0, 2]
     whole = tokens.LibraryIds(tokens.read_text(public_tokenizers.path("byte_bpe_50k.json")))
-    assert not whole.by_chunk and len(whole.encode_batch(["a  b"])[0]) > 0
+    assert not whole.by_chunk and whole.encode_batch(pa.array(["a  b"]))[1][0] > 0
+
+
+def test_slices_hold_all_rows_in_order():
+    texts = ["a" * n for n in (5, 0, 100, 3, 3, 3, 50)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"t": pa.array(texts)})
+    parts = list(tokens.slices(batch, 0, 10))
+    assert [x for p in parts for x in p.column(0).to_pylist()] == texts
+    assert all(p.num_rows == 1 or sum(len(x or "") for x in p.column(0).to_pylist()) <= 10 for p in parts)
 
 
 # -- 2 ------------------------------------------------------------------------------------------
@@ -237,7 +248,8 @@ def test_packing(spark, length):
 
 
 def test_hilbert_neighbours_touch():
-    keys = {packing.hilbert_key([a, b, c], 2): (a, b, c) for a in range(4) for b in range(4) for c in range(4)}
+    cells = [(a, b, c) for a in range(4) for b in range(4) for c in range(4)]
+    keys = dict(zip(packing.hilbert_keys(np.array(cells), 2).tolist(), cells, strict=True))
     assert sorted(keys) == list(range(64))
     assert all(sum(abs(x - y) for x, y in zip(keys[i], keys[i + 1], strict=True)) == 1 for i in range(63))
 
@@ -386,6 +398,21 @@ def test_topk(spark, n):
     assert {q: sorted(v) for q, v in got.items()} == want
 
 
+@pytest.mark.parametrize(("n", "dims"), [(400, 100), (300, 128)])
+def test_topk_far_neighbours_in_many_dimensions(spark, n, dims):
+    vectors = np.random.default_rng(dims).normal(size=(n, dims))
+    bits = vectors > 0
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(0, vectors[0].tolist()), (n, [])]
+    got = {}
+    for r in topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), query_modulus=100).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.distance, r.neighbour_id))
+    want = {}
+    for q in range(0, n, 100):
+        near = sorted((int((bits[q] != bits[x]).sum()), x) for x in [*range(n), 0] if x != q)[:10]
+        want[q] = [(k + 1, d, x) for k, (d, x) in enumerate(near)]
+    assert {q: sorted(v) for q, v in got.items()} == want and max(v[-1][1] for v in want.values()) > 20
+
+
 def test_topk_of_little(spark):
     schema = "vec_id long, embedding array<float>"
     assert topk.search(spark.createDataFrame([], schema)).count() == 0
