@@ -23,14 +23,15 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from siltworks.llm.tokens import LATIN, WORDS, ChunkIds, chunks_of, read_text
+from siltworks.llm.tokens import LATIN, WORDS, TextIds, joined, read_text, slices
 
-#: Entries that a worker's memo tables hold before they are emptied; bounds memory, not results.
-MEMO = 400_000
+#: Entries of the transition table that a worker holds before it is emptied (some 20 MB); bounds memory, not results.
+MEMO = 200_000
 
 #: The classes of that pattern over Latin characters in lower case.
 LATIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|[^\\sa-zªµºß-öø-ſ0-9²³¹¼½¾]+")
@@ -50,7 +51,7 @@ class Automaton:
         size = max(symbols.values()) + 1
         self.left, self.right, self.birth = [-1] * size, [-1] * size, [-1] * size
         self.gadget: dict[tuple[int, int], int] = {}
-        self.table: dict[tuple[int, int], bool] = {}
+        self.table: dict[int, bool] = {}
         dead = set()
         for k, (u, v) in enumerate(merges):
             if u + v not in symbols:
@@ -86,11 +87,12 @@ class Automaton:
 
     def step(self, a: int, b: int) -> bool:
         """The transition table: may ``b`` follow ``a``."""
-        found = self.table.get((a, b))
+        at = a << 32 | b
+        found = self.table.get(at)
         if found is None:
             if len(self.table) >= MEMO:
                 self.table.clear()
-            found = self.table[a, b] = self._has(a, b, 1 << 60)
+            found = self.table[at] = self._has(a, b, 1 << 60)
         return found
 
     def word(self, spelled: str) -> list[int]:
@@ -134,8 +136,10 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Codec:
-    """Encoder and decoder of one tokenizer file of the kind word-end BPE over bytes."""
+class Codec(TextIds):
+    """Encoder and decoder of one tokenizer file of the kind word-end BPE over bytes, which drops white space."""
+
+    by_chunk = True
 
     def __init__(self, text: str):
         spec = json.loads(text)
@@ -153,8 +157,8 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         arcs = {i: s for s, i in model["vocab"].items()} | {i: s for s, i in self.special.items()}
-        self.labels = [arcs.get(i, "") for i in range(max(arcs) + 1)]
-        self.chunks = ChunkIds(self._chunk, MEMO)
+        self.labels = pa.array([arcs.get(i, "") for i in range(max(arcs) + 1)], pa.string())
+        self.by_word = self.latin is not None and bool(suffix)
 
     def _plain(self, text: str) -> list[int]:
         out: list[int] = []
@@ -175,12 +179,23 @@ class Codec:
             at = m.end()
         return out + self._plain(chunk[at:])
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.chunks.__getitem__, chunks_of(text)))
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self._chunk(x) for x in texts]
+        return np.fromiter((i for x in found for i in x), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        word, shift, out, counts = self.automaton.word, self.shift, [], []
+        # bytes as characters, the last one of the kind that ends a word
+        for x in joined(words, "\n").encode().decode("latin-1").split("\n") if len(words) else []:
+            path = word(x[:-1] + chr(ord(x[-1]) + shift))
+            out += path
+            counts.append(len(path))
+        return np.array(out, np.uint32), np.array(counts, np.int64)
 
-    def decode(self, ids: bytes) -> str:
-        return " ".join(map(self.labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode_batch(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The arc labels of each text's ids, with a space between."""
+        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, self.labels.take(pa.array(ids.astype(np.int32)))), " ")
 
 
 _CODECS: dict[int, Codec] = {}
@@ -203,24 +218,33 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     spec = docs.sparkSession.sparkContext.broadcast(read_text(tokenizer))
 
     def run(batches):
-        encode = codec(spec.value).encode
+        encode = codec(spec.value).encode_batch
         for batch in batches:
-            ids = pa.array(map(encode, batch.column(1).to_pylist()), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+            for part in slices(batch, 1):
+                raw = pa.array(bytes_of(*encode(part.column(1))), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), raw], ["doc_id", "ids"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return source.mapInArrow(run, "doc_id long, ids binary")
 
 
+def bytes_of(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Each text's ids as little-endian unsigned 32-bit integers."""
+    raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """Rows (doc_id, text) from rows (doc_id, ids); null ids decode to an empty text."""
     spec = encoded.sparkSession.sparkContext.broadcast(read_text(tokenizer))
 
     def run(batches):
-        decode = codec(spec.value).decode
+        decode = codec(spec.value).decode_batch
         for batch in batches:
-            text = pa.array([decode(x or b"") for x in batch.column(1).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), text], ["doc_id", "text"])
+            for part in slices(batch, 1):
+                raw = [x or b"" for x in part.column(1).to_pylist()]
+                text = decode(np.frombuffer(b"".join(raw), "<u4"), np.array(list(map(len, raw)), np.int64) // 4)
+                yield pa.RecordBatch.from_arrays([part.column(0), text], ["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
@@ -236,16 +260,11 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     def run(batches):
         both, sha = codec(spec.value), lambda x: hashlib.sha256(x).hexdigest()
         for batch in batches:
-            counts, ids_sha, text_sha = [], [], []
-            for text in batch.column(1):
-                ids = both.encode(text.as_py())
-                counts.append(len(ids) // 4)
-                ids_sha.append(sha(ids))
-                text_sha.append(sha(both.decode(ids).encode()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            for part in slices(batch, 1):
+                ids, counts = both.encode_batch(part.column(1))
+                text = [sha(memoryview(x.as_buffer())) for x in both.decode_batch(ids, counts)]
+                digests = [pa.array(map(sha, bytes_of(ids, counts)), pa.string()), pa.array(text, pa.string())]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), *digests], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return source.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

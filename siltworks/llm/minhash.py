@@ -18,9 +18,10 @@ a long list costs as many rows as it has documents. Every link lies in one group
 Groups are dealt into blocks of bounded size. A group that fills more than one is
 first compared with a few of its own documents, its leaders: what a leader links
 is one cell, and two documents of a cell need no comparison. Then each pair of
-blocks that may still join two cells is one task unit, where the exact Jaccard on
-the full sets confirms links. A large group of near copies so costs as many
-comparisons as it has documents, not their square.
+blocks that may still join two cells is one task unit. There the inverted lists of
+sketch values give the overlaps, the estimate from the union of two sketches
+filters candidates, and the exact Jaccard on the full sets confirms links. A large
+group of near copies so costs as many comparisons as it has documents.
 """
 
 from __future__ import annotations
@@ -29,51 +30,55 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm import url_filter
-from siltworks.llm.shared import components, keep, stars
+from siltworks.llm.shared import components, drop_kept, keep, stars
+from siltworks.llm.tokens import distinct_chunks, joined, slices
 
 #: Values in a sketch; shingles in a block of a group (bounds a task unit's memory); standard deviations of slack.
 SKETCH, BLOCK, SLACK = 64, 100_000, 5
-#: Leaders of a group of several blocks; what a document weighs in a block besides its shingles.
+#: Leaders of a group of several blocks at most; what a document weighs in a block besides its shingles.
 LEADERS, ROW = 16, 32
-#: Words whose hash a worker remembers.
-MEMO = 300_000
+#: What fills the place of missing values in a sketch.
+NO_VALUE = np.iinfo(np.int64).max
 
 
-class WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        found = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= MEMO:
-            self.clear()
-        self[word] = found
-        return found
-
-
-_HASHES = WordHash()
-
-
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """Sorted distinct 63-bit hashes of the text's word shingles.
+def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """Sorted distinct 63-bit hashes of the word shingles of each text.
 
     Words are runs of other characters than ASCII white space, A-Z lower-cased.
     A text of fewer words than ``size`` is one shingle; without words, none.
+    Each distinct word of the texts is hashed once; nothing is remembered.
     """
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return np.empty(0, np.int64)
-    hashes = np.array(list(map(_HASHES.__getitem__, words)), np.uint64)
-    n = max(1, len(words) - size + 1)
-    mixed = np.full(n, min(size, len(words)), np.uint64)
-    for i in range(min(size, len(words))):
-        mixed = (mixed ^ hashes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
+    chunks, codes, counts = distinct_chunks(pc.ascii_lower(texts), ascii_only=True)
+    words = joined(chunks, "\n").encode().split(b"\n") if len(chunks) else []
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[codes]
+    real = np.fromiter(map(len, words), np.int64, len(words))[codes] > 0
+    counts = np.bincount(np.repeat(np.arange(len(texts)), counts)[real], minlength=len(texts))
+    hashes = hashes[real]
+    windows = mix([hashes[i : max(0, len(hashes) - size + 1) + i] for i in range(size)]) if len(hashes) >= size else np.empty(0, np.int64)
+    out = []
+    for end, n in zip(np.cumsum(counts).tolist(), counts.tolist(), strict=True):
+        if n >= size:
+            out.append(np.unique(windows[end - n : end - size + 1]))
+        else:
+            out.append(mix([hashes[i : i + 1] for i in range(end - n, end)]) if n else np.empty(0, np.int64))
+    return out
+
+
+def mix(parts: list[np.ndarray]) -> np.ndarray:
+    """63-bit hashes of sequences whose i-th members are in ``parts[i]``."""
+    mixed = np.full(len(parts[0]), len(parts), np.uint64)
+    for part in parts:
+        mixed = (mixed ^ part) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
     mixed = mixed * np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(32)
-    return np.unique((mixed >> np.uint64(1)).view(np.int64))
+    return (mixed >> np.uint64(1)).view(np.int64)
 
 
 def needed_share(num: int, den: int, k: int = SKETCH) -> float:
@@ -82,33 +87,83 @@ def needed_share(num: int, den: int, k: int = SKETCH) -> float:
     return max(1 / k, t - SLACK * math.sqrt(t * (1 - t) / k))
 
 
-def compare(tile: pa.Table, num: int, den: int) -> pa.Table:
-    """Star edges (a, b) of the links between a tile's left and its right documents, which may be the same."""
-    ids = tile["doc_id"].to_numpy()
-    sets = [np.frombuffer(x.as_buffer(), np.int64) for x in tile["shingles"]]
-    sizes = np.array([len(x) for x in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+def overlaps(sketches: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """How many retained values each row's sketch shares with each column's, from the inverted lists of the values."""
+    sizes = [len(x) for x in sketches]
+    owner = np.repeat(np.arange(len(sketches)), sizes)
+    _, value, counts = np.unique(np.concatenate(sketches), return_inverse=True, return_counts=True)
     shared = counts > 1
-    place = np.cumsum(shared) - 1
-    used = shared[column]
-    owner, column = owner[used], place[column[used]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    rows, cols = np.flatnonzero(tile["left"].to_numpy()), np.flatnonzero(tile["right"].to_numpy())
+    used = shared[value]
+    owner, value = owner[used], (np.cumsum(shared) - 1)[value[used]]
+    order = np.argsort(value, kind="stable")
+    owner, value = owner[order], value[order]
     common = np.zeros((len(rows), len(cols)), np.float32)
     width = 2048
     for start in range(0, int(shared.sum()), width):
-        a, b = np.searchsorted(column, [start, start + width])
-        dense = np.zeros((len(sets), width), np.float32)
-        dense[owner[a:b], column[a:b] - start] = 1
-        common += dense[rows] @ dense[cols].T
-    common = common.astype(np.int64)
-    union = sizes[rows][:, None] + sizes[cols][None] - common
-    i, j = np.nonzero(den * common >= num * union)
-    i, j = rows[i], cols[j]
-    apart = ids[i] != ids[j]
-    label = stars(i[apart], j[apart], len(ids))
+        a, b = np.searchsorted(value, [start, start + width])
+        lists = np.zeros((len(sketches), width), np.float32)
+        lists[owner[a:b], value[a:b] - start] = 1
+        common += lists[rows] @ lists[cols].T
+    return common
+
+
+def union_estimates(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of sketches (rows of ``a`` and ``b``, filled up with NO_VALUE): matches among the union's smallest values, and how many of these there are."""
+    both = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    real = both != NO_VALUE
+    again = np.zeros_like(real)
+    again[:, 1:] = both[:, 1:] == both[:, :-1]
+    rank = np.cumsum(real & ~again, axis=1)
+    return (real & again & (rank <= a.shape[1])).sum(axis=1), np.minimum(rank[:, -1], a.shape[1])
+
+
+def compare(tile: pa.Table, num: int, den: int) -> pa.Table:
+    """Star edges (a, b) of the links between a tile's left and its right documents, which may be the same.
+
+    Overlaps of sketches give candidates, the union sketch's estimate filters them
+    and the full sets confirm. A pair that links found before connect is not needed.
+    """
+    ids = tile["doc_id"].to_numpy()
+    sets = [np.frombuffer(x.as_buffer(), np.int64) for x in tile["shingles"]]
+    sketches = np.full((len(sets), SKETCH), NO_VALUE)
+    for i, s in enumerate(sets):
+        sketches[i, : min(len(s), SKETCH)] = s[:SKETCH]
+    kept = np.array([min(len(s), SKETCH) for s in sets])
+    rows, cols = np.flatnonzero(tile["left"].to_numpy()), np.flatnonzero(tile["right"].to_numpy())
+    common = overlaps([s[:SKETCH] for s in sets], rows, cols)
+    needed = np.ceil(needed_share(num, den) * np.minimum(kept[rows][:, None], kept[cols][None]))
+    common[(common < needed) | (ids[rows][:, None] == ids[cols][None])] = 0
+    t = num / den
+
+    def confirmed(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(i), bool)
+        for at in range(0, len(i), 8192):
+            p, q = i[at : at + 8192], j[at : at + 8192]
+            matches, k = union_estimates(sketches[p], sketches[q])
+            for x in np.flatnonzero(matches >= t * k - SLACK * np.sqrt(t * (1 - t) * k)):
+                a, b = sets[p[x]], sets[q[x]]
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                out[at + x] = den * both >= num * (len(a) + len(b) - both)
+        return out
+
+    label = np.arange(len(ids))
+    if common.size:
+        # first each left document's best partner, which connects most groups of copies
+        best = common.argmax(axis=1)
+        has = common[np.arange(len(rows)), best] > 0
+        i, j = rows[has], cols[best[has]]
+        sure = confirmed(i, j)
+        label = stars(i[sure], j[sure], len(ids))
+        x, y = np.nonzero(common * (label[rows][:, None] != label[cols][None]))
+        order = np.argsort(-common[x, y], kind="stable")
+        i, j = rows[x[order]], cols[y[order]]
+        batch = max(64, len(ids))
+        while len(i):
+            sure = confirmed(i[:batch], j[:batch])
+            label = stars(np.concatenate([label, i[:batch][sure]]), np.concatenate([np.arange(len(ids)), j[:batch][sure]]), len(ids))
+            i, j = i[batch:], j[batch:]
+            apart = label[i] != label[j]
+            i, j, batch = i[apart], j[apart], 2 * batch
     at = np.flatnonzero(label != np.arange(len(ids)))
     return pa.table({"a": pa.array(ids[label[at]], pa.int64()), "b": pa.array(ids[at], pa.int64())})
 
@@ -133,9 +188,10 @@ def links_inside(members: DataFrame, num: int, den: int) -> DataFrame:
     large = keep(slim.groupBy("group").agg(blocks).where("blocks > 1"), "large-groups")
     if not large.isEmpty():
         inside = slim.join(large, "group").select("group", "doc_id", "blocks")
-        order = Window.partitionBy("group").orderBy(F.xxhash64("doc_id"), "doc_id")
-        leaders = inside.withColumn("k", F.row_number().over(order)).where(F.col("k") <= LEADERS)
-        leaders = leaders.select("group", "doc_id", every.alias("block"))
+        # one for each of some buckets of a hash: a minimum that tasks take before the shuffle
+        spread = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(LEADERS)).alias("bucket")
+        leaders = inside.groupBy("group", "blocks", spread).agg(F.min(F.struct(F.xxhash64("doc_id").alias("hash"), "doc_id")).alias("leader"))
+        leaders = leaders.select("group", F.col("leader.doc_id").alias("doc_id"), every.alias("block"))
         at = F.col("block")
         led = inside.withColumn("block", own).select(*place(at, at, F.lit(True), F.lit(False)))
         found = keep(compared(led.unionByName(leaders.select(*place(at, at, F.lit(False), F.lit(True))))), "leader-links")
@@ -171,19 +227,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: tuple[int, in
 
     def sketch(batches):
         for b in batches:
-            sets = [shingle_set(t.as_py(), shingle) for t in b.column(1)]
-            halves = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "n", "print1", "print2", "sketch"],
-            )
+            for part in slices(b, 1):
+                sets = shingle_sets(part.column(1), shingle)
+                halves = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), "<i8").reshape(-1, 2)
+                sketches = pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(map(len, sets), pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), sketches], ["doc_id", "n", "print1", "print2", "sketch"]
+                )
 
     def shingles(batches):
         for b in batches:
-            sets = [shingle_set(t.as_py(), shingle) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(map(len, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["group", "doc_id", "n", "shingles"]
-            )
+            for part in slices(b, 2):
+                sets = shingle_sets(part.column(2), shingle)
+                raw = pa.array([s.tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(map(len, sets), pa.int64()), raw], ["group", "doc_id", "n", "shingles"])
 
     base = keep(source.mapInArrow(sketch, "doc_id long, n long, print1 long, print2 long, sketch array<long>"), "sketches")
     key = ["n", "print1", "print2"]
@@ -207,6 +264,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: tuple[int, in
     members = keep(members.where("n > 0"), "members")
     edges = links_inside(members, num, den)
     linked = components(edges).select(F.col("id").alias("rep"), "component")
+    for done in (first, groups, members):  # the components stand in a table of their own
+        drop_kept(done)
 
     answer = classes.select(*key, "rep").join(linked, "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
     out = base.select("doc_id", *key).join(answer, key, "left")

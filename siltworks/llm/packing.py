@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm.shared import keep
-from siltworks.llm.tokens import read_text, token_batches
+from siltworks.llm.tokens import read_text, token_batches, with_end
 
 #: Buckets of the hashed vector, dimensions of the curve, bits of each dimension.
 BUCKETS, DIMENSIONS, BITS = 512, 4, 8
@@ -33,41 +33,44 @@ def projection() -> np.ndarray:
     return np.random.default_rng(20240229).choice([-1.0, 1.0], (BUCKETS, DIMENSIONS))
 
 
-def hilbert_key(cells: list[int], bits: int = BITS) -> int:
-    """Distance along the Hilbert curve of a grid cell (Skilling's transpose form)."""
-    x, n = list(cells), len(cells)
+def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Distance along the Hilbert curve of each grid cell, one row per cell (Skilling's transpose form)."""
+    x = cells.T.astype(np.int64)
+    n = len(x)
     bit = 1 << (bits - 1)
     while bit > 1:
         low = bit - 1
         for i in range(n):
-            if x[i] & bit:
-                x[0] ^= low
-            else:
-                swap = (x[0] ^ x[i]) & low
-                x[0] ^= swap
-                x[i] ^= swap
+            turned = x[i] & bit > 0
+            swap = np.where(turned, 0, (x[0] ^ x[i]) & low)
+            x[0] ^= np.where(turned, low, swap)
+            x[i] ^= swap
         bit >>= 1
     for i in range(1, n):
         x[i] ^= x[i - 1]
-    flip, bit = 0, 1 << (bits - 1)
+    flip, bit = np.zeros_like(x[0]), 1 << (bits - 1)
     while bit > 1:
-        if x[n - 1] & bit:
-            flip ^= bit - 1
+        flip ^= np.where(x[n - 1] & bit, bit - 1, 0)
         bit >>= 1
-    key = 0
+    key = np.zeros_like(x[0])
     for b in range(bits - 1, -1, -1):
         for i in range(n):
             key = key << 1 | (x[i] ^ flip) >> b & 1
     return key
 
 
-def curve_key(ids: np.ndarray, signs: np.ndarray) -> int:
-    """The Hilbert key of a document by its ids; documents without ids get the curve's middle cell."""
-    counts = np.sqrt(np.bincount((ids * np.uint32(2654435761)) >> np.uint32(23), minlength=BUCKETS)[:BUCKETS])
-    norm = np.linalg.norm(counts)
-    at = counts @ signs / (norm or 1.0)
-    cells = np.clip(np.floor((np.tanh(at) + 1) / 2 * (1 << BITS)), 0, (1 << BITS) - 1).astype(int)
-    return hilbert_key(cells.tolist())
+def curve_keys(ids: np.ndarray, counts: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """The Hilbert key of each document by its ids; documents without ids get the curve's middle cell."""
+    bucket = (ids * np.uint32(2654435761)) >> np.uint32(23)
+    ends, keys = np.cumsum(counts), [np.empty(0, np.int64)]
+    for at in range(0, len(counts), 1024):
+        of = counts[at : at + 1024]
+        here = bucket[ends[at] - of[0] : ends[at + len(of) - 1]]
+        found = np.bincount(np.repeat(np.arange(len(of)), of) * BUCKETS + here, minlength=len(of) * BUCKETS).reshape(-1, BUCKETS)
+        # square roots of counts have the square root of the number of ids as their norm
+        to = np.sqrt(found) @ signs / np.sqrt(np.maximum(of, 1))[:, None]
+        keys.append(hilbert_keys(np.clip(np.floor((np.tanh(to) + 1) / 2 * (1 << BITS)), 0, (1 << BITS) - 1)))
+    return np.concatenate(keys)
 
 
 def powers(n: int) -> list[int]:
@@ -88,12 +91,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, i
 
     def tokenize(batches):
         signs = projection()
-        for doc_ids, texts in token_batches(batches, spec.value):
-            keys = [curve_key(x, signs) for x in texts]
-            wide = "<u4" if any(len(x) and x.max() > 65535 for x in texts) or end_id > 65535 else "<u2"
-            raw = [np.append(x, np.uint32(end_id)).astype(wide).tobytes() for x in texts]
-            width = pa.array([int(wide[2])] * len(raw), pa.int32())
-            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(keys, pa.int64()), width, pa.array(raw, pa.binary())], ["doc_id", "curve", "width", "ids"])
+        for doc_ids, ids, counts in token_batches(batches, spec.value):
+            keys = pa.array(curve_keys(ids, counts, signs))
+            yield pa.RecordBatch.from_arrays([doc_ids, keys, *with_end(ids, counts, end_id)], ["doc_id", "curve", "width", "ids"])
 
     def cut(batches):
         shard = TaskContext.get().partitionId() << SHARD_BITS

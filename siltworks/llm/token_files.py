@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltworks.llm.shared import keep, shared_folder
-from siltworks.llm.tokens import read_text, token_batches
+from siltworks.llm.tokens import read_text, token_batches, with_end
 
 #: Ids after which a block is closed; a document is never split.
 BLOCK_IDS = 1 << 16
@@ -61,10 +61,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, id
     spec = spark.sparkContext.broadcast(read_text(tokenizer))
 
     def tokenize(batches):
-        for doc_ids, texts in token_batches(batches, spec.value):
-            small = all(x.max(initial=0) < 65536 for x in texts) and end_id < 65536
-            raw = [np.append(x, np.uint32(end_id)).astype("<u2" if small else "<u4").tobytes() for x in texts]
-            yield pa.RecordBatch.from_arrays([doc_ids, pa.array([2 if small else 4] * len(raw), pa.int32()), pa.array(raw, pa.binary())], ["doc_id", "width", "ids"])
+        for doc_ids, ids, counts in token_batches(batches, spec.value):
+            yield pa.RecordBatch.from_arrays([doc_ids, *with_end(ids, counts, end_id)], ["doc_id", "width", "ids"])
 
     def count(batches):
         total = np.zeros(1, np.int64)
