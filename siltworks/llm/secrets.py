@@ -4,16 +4,18 @@ Candidates are assignments to names with a part such as ``token``, keys with
 known prefixes, whole private key blocks and long strings. A random forest
 over length, character transitions, dictionary coverage, path and neighbouring
 words, fitted on labelled findings, tells secrets from hashes, numbers, paths and
-placeholders. DataFrame functions and Spark's own forest only.
+placeholders. The forest is Spark's own; its nodes become constant arrays that SQL
+functions walk inside each row, so a text is searched, judged and cut in one pass
+without a join or a shuffle. DataFrame and SQL functions only.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,32 +52,60 @@ SYLLABLES = ("ung", "keit", "ver", "schaft", "er", "tion", "ment", "con", "ich",
 FEATURES = ["length", "transitions", "digits", "uppers", "hex", "coverage", "path", "assigned", "prefixed", "near_secret", "near_other", "distinct", "symbols", "spaces", "lower"]
 
 
-def described(found: DataFrame) -> DataFrame:
-    """Adds the features to rows with columns before, match, after."""
-    name = F.regexp_extract("match", f"^{ASSIGNED}", 0)
-    value = F.when(name != "", F.substr("match", F.length(name) + 1)).otherwise(F.col("match"))
-    df = found.withColumns({"value": value, "assigned": (name != "").cast("double")})
-    v, n = F.col("value"), F.greatest(F.length("value"), F.lit(1)).cast("double")
-    share = lambda pattern: F.regexp_count(v, F.lit(pattern)) / n
-    near = lambda words: (F.lower(F.concat_ws(" ", "before", "after")).rlike(rf"(?:^|[^a-z0-9])(?:{words})(?:[^a-z0-9]|$)")).cast("double")
-    return df.withColumns(
-        {
-            "length": F.least(n, F.lit(200.0)),
+def describe(before: Column, match: Column, after: Column) -> Column:
+    """A candidate's value and features as a struct (value, assigned, prefixed, x)."""
+    name = F.regexp_extract(match, f"^{ASSIGNED}", 0)
+    v = F.substr(match, F.length(name) + 1)
+
+    def of_value(v: Column, assigned: Column) -> Column:
+        n = F.greatest(F.length(v), F.lit(1)).cast("double")
+        share = lambda pattern: F.regexp_count(v, F.lit(pattern)) / n
+        near = lambda words: F.lower(F.concat_ws(" ", before, after)).rlike(rf"(?:^|[^a-z0-9])(?:{words})(?:[^a-z0-9]|$)")
+        prefixed = v.rlike(f"^(?:(?:{PREFIX})$|{HEADER})")
+        features = {
+            "length": n,
             "transitions": share("(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]"),
             "digits": share("[0-9]"),
             "uppers": share("[A-Z]"),
-            "hex": v.rlike("^[0-9a-f]+$|^[0-9A-F]+$").cast("double"),
+            "hex": v.rlike("^[0-9a-f]+$|^[0-9A-F]+$"),
             "coverage": F.lit(1.0) - F.length(F.regexp_replace(v, f"(?i:{WORDS})", "")) / n,
-            "path": F.regexp_count(v, F.lit("[/.]")).cast("double") + F.coalesce(F.col("before").rlike(r"://\S*$").cast("double"), F.lit(0.0)) * 4,
-            "prefixed": v.rlike(f"^(?:(?:{PREFIX})$|{HEADER})").cast("double"),
+            "path": F.regexp_count(v, F.lit("[/.]")) + F.coalesce(before.rlike(r"://\S*$").cast("double"), F.lit(0.0)) * 4,
+            "assigned": assigned,
+            "prefixed": prefixed,
             "near_secret": near(NEAR_SECRET),
             "near_other": near(NEAR_OTHER),
-            "distinct": F.size(F.array_distinct(F.split(F.substr(v, F.lit(1), F.lit(64)), ""))) / F.least(n, F.lit(64.0)),
+            "distinct": F.size(F.array_distinct(F.split(v, ""))) / F.least(n, F.lit(64.0)),
             "symbols": share("[^A-Za-z0-9\\s]"),
             "spaces": share(r"\s"),
-            "lower": v.rlike(r"^\p{L}?\p{Ll}*[.,!?:]*$").cast("double"),
+            "lower": v.rlike(r"^\p{L}?\p{Ll}*[.,!?:]*$"),
         }
-    )
+        return F.struct(v.alias("value"), assigned.alias("assigned"), prefixed.alias("prefixed"), F.array(*(features[f].cast("double") for f in FEATURES)).alias("x"))
+
+    # a lambda's argument is taken once, however often the features name it
+    return F.transform(F.array(F.struct(v.alias("v"), (name != "").alias("a"))), lambda c: of_value(c["v"], c["a"]))[0]
+
+
+@dataclass
+class Forest:
+    """Trees as complete binary trees of one depth, one after the other: node n's children are 2n + 1 and 2n + 2."""
+
+    trees: int
+    depth: int
+    feature: list[int]
+    threshold: list[float]
+    probability: list[float]
+
+    def score(self, x: Column) -> Column:
+        """The mean probability of the leaves that an array of features reaches."""
+        size = (2 << self.depth) - 1
+        constant = lambda values, kind: F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+        feature, threshold, probability = constant(self.feature, "int"), constant(self.threshold, "double"), constant(self.probability, "double")
+
+        def leaf(tree: Column) -> Column:
+            step = lambda n, _: n * 2 + 1 + (F.get(x, F.get(feature, tree * size + n)) > F.get(threshold, tree * size + n)).cast("int")
+            return F.aggregate(F.sequence(F.lit(1), F.lit(self.depth)), F.lit(0), step)
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(self.trees - 1)), F.lit(0.0), lambda total, t: total + F.get(probability, t * size + leaf(t)) / self.trees)
 
 
 def labelled_findings(spark: SparkSession) -> DataFrame:
@@ -138,31 +168,55 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def fit(findings: DataFrame) -> RandomForestClassificationModel:
+def fit(findings: DataFrame) -> Forest:
     """A random forest over labelled findings (before, match, after, label)."""
     # coalesced first, else the features are planned again for each kind
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(described(findings.coalesce(1)))
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features").fit(vectors.select("features", "label"))
-
-
-def candidates(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, start, match, before, after) for each candidate in rows (doc_id, text)."""
-    found = docs.select("doc_id", "text", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("matches")).where(F.size("matches") > 0)
-    # the text between matches gives each match's place and its neighbours
-    found = found.select("doc_id", "matches", F.split("text", CANDIDATE, -1).alias("between"))
-    ends = F.aggregate(
-        F.arrays_zip(F.col("between").alias("b"), F.col("matches").alias("m")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts")),
-        lambda a, x: F.struct(
-            (a["at"] + F.length(x["b"]) + F.coalesce(F.length(x["m"]), F.lit(0))).cast("long").alias("at"), F.concat(a["starts"], F.array((a["at"] + F.length(x["b"])).cast("bigint"))).alias("starts")
-        ),
-    )["starts"]
-    each = found.withColumn("starts", ends).select("doc_id", "between", "starts", F.posexplode("matches").alias("i", "match"))
-    at = lambda c, k: F.get(c, F.col("i") + k)
-    return each.select("doc_id", at("starts", 0).alias("start"), "match", F.right(at("between", 0), F.lit(BEFORE)).alias("before"), F.left(at("between", 1), F.lit(AFTER)).alias("after"))
-
-
-def findings(docs: DataFrame, model: RandomForestClassificationModel | None = None, id_col: str = "doc_id", text_col: str = "text", with_value: bool = False) -> DataFrame:
+    x = describe(F.col("before"), F.col("match"), F.col("after"))["x"]
+    rows = findings.coalesce(1).select("label", x.alias("x")).select("label", *(F.get("x", i).alias(f) for i, f in enumerate(FEATURES)))
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
+    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features").fit(vectors.select("features", "label"))
+    size = (2 << DEPTH) - 1
+    out = Forest(TREES, DEPTH, [0] * TREES * size, [0.0] * TREES * size, [0.0] * TREES * size)
+
+    def fill(node, base: int, n: int) -> None:
+        """Node ``n`` and all below it; a leaf above the last level passes its probability down."""
+        out.probability[base + n] = node.impurityStats().prob(1.0)
+        if 2 * n + 2 < size:
+            inner = node.subtreeDepth() > 0
+            if inner:
+                out.feature[base + n], out.threshold[base + n] = node.split().featureIndex(), node.split().threshold()
+            fill(node.leftChild() if inner else node, base, 2 * n + 1)
+            fill(node.rightChild() if inner else node, base, 2 * n + 2)
+
+    for k, tree in enumerate(model.trees):
+        fill(tree._java_obj.rootNode(), k * size, 0)
+    return out
+
+
+def searched(docs: DataFrame, text_col: str, forest: Forest) -> DataFrame:
+    """``docs`` with columns __between (what stands between candidates) and __found (match, value, assigned, prefixed, probability); both null without a candidate."""
+    cut = docs.withColumn("__matches", F.regexp_extract_all(F.col(text_col), F.lit(CANDIDATE), F.lit(0)))
+    some = F.size("__matches") > 0
+    cut = cut.withColumn("__between", F.when(some, F.split(F.col(text_col), CANDIDATE, -1)))
+    before = lambda i: F.right(F.get("__between", i), F.lit(BEFORE))
+    after = lambda i: F.left(F.get("__between", i + 1), F.lit(AFTER))
+    described = F.transform("__matches", lambda m, i: F.struct(m.alias("match"), describe(before(i), m, after(i)).alias("d")))
+    cut = cut.withColumn("__found", F.when(some, described)).drop("__matches")
+    scored = lambda c: F.struct(c["match"].alias("match"), c["d"]["value"].alias("value"), c["d"]["assigned"].alias("assigned"), c["d"]["prefixed"].alias("prefixed"), forest.score(c["d"]["x"]).alias("probability"))
+    return cut.withColumn("__found", F.transform("__found", scored))
+
+
+def running_sums(values: Column) -> Column:
+    """The sum of the values before each value; by blocks, so a long array does not cost its square."""
+    size = 256
+    n = F.size(values)
+    add = lambda a, b: a + b
+    block_sums = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int")), lambda b: F.aggregate(F.slice(values, b * size + 1, size), F.lit(0).cast("long"), add))
+    before = F.aggregate(block_sums, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("all")), lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all")))["all"]
+    return F.transform(values, lambda _, i: F.get(before, F.floor(i / size).cast("int")) + F.aggregate(F.slice(values, F.floor(i / size).cast("int") * size + 1, i % size), F.lit(0).cast("long"), add))
+
+
+def findings(docs: DataFrame, model: Forest | None = None, id_col: str = "doc_id", text_col: str = "text", with_value: bool = False) -> DataFrame:
     """Rows (doc_id, start, length, kind, probability, is_secret) for each candidate in ``docs``.
 
     ``start`` counts characters before the candidate's value; is_secret is the
@@ -172,32 +226,33 @@ def findings(docs: DataFrame, model: RandomForestClassificationModel | None = No
     """
     model = model or fit(labelled_findings(docs.sparkSession))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(described(candidates(source)))
-    scored = model.transform(vectors)
-    kind = F.when(F.col("match").rlike(f"^{HEADER}"), "private key").when(F.col("prefixed") == 1, "known key").when(F.col("assigned") == 1, "assigned").otherwise("string")
+    found = searched(source, "text", model).where("__found is not null")
+    lengths = F.transform("__found", lambda c, i: (F.length(F.get("__between", i)) + F.length(c["match"])).cast("long"))
+    found = found.select("doc_id", "__found", "__between", lengths.alias("lengths")).select("doc_id", "__found", "__between", running_sums(F.col("lengths")).alias("starts"))
+    each = found.select("doc_id", "__between", "starts", F.posexplode("__found").alias("i", "c"))
+    length = F.length("c.value")
+    start = F.get("starts", F.col("i")) + F.length(F.get("__between", F.col("i"))) + F.length("c.match") - length
+    kind = F.when(F.col("c.match").rlike(f"^{HEADER}"), "private key").when(F.col("c.prefixed"), "known key").when(F.col("c.assigned"), "assigned").otherwise("string")
     out = [
-        "doc_id",
-        (F.col("start") + F.length("match") - F.length("value")).cast("long").alias("start"),
-        F.length("value").cast("long").alias("length"),
-        kind.alias("kind"),
-        F.round(vector_to_array("probability")[1], 6).alias("probability"),
-        (F.col("prediction") == 1).alias("is_secret"),
-    ]
-    return scored.select(*out, *(["value"] if with_value else []))
+        "doc_id", start.cast("long").alias("start"), length.cast("long").alias("length"), kind.alias("kind"), F.round("c.probability", 6).alias("probability"), (F.col("c.probability") > 0.5).alias("is_secret"),
+    ]
+    return each.select(*out, *([F.col("c.value").alias("value")] if with_value else []))
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
     """``docs`` with the secrets of its texts replaced and n_chars counted anew.
 
-    Rows keep all their columns, those without a finding stay as they are. A
-    row's findings are gathered by a hash of its doc_id and text, so rows without
-    an id or with a repeated one are redacted too; what shares a hash is rid of
-    the secrets of both.
+    Secrets are cut where they stand, in the row they stand in, so rows without an
+    id and repeated rows are treated like others, and an equal string that is part
+    of another word stays. Rows keep all their columns; null texts and those
+    without a secret stay as they are.
     """
-    key = lambda: F.xxhash64(docs["doc_id"], docs["text"])
-    values = findings(docs.select(key().alias("doc_id"), docs["text"]), with_value=True).where("is_secret").groupBy("doc_id").agg(F.collect_set("value").alias("values"))
-    values = values.select(F.col("doc_id").alias("__found"), F.reverse(F.array_sort(F.transform("values", lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))))).alias("__values"))
-    joined = docs.join(values, key() == values["__found"], "left")
-    clean = F.aggregate("__values", F.col("text"), lambda t, x: F.replace(t, x["v"], F.lit(mark)))
-    joined = joined.withColumn("text", F.when(F.col("__values").isNull(), F.col("text")).otherwise(clean)).drop("__found", "__values")
-    return joined.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else joined
+    forest = fit(labelled_findings(docs.sparkSession))
+    whole = searched(docs, text_col, forest)
+    name = lambda c: F.left(c["match"], F.length(c["match"]) - F.length(c["value"]))
+    put = F.transform("__found", lambda c, i: F.concat(F.get("__between", i), F.when(c["probability"] > 0.5, F.concat(name(c), F.lit(mark))).otherwise(c["match"])))
+    clean = F.concat(F.array_join(put, ""), F.element_at("__between", -1))
+    whole = whole.withColumn(text_col, F.when(F.exists("__found", lambda c: c["probability"] > 0.5), clean).otherwise(F.col(text_col)))
+    if "n_chars" in docs.columns:
+        whole = whole.withColumn("n_chars", F.length(text_col).cast("long"))
+    return whole.select(*docs.columns)

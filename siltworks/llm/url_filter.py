@@ -4,9 +4,10 @@ A listed entry is ``host + path`` in canonical form. It fits a URL if its host i
 the URL's host or a parent domain of it and its path is a prefix of the URL's
 path, ending at a slash or at the path's end. So each URL is looked up under
 every combination of host suffix and path prefix that the list can hold. The
-filter has 256-bit blocks; one hash names the block, others the bits, so a look-up
-meets one row of a table of blocks. What passes goes to an exact join that
-removes false positives. DataFrame functions only.
+filter has blocks of four 64-bit words; one hash names the block, another one bit
+in each word, so a look-up reads one block. A page whose look-ups all fail gets
+its verdict in the same pass, without a shuffle; what passes goes to an exact join
+that removes false positives. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Blocks of the filter at most (256 bits each): what is broadcast is never over 40 MB.
+#: Blocks of a filter that is broadcast at most (256 bits each, 32 MB); a larger one is shuffled by block.
 MAX_BLOCKS = 1 << 20
-#: Bits of the filter for each listed entry, while blocks last; bits set for each entry.
-BITS_PER_ENTRY, PROBES = 16, 6
+#: Bits of the filter for each listed entry; 64-bit words of a block, in each of which an entry sets one bit.
+BITS_PER_ENTRY, BLOCK_WORDS = 16, 4
 #: A list of at most so many entries is broadcast to the exact join; a longer one is shuffled.
 SMALL_LIST = 100_000
 
@@ -42,32 +43,51 @@ def block_of(key: Column, blocks: int) -> Column:
 
 
 def mask_of(key: Column, word: int) -> Column:
-    """The bits of ``key`` that lie in 64-bit word ``word`` of its block."""
-    out = F.lit(0).cast("long")
-    for probe in range(PROBES):
-        bit = F.pmod(F.hash(key, F.lit(probe)), F.lit(256))
-        here = F.when(F.floor(bit / 64) == word, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))).otherwise(F.lit(0).cast("long"))
-        out = out.bitwiseOR(here)
-    return out
+    """The bit of ``key`` in 64-bit word ``word`` of its block."""
+    bit = F.shiftrightunsigned(F.xxhash64(key, F.lit(7)), 6 * word).bitwiseAND(F.lit(63)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("long"), bit)
 
 
 def build_filter(listed: DataFrame, entries: int) -> tuple[DataFrame, int]:
     """The filter's table of blocks (block, w0..w3) and their number, for rows (entry)."""
-    blocks = max(1, min(MAX_BLOCKS, -(-entries * BITS_PER_ENTRY // 256)))
-    bits = listed.select(block_of(F.col("entry"), blocks).alias("block"), *(mask_of(F.col("entry"), w).alias(f"w{w}") for w in range(4)))
-    return bits.groupBy("block").agg(*(F.bit_or(f"w{w}").alias(f"w{w}") for w in range(4))), blocks
+    blocks = max(1, -(-entries * BITS_PER_ENTRY // (64 * BLOCK_WORDS)))
+    words = range(BLOCK_WORDS)
+    bits = listed.select(block_of(F.col("entry"), blocks).alias("block"), *(mask_of(F.col("entry"), w).alias(f"w{w}") for w in words))
+    return bits.groupBy("block").agg(*(F.bit_or(f"w{w}").alias(f"w{w}") for w in words)), blocks
 
 
 def may_hold(df: DataFrame, key: Column, blooms: DataFrame, blocks: int) -> DataFrame:
     """The rows of ``df`` whose key passes the filter: all that are listed, and a few others."""
     names = df.columns
-    passed = df.withColumns({"__key": key, "block": block_of(key, blocks)}).join(F.broadcast(blooms), "block")
-    for w in range(4):
+    table = F.broadcast(blooms) if blocks <= MAX_BLOCKS else blooms
+    passed = df.withColumns({"__key": key, "block": block_of(key, blocks)}).join(table, "block")
+    for w in range(BLOCK_WORDS):
         mask = mask_of(F.col("__key"), w)
         passed = passed.where(F.col(f"w{w}").bitwiseAND(mask) == mask)
     return passed.select(*names)
 
 
+def one_row(blooms: DataFrame, blocks: int) -> DataFrame:
+    """The words of a filter of at most MAX_BLOCKS blocks in one row (bits)."""
+    every = blooms.sparkSession.range(blocks).withColumnRenamed("id", "block").join(blooms, "block", "left")
+    words = F.array(*(F.coalesce(f"w{w}", F.lit(0).cast("long")) for w in range(BLOCK_WORDS)))
+    return every.agg(F.sort_array(F.collect_list(F.struct("block", words.alias("words")))).alias("all")).select(F.flatten("all.words").alias("bits"))
+
+
+def passing(keys: Column, bits: Column, blocks: int) -> Column:
+    """The keys of an array that pass the filter in ``bits``."""
+
+    def passes(key: Column) -> Column:
+        at = (block_of(key, blocks) * BLOCK_WORDS).cast("int")
+        out = F.lit(True)
+        for w in range(BLOCK_WORDS):
+            mask = mask_of(key, w)
+            out = out & (F.get(bits, at + w).bitwiseAND(mask) == mask)
+        return out
+
+    return F.filter(keys, passes)
+
+
 def judge(pages: DataFrame, listed: DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Rows (page_id, host, path, rule, verdict, listed), one for each page.
 
@@ -101,17 +121,27 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow", id_col: s
         (F.col("host") != "") & F.startswith("path", F.lit("/")),
         F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p)))),
     )
-    # one row for each different host and path: a host that a third of the pages share is looked up once a path
-    distinct = parsed.select("host", "path").distinct()
-    keys = distinct.select("host", "path", F.explode(looked_up).alias("entry"))
     blooms, blocks = build_filter(rules, shape["n"])
-    passed = may_hold(keys, F.col("entry"), blooms, blocks)
+    looked = parsed.withColumn("entries", looked_up)
+    if blocks <= MAX_BLOCKS:
+        looked = looked.crossJoin(F.broadcast(one_row(blooms, blocks))).withColumn("entries", passing(F.col("entries"), F.col("bits"), blocks)).drop("bits")
+    some = F.coalesce(F.size("entries") > 0, F.lit(False))
+    hits = looked.where(some)
+    # one row for each different host and path: one that a third of the pages share is joined once
+    keys = hits.select("host", "path", "entries").distinct().select("host", "path", F.explode("entries").alias("entry"))
+    if blocks > MAX_BLOCKS:
+        keys = may_hold(keys, F.col("entry"), blooms, blocks)
     exact = F.broadcast(rules) if shape["n"] <= SMALL_LIST else rules
-    fits = passed.join(exact, "entry").groupBy("host", "path").agg(F.max(F.struct("given", F.length("entry").alias("n"), "entry", "verdict")).alias("best"))
+    fits = keys.join(exact, "entry").groupBy("host", "path").agg(F.max(F.struct("given", F.length("entry").alias("n"), "entry", "verdict")).alias("best"))
+
+    def judged(found: DataFrame, best: Column) -> DataFrame:
+        return found.select(
+            "page_id", "host", "path",
+            F.when(best["given"], best["entry"]).alias("rule"),
+            F.coalesce(best["verdict"], F.lit(default)).alias("verdict"),
+            F.when(~best["given"], best["entry"]).alias("listed"),
+        )
+
+    nothing = F.lit(None).cast(fits.schema["best"].dataType)
     # AQE splits a hot host and path on the side of the pages
-    return parsed.join(fits, ["host", "path"], "left").select(
-        "page_id", "host", "path",
-        F.when(F.col("best.given"), F.col("best.entry")).alias("rule"),
-        F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
-        F.when(~F.col("best.given"), F.col("best.entry")).alias("listed"),
-    )
+    return judged(looked.where(~some), nothing).unionByName(judged(hits.join(fits, ["host", "path"], "left"), F.col("best")))
