@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Elements whose content is text for a parser, not markup, and those of them that run to the page's end without an end tag (fixed values).
-RAW = frozenset("script style noscript template textarea iframe svg math object select".split())
+RAW = frozenset("script style noscript template textarea iframe svg object select".split())
 TO_END = frozenset("script style textarea".split())
-RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 #: Elements that start a new block (fixed values).
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
 #: Elements that have no end tag (fixed values).
@@ -48,13 +48,16 @@ def tokens_of(names: str, beside: str) -> re.Pattern:
 MARKED, MARKED_OTHERS, MARKED_OUTSIDE = tokens_of(f"{NAMES}|{OF_OTHERS}", f"{BESIDE}|{OF_PARTS}"), tokens_of(OF_OTHERS, f"{BESIDE}|{OF_PARTS}"), tokens_of(f"{NAMES}|{HEADERS}", BESIDE)
 #: Headings, which no name marks inside an article.
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
+#: An attribute as parsers read it: quotes count at the start of a value only; a value without quotes ends at white space or the tag's end.
+QUOTED = r"""(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)"""
 ITEM = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|(?P<text>(?:[^<]|<(?![A-Za-z/!?]))+)|<",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:[!?]|/(?![A-Za-z]))[^>]*+(?:>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+{QUOTED})?+)*+)>"
+    r"|(?P<text>(?:[^<]++|<(?![A-Za-z/!?]))++)|<",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+TAG_START = re.compile("</?[A-Za-z]")
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|(?!["'])([^\s>]++))""")
 SPACE = re.compile(r"\s+")
 
 #: Labelled pages: what stands between the braces is the main region.
@@ -95,8 +98,10 @@ def parts_of(page: str) -> list[Part]:
 
 def items_of(page: str):
     """Matches of ITEM in order, each with whether it is a whole raw element."""
-    at, endless = 0, set()
+    at, endless, last = 0, set(), page.rfind(">")
     while at < len(page):
+        if at > last and TAG_START.match(page, at):
+            return  # a page that ends inside a tag: parsers drop the tag, and no later one has an end
         m = ITEM.match(page, at)
         at = m.end()
         tag = m["tag"]

@@ -46,6 +46,8 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iter
         end = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield batch.slice(at, end - at)
         at = end
+    # workers live on: give back what Arrow set aside for this batch
+    pa.default_memory_pool().release_unused()
 
 
 def distinct_chunks(texts: pa.Array, ascii_only: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:

@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -180,6 +181,37 @@ def test_html_keeps_the_whole_article(page, text):
     assert html_extract.main_text(page, html_extract.fit_weights()) == text
 
 
+def test_html_attributes_are_read_as_parsers_do():
+    weights = html_extract.fit_weights()
+    page = "<article><p title=don't>first it is para</p><p>it's middle text here</p><p data-x=5\">Hello there all</p><p x = 'a>b' y=\"c>d\" z>more of it</p><p>last <math><mi>x</mi></math> para</p></article>"
+    assert html_extract.main_text(page, weights) == "first it is para\nit's middle text here\nHello there all\nmore of it\nlast x para"
+    inside = "<article><p>a first part of it</p><section class='related-work'><p>text of a section</p></section><div class='notice-board'><p>and of another</p></div></article>"
+    assert html_extract.main_text(inside, weights) == "a first part of it\ntext of a section\nand of another"
+
+
+@pytest.mark.parametrize("piece", ["<script ", "<a x='", '<p y="z ', "<svg>", "</svg ", "<!-- ", "<div ", "</", "<p>word ", "<b", "<![CDATA[", "<i a=b"])
+def test_html_of_long_pages_takes_linear_time(piece):
+    weights, took = html_extract.fit_weights(), []
+    for n in (40_000, 200_000):
+        started = time.process_time()
+        html_extract.main_text("<article><p>some words of text" + piece * (n // len(piece)) + "</p></article>", weights)
+        html_extract.main_text("<p>some words of text" + piece * (n // len(piece)), weights)
+        took.append(time.process_time() - started)
+    assert took[1] < 12 * max(took[0], 0.05)
+
+
+def test_html_of_a_very_long_page():
+    words = " ".join(f"word{i}" for i in range(150_000))
+    assert html_extract.main_text(f"<nav><a>menu</a></nav><article><p>{words}</p></article>", html_extract.fit_weights()) == words
+
+
+def test_html_of_repeated_rows_and_null_ids(spark):
+    page = "<article><p>some words of text here</p></article>"
+    df = spark.createDataFrame([(1, "u", page), (1, "u", page), (None, None, page)], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    rows = sorted(map(tuple, html_extract.extract(df).collect()), key=repr)
+    assert rows == [(1, "u", "some words of text here", 23)] * 2 + [(None, None, "some words of text here", 23)]
+
+
 def test_html_of_the_test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in pages.join(html_extract.extract(pages).select("page_id", "text"), "page_id").collect():
