@@ -20,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where it is unset (tests)."""
+    """The folder in ``spark.checkpoint.dir``; a temporary one only where it is unset and Spark runs in one process (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="siltworks-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
