@@ -95,6 +95,94 @@ def mime_of(content: Column) -> Column:
     )
 
 
+def local_references(text: Column) -> Column:
+    """Files that HTML or CSS text refers to: src and href, srcset, url() and @import; each once, those with a scheme or a host left out."""
+    found = lambda pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    sets = F.flatten(F.transform(found(r"(?i)\bsrcset\s*=\s*[\"']([^\"']+)[\"']"), lambda s: F.transform(F.split(s, r",\s*"), lambda x: F.substring_index(F.trim(x), " ", 1))))
+    every = F.concat(found(r"(?i)\b(?:src|href)\s*=\s*[\"']([^\"']+)[\"']"), sets, found(r"(?i)\burl\(\s*[\"']?([^\"')\s]+)"), found(r"(?i)@import\s+[\"']([^\"']+)"))
+    return F.array_distinct(F.filter(every, lambda x: ~x.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.-]*:|//|#)") & (x != "")))
+
+
+def reference(item: Column) -> Column:
+    """A list entry's reference as a struct (kind, target, label): wiki link, Markdown link, code, or text."""
+    bare = F.trim(F.regexp_replace(item, r"^\s*[-*]\s+", ""))
+    part = lambda pattern, i: F.regexp_extract(bare, pattern, i)
+    wiki, link, code = r"^\[\[([^\]|#]+)(?:#[^\]|]*)?(?:\|([^\]]+))?\]\]", r"^\[([^\]]*)\]\(([^)]+)\)", r"^`([^`]+)`"
+    made = lambda kind, target, label: F.struct(F.lit(kind).alias("kind"), target.alias("target"), F.coalesce(F.nullif(label, F.lit("")), target).alias("label"))
+    return (
+        F.when(bare.rlike(wiki), made("wiki", part(wiki, 1), part(wiki, 2))).when(bare.rlike(link), made("link", part(link, 2), part(link, 1)))
+        .when(bare.rlike(code), made("code", part(code, 1), part(code, 1))).otherwise(made("text", bare, bare))
+    )
+
+
+def normal_body(title: Column, body: Column) -> Column:
+    """A body with plain line ends, without leading lines that repeat the title and without runs of blank lines."""
+    lines = F.transform(F.split(F.replace(F.regexp_replace(body, "\r\n?", "\n"), F.lit("\\n"), F.lit("\n")), "\n"), lambda x: F.rtrim(x))
+    heads = lambda x: (x == "") | (F.trim(F.regexp_replace(x, "^#+ *", "")) == title)
+    first = F.get(F.filter(F.transform(lines, lambda x, i: F.when(~heads(x), i)), lambda i: i.isNotNull()), F.lit(0))
+    kept = F.array_join(F.slice(lines, F.coalesce(first, F.size(lines)) + 1, F.size(lines)), "\n")
+    return F.regexp_replace(F.regexp_replace(kept, "\n{3,}", "\n\n"), "\\s+$", "")
+
+
+def normal_url(url: Column) -> Column:
+    """An http(s) URL with scheme and host in lower case, without www, query, fragment and closing slash; else null."""
+    pattern = r"^(?i:(https?)://(?:www\.)?([^/?#]+))([^?#]*?)/?(?:[?#].*)?$"
+    part = lambda i: F.regexp_extract(F.trim(url), pattern, i)
+    return F.when(url.rlike(pattern), F.concat(F.lower(part(1)), F.lit("://"), F.lower(part(2)), part(3)))
+
+
+def requested_tags(text: Column, marker: str) -> Column:
+    """Tags behind the last ``marker`` of a text, split at punctuation and conjunctions, each once."""
+    after = F.when(text.contains(marker), F.substring_index(text, marker, -1)).otherwise("")
+    parts = F.transform(F.split(after, r"[,;，、；。.\n]+|\s+and\s+|\s+和\s+"), lambda x: F.trim(F.regexp_replace(F.trim(x), "^#+", "")))
+    return F.array_distinct(F.filter(parts, lambda x: x != ""))
+
+
+def file_name(title: Column, limit: int, empty: str = "untitled") -> Column:
+    """A title as a file name: characters that paths keep for themselves become underscores, blanks one, no dot at the end."""
+    plain = F.regexp_replace(F.regexp_replace(title, r'[\\/:*?"<>|\x00-\x1f]', "_"), r"\s+", " ")
+    plain = F.regexp_replace(F.left(F.trim(plain), F.lit(limit)), r"[. ]+$", "")
+    return F.when(F.coalesce(plain, F.lit("")) == "", empty).otherwise(plain)
+
+
+def escaped_label(text: Column) -> Column:
+    """A label whose Markdown marks are escaped."""
+    return F.regexp_replace(text, r"([\[\]*_`])", r"\\$1")
+
+
+def sections(text: Column) -> Column:
+    """Sections of a Markdown text as structs (heading, body): what stands before the first heading, then each heading's part."""
+    parts = F.split(F.concat(F.lit("\n"), text), r"\n#{1,6} +")
+    trimmed = lambda x: F.regexp_replace(F.regexp_replace(x, r"^\s+", ""), r"\s+$", "")
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: F.struct(F.trim(F.substring_index(p, "\n", 1)).alias("heading"), trimmed(F.regexp_replace(p, "^[^\n]*", "")).alias("body")))
+    first = F.struct(F.lit("").alias("heading"), trimmed(F.get(parts, F.lit(0))).alias("body"))
+    return F.when(trimmed(F.get(parts, F.lit(0))) != "", F.concat(F.array(first), rest)).otherwise(rest)
+
+
+def region(text: Column, start: str, end: str) -> Column:
+    """The slot between two markers as a struct (start, length, bytes), start from 1; null unless each marker stands once, in order."""
+    once = lambda m: (F.length(text) - F.length(F.replace(text, F.lit(m)))) == len(m)
+    begin, stop = F.instr(text, start) + len(start), F.instr(text, end)
+    inside = F.substr(text, begin, stop - begin)
+    slot = F.struct(begin.cast("long").alias("start"), F.length(inside).cast("long").alias("length"), F.octet_length(inside).cast("long").alias("bytes"))
+    return F.when(once(start) & once(end) & (stop >= begin), slot)
+
+
+def json_outcome(raw: Column, most_bytes: int) -> Column:
+    """accepted, too_large, malformed or duplicate_key, for JSON that has to be strict."""
+    parsed = F.try_parse_json(raw)
+    # a value that is read only when keys may repeat has a key twice
+    lenient = F.from_json(raw, "struct<__bad:string>", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})["__bad"].isNull()
+    return F.when(F.octet_length(raw) > most_bytes, "too_large").when(parsed.isNotNull(), "accepted").when(lenient & raw.isNotNull(), "duplicate_key").otherwise("malformed")
+
+
+def keywords_in(text: Column, words: tuple[str, ...]) -> Column:
+    """Those of the words that occur, in their order: ASCII ones as whole words, others anywhere."""
+    low = F.lower(text)
+    hit = lambda w: low.rlike(rf"(?<![a-z0-9]){w}(?![a-z0-9])") if w.isascii() else low.contains(w)
+    return F.array_compact(F.array(*(F.when(hit(w), w) for w in words)))
+
+
 def split_rows(df: DataFrame, key: str, text: str, split: Callable[[str], Iterator[str]], out: str = "chunk") -> DataFrame:
     """Rows (key, pos, chunk) from a Python splitter, run over Arrow batches; null and empty texts give no row."""
 

@@ -73,3 +73,53 @@ def ranked_match(left: DataFrame, names: DataFrame, wanted: str, name: str) -> D
     hits = keys(a, wanted).join(keys(names.select(name).distinct(), name), ["r", "k"])
     best = hits.groupBy(wanted).agg(F.min(F.struct("r", name)).alias("m"))
     return best.select(wanted, F.col("m.r").cast("long").alias("match_rank"), F.col(f"m.{name}").alias(name))
+
+
+def resolved_tags(wanted: DataFrame, names: DataFrame, tag: str, name: str) -> DataFrame:
+    """Each wanted tag with its best name: equal (1), equal to the last part of its path (2), inside a name (3), else the first name of all (4).
+
+    Ties by name; case does not count. Each rank is an equi-join on keys of the
+    names: whole, last part, and every part of it as long as some wanted tag, so no
+    tag is compared with all names. Names are short, which bounds their keys.
+    """
+    a = wanted.select(F.col(tag)).where(F.col(tag).isNotNull()).distinct()
+    b = names.select(F.col(name)).where(F.col(name).isNotNull()).distinct()
+    lengths = [r[0] for r in a.select(F.length(tag)).distinct().collect() if r[0]]  # lengths of tags: a few numbers
+    low, none = F.lower(name), F.array().cast("array<string>")
+
+    def parts_of(n: int) -> Column:
+        return F.when(F.length(low) >= n, F.transform(F.sequence(F.lit(1), F.length(low) - n + 1), lambda i: F.substr(low, i, F.lit(n)))).otherwise(none)
+
+    pieces = F.flatten(F.array(*map(parts_of, sorted(lengths)))) if lengths else none
+    keyed = lambda rank, key: F.struct(F.lit(rank).alias("r"), key.alias("k"))
+    keys = F.concat(F.array(keyed(1, low), keyed(2, F.element_at(F.split(low, "/"), -1))), F.transform(F.array_distinct(pieces), lambda p: keyed(3, p)))
+    index = b.select(name, F.explode(keys).alias("e")).groupBy("e.r", "e.k").agg(F.min(name).alias(name))
+    asked = a.select(tag, F.lower(tag).alias("k"))
+    best = asked.join(index, "k", "left").groupBy(tag).agg(F.min(F.struct("r", name)).alias("m"))
+    last = b.agg(F.min(name).alias("__first"))
+    out = best.crossJoin(F.broadcast(last))  # one row
+    found = F.col("m.r").isNotNull()
+    return out.select(tag, F.when(found, F.col("m.r")).when(F.col("__first").isNotNull(), 4).cast("long").alias("match_rank"), F.when(found, F.col(f"m.{name}")).otherwise(F.col("__first")).alias(name))
+
+
+def unique_best(df: DataFrame, group: str, name: str, score: str, keyword: Column) -> DataFrame:
+    """Rows (group, outcome, choice): the one candidate with the best score, else the one with the keyword, else ambiguous."""
+    best = df.groupBy(group).agg(F.max(score).alias("__top"))
+    seen = df.join(best, group).groupBy(group).agg(
+        F.count_if(F.col(score) == F.col("__top")).alias("n"), F.min(F.when(F.col(score) == F.col("__top"), F.col(name))).alias("top"), F.count_if(keyword).alias("k"), F.min(F.when(keyword, F.col(name))).alias("word")
+    )
+    outcome = F.when(F.col("n") == 1, "scored").when(F.col("k") == 1, "keyword").otherwise("ambiguous")
+    return seen.select(group, outcome.alias("outcome"), F.when(F.col("n") == 1, F.col("top")).when(F.col("k") == 1, F.col("word")).alias("choice"))
+
+
+def unique_index(mirrors: DataFrame, identity: str, place: str) -> DataFrame:
+    """Rows (identity, place, outcome): a mirror's place for each identity; one that several places claim is a conflict."""
+    by = mirrors.where(F.col(identity).isNotNull()).groupBy(identity).agg(F.count("*").alias("__n"), F.min(place).alias("__p"))
+    return by.select(identity, F.when(F.col("__n") == 1, F.col("__p")).alias(place), F.when(F.col("__n") == 1, "indexed").otherwise("conflict").alias("outcome"))
+
+
+def merged_owners(maps: DataFrame, source: str, owner: str, priority: str) -> DataFrame:
+    """Rows (source, owner, outcome) of several owner maps together; a source with two owners is rejected, else the map of first priority names it."""
+    by = maps.groupBy(source).agg(F.min(owner).alias("lo"), F.max(owner).alias("hi"), F.min_by(owner, priority).alias("first"))
+    clash = F.col("lo") != F.col("hi")
+    return by.select(source, F.when(~clash, F.col("first")).alias(owner), F.when(clash, "rejected").otherwise("owned").alias("outcome"))

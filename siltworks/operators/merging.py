@@ -49,6 +49,25 @@ def batches(items: Column, count: int, weight: int) -> Column:
     return F.aggregate(items, start, add)["out"]
 
 
+def batches_within(items: Column, limits: Sequence[int]) -> Column:
+    """Batch number of each item of an ordered array of weights (one array each): greedy, under all ``limits`` at once.
+
+    An item over a limit by itself has a batch of its own.
+    """
+    fields = [f"w{i}" for i in range(len(limits))]
+    start = F.struct(F.lit(-1).alias("batch"), *(F.lit(0).cast("long").alias(f) for f in fields), F.array().cast("array<int>").alias("out"))
+
+    def add(a: Column, x: Column) -> Column:
+        full = a["batch"] < 0
+        for i, (f, limit) in enumerate(zip(fields, limits, strict=True)):
+            full = full | (a[f] + x[i] > limit)
+        batch = a["batch"] + full.cast("int")
+        sums = [F.when(full, x[i]).otherwise(a[f] + x[i]).alias(f) for i, f in enumerate(fields)]
+        return F.struct(batch.alias("batch"), *sums, F.concat(a["out"], F.array(batch)).alias("out"))
+
+    return F.aggregate(items, start, add)["out"]
+
+
 def merge_runs(items: Column) -> Column:
     """Neighbouring (kind, text) structs of one kind joined into one."""
     start = F.array().cast("array<struct<kind:string,text:string>>")

@@ -26,15 +26,33 @@ def with_ties(df: DataFrame, group: Sequence[str], *order: Column) -> DataFrame:
     return df.withColumn("__r", F.rank().over(Window.partitionBy(*group).orderBy(*order))).where("__r = 1").drop("__r")
 
 
-def fair_order(df: DataFrame, key: str, arrival: str, cursor: int | None = None) -> DataFrame:
-    """Adds ``turn`` and ``after_cursor``: first in first out inside a key, keys in turn.
+def fair_order(df: DataFrame, key: str, arrival: str, limit: int, cursor: int | None = None) -> DataFrame:
+    """The next ``limit`` rows of a fair drain, numbered by ``position``.
 
-    Sort by (turn, after_cursor, first arrival of the key). Keys whose first arrival
-    is at most ``cursor`` come last in each turn, so a drain starts after it.
+    First in first out inside a key, keys in turn by their first arrival. Keys whose
+    first arrival is at most ``cursor`` come last in each turn, so a drain starts
+    after it. No key gives more than ``limit`` rows, so each task keeps no more of one.
     """
-    by_key = Window.partitionBy(key)
-    out = df.withColumn("turn", F.row_number().over(by_key.orderBy(arrival)).cast("long")).withColumn("key_first", F.min(arrival).over(by_key))
-    return out.withColumn("wrapped", (F.col("key_first") <= F.lit(cursor)) if cursor is not None else F.lit(False))
+    first = df.groupBy(key).agg(F.min(arrival).alias("__first"))
+    turns = top_per_group(df, [key], [F.col(arrival)], limit, "turn").join(first, key)
+    wrapped = (F.col("__first") <= F.lit(cursor)) if cursor is not None else F.lit(False)
+    taken = turns.withColumn("wrapped", wrapped).orderBy("turn", "wrapped", "__first").limit(limit)
+    return taken.withColumn("position", F.row_number().over(Window.orderBy("turn", "wrapped", "__first")).cast("long")).drop("__first")
+
+
+def numbered(df: DataFrame, group: str, order: str, out: str = "number") -> DataFrame:
+    """Adds ``out``: 1, 2, ... by ``order`` inside each group, without gathering a group in one task.
+
+    Rows are dealt into ranges of (group, order) and counted inside them; a range's
+    offset for a group is what earlier ranges hold of it.
+    """
+    ranged = df.repartitionByRange(group, order).sortWithinPartitions(group, order).withColumn("__part", F.spark_partition_id())
+    placed = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__part", group).orderBy(order)))
+    # one row for each range and group that meet
+    sizes = placed.groupBy("__part", group).agg(F.count("*").alias("__size"))
+    before = F.sum("__size").over(Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("__part", group, F.coalesce(before, F.lit(0)).alias("__start"))
+    return placed.join(offsets, ["__part", group]).withColumn(out, (F.col("__start") + F.col("__n")).cast("long")).drop("__part", "__n", "__start")
 
 
 def after_cursor(df: DataFrame, key: str, cursor, limit: int) -> DataFrame:

@@ -78,10 +78,10 @@ def latest_version_dedup(spark, sf_dir):
     return ops.latest(rows, ["conv_id"], F.desc("turn"), F.desc("role"), F.desc("text_hash"))
 
 
-@query("""SELECT count(*) AS rows, (SELECT sha256(string_agg(b, chr(10) ORDER BY k)) FROM (SELECT substr(h, 1, 2) AS k, sha256(string_agg(h, chr(10) ORDER BY h)) AS b
-FROM (SELECT sha256(concat_ws(chr(10), '=' || n_nationkey, '=' || n_name)) AS h FROM nation) GROUP BY 1)) AS fingerprint FROM nation""")
+@query("""WITH h AS (SELECT sha256(concat_ws(chr(10), '=' || doc_id, '=' || text)) AS h FROM documents), p AS (SELECT CAST('0x' || substr(h, 1, 15) AS HUGEINT) AS a, CAST('0x' || substr(h, 16, 15) AS HUGEINT) AS b,
+CAST('0x' || substr(h, 31, 15) AS HUGEINT) AS c, CAST('0x' || substr(h, 46, 15) AS HUGEINT) AS d FROM h) SELECT count(*) AS rows, sha256(concat_ws(':', sum(a), sum(b), sum(c), sum(d))) AS fingerprint FROM p""")
 def tree_fingerprint(spark, sf_dir):
-    return ops.tree_fingerprint(table(spark, sf_dir, "nation"), "n_nationkey", "n_name")
+    return ops.tree_fingerprint(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query("""SELECT page_id, sha256(regexp_replace(regexp_replace(coalesce(url, ''), '#.*$', ''), '[?].*$', '')) AS url_hash FROM pages""")

@@ -6,25 +6,29 @@ from pyspark.sql import functions as F
 
 from siltworks.operators import joining as ops
 from siltworks.plans.registry import query, table
+from siltworks.sources import paged
 
 
-@query("""WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, min(event_id) AS event_id FROM events WHERE event_type = 'purchase' AND event_id % 29 = 0 GROUP BY 1)
+@query("""WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, min(event_id) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY 1)
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN n = 1 THEN event_id END AS event_id, CASE WHEN n IS NULL THEN 'missing' WHEN n = 1 THEN 'linked' ELSE 'ambiguous' END AS outcome
 FROM orders LEFT JOIN e ON strftime(o_orderdate, '%Y-%m-%d') = day""")
 def date_cardinality_link(spark, sf_dir):
     day = lambda c: F.date_format(c, "yyyy-MM-dd").alias("day")
-    events = table(spark, sf_dir, "events").where("event_type = 'purchase' and event_id % 29 = 0").select(day("ts"), "event_id")
+    events = table(spark, sf_dir, "events").where("event_type = 'purchase'").select(day("ts"), "event_id")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", day("o_orderdate"))
     return ops.link_if_unique(orders, events, "day", "event_id").select("o_orderkey", "day", "event_id", "outcome")
 
 
-@query("""WITH k AS (SELECT regexp_extract(url, '://([^/?#]+)', 1) AS host, page_id FROM pages), g AS (SELECT host, list_sort(list(page_id)) AS ids FROM k WHERE page_id % 3 = 0 GROUP BY host)
-SELECT page_id, k.host, coalesce(array_to_string(ids, ','), '') AS related, coalesce(len(ids), 0) = 1 AS is_unique FROM k LEFT JOIN g ON k.host = g.host""")
+@query("""WITH k AS (SELECT regexp_extract(url, '://([^/?#]+)', 1) AS host, page_id FROM pages), g AS (SELECT host, min(page_id) AS first_id, count(*) AS n FROM k GROUP BY host)
+SELECT page_id, host, first_id, n, n = 1 AS is_unique FROM k JOIN g USING (host)""")
 def exact_key_relations(spark, sf_dir):
+    """Each page with the class of its key: its first page, its size, and whether the key is unique.
+
+    Classes are counted before the join, so a key that many pages share costs no more than others.
+    """
     pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "://([^/?#]+)", 1).alias("host"))
-    known = pages.where("page_id % 3 = 0").groupBy("host").agg(F.sort_array(F.collect_list("page_id")).alias("ids"))
-    ids = F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")
-    return pages.join(known, "host", "left").select("page_id", "host", F.coalesce(ids, F.lit("")).alias("related"), F.coalesce(F.size("ids") == 1, F.lit(False)).alias("is_unique"))
+    classes = pages.groupBy("host").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+    return pages.join(classes, "host").select("page_id", "host", "first_id", "n", (F.col("n") == 1).alias("is_unique"))
 
 
 @query("""WITH a AS (SELECT doc_id, md5(text) AS v FROM documents WHERE doc_id % 3 = 0), b AS (SELECT doc_id, md5(CASE WHEN doc_id % 8 = 0 THEN text || '!' ELSE text END) AS v FROM documents WHERE doc_id % 4 = 0)
@@ -71,10 +75,10 @@ def coverage_by_source(spark, sf_dir):
     return joined.groupBy("source").agg(F.count("*").alias("n"), F.count("has").alias("covered"), F.every(has).alias("complete"), F.round(F.count("has") / F.count("*"), 6).alias("share"))
 
 
-@query("""WITH s AS (SELECT CAST(ts AS DATE) AS day, event_id, value FROM events WHERE event_type = 'signup' AND event_id % 7 = 0), b AS (SELECT day, event_id, row_number() OVER (PARTITION BY day ORDER BY value DESC, event_id) AS k FROM s)
+@query("""WITH s AS (SELECT CAST(ts AS DATE) AS day, event_id, value FROM events WHERE event_type = 'signup'), b AS (SELECT day, event_id, row_number() OVER (PARTITION BY day ORDER BY value DESC, event_id) AS k FROM s)
 SELECT o_orderkey, e.event_id, datediff('day', e.day, CAST(o_orderdate AS DATE)) AS age FROM orders o LEFT JOIN LATERAL (SELECT event_id, day FROM b WHERE k = 1 AND b.day <= CAST(o.o_orderdate AS DATE) AND b.day >= CAST(o.o_orderdate AS DATE) - 7 ORDER BY day DESC LIMIT 1) e ON true""")
 def asof_prior_summary(spark, sf_dir):
-    events = table(spark, sf_dir, "events").where("event_type = 'signup' and event_id % 7 = 0").select(F.to_date("ts").alias("day"), "event_id", "value")
+    events = table(spark, sf_dir, "events").where("event_type = 'signup'").select(F.to_date("ts").alias("day"), "event_id", "value")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
     return ops.asof_prior(orders, events, "day", 7, F.desc("value"), F.col("event_id")).select("o_orderkey", "event_id", F.col("age").cast("long").alias("age"))
 
@@ -136,3 +140,78 @@ def read_back(spark, sf_dir):
     seen = docs.where("doc_id % 4 = 0").select("doc_id", F.md5(F.when(F.col("doc_id") % 18 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text"))).alias("w"))
     equal = F.count_if(F.col("v") == F.col("w"))
     return expected.join(seen, "doc_id", "left").groupBy("source").agg(F.count("*").alias("expected"), F.count("w").alias("observed"), equal.alias("equal"), (equal == F.count("*")).alias("verified"))
+
+
+@query("""WITH n AS (SELECT DISTINCT lower(p_brand) || '/' || p_type AS name FROM part), t(tag) AS (VALUES ('brand#1/ECONOMY'), ('economy'), ('Small'), ('rand#2'), ('nowhere'), ('promo')),
+h AS (SELECT tag, name, CASE WHEN lower(name) = lower(tag) THEN 1 WHEN string_split(lower(name), '/')[-1] = lower(tag) THEN 2 WHEN contains(lower(name), lower(tag)) THEN 3 ELSE 4 END AS r FROM t, n),
+k AS (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY r, name) AS k FROM h) SELECT tag, CAST(r AS BIGINT) AS match_rank, name FROM k WHERE k = 1""")
+def tag_resolution(spark, sf_dir):
+    """Requested tags against a tag tree: exact, last part, part of a name, else the first."""
+    names = table(spark, sf_dir, "part").select(F.concat(F.lower("p_brand"), F.lit("/"), F.col("p_type")).alias("name"))
+    asked = spark.createDataFrame([("brand#1/ECONOMY",), ("economy",), ("Small",), ("rand#2",), ("nowhere",), ("promo",)], "tag string")
+    return ops.resolved_tags(asked, names, "tag", "name")
+
+
+@query("""WITH c AS (SELECT source, lang, count(*) // 3 AS s FROM documents GROUP BY ALL), m AS (SELECT source, max(s) AS top FROM c GROUP BY source),
+a AS (SELECT source, count(*) FILTER (WHERE s = top) AS n, min(lang) FILTER (WHERE s = top) AS best, count(*) FILTER (WHERE starts_with(lang, 'e')) AS k, min(lang) FILTER (WHERE starts_with(lang, 'e')) AS word FROM c JOIN m USING (source) GROUP BY source)
+SELECT source, CASE WHEN n = 1 THEN 'scored' WHEN k = 1 THEN 'keyword' ELSE 'ambiguous' END AS outcome, CASE WHEN n = 1 THEN best WHEN k = 1 THEN word END AS choice FROM a""")
+def property_choice(spark, sf_dir):
+    candidates = table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.floor(F.count("*") / 3).alias("s"))
+    return ops.unique_best(candidates, "source", "lang", "s", F.startswith("lang", F.lit("e")))
+
+
+@query("""WITH m AS (SELECT md5(text) AS identity, count(*) AS n, min(doc_id) AS doc_id FROM documents WHERE doc_id % 3 <> 0 AND text IS NOT NULL GROUP BY 1)
+SELECT d.doc_id, CASE WHEN m.n IS NULL THEN 'absent' WHEN m.n > 1 THEN 'conflict' ELSE 'indexed' END AS outcome, CASE WHEN m.n = 1 THEN m.doc_id END AS place FROM documents d LEFT JOIN m ON md5(d.text) = m.identity WHERE d.doc_id % 2 = 0""")
+def mirror_lookup(spark, sf_dir):
+    """Records looked up in a mirror by identity; copies in the mirror are conflicts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("identity"))
+    index = ops.unique_index(docs.where("doc_id % 3 <> 0").select("identity", F.col("doc_id").alias("place")), "identity", "place")
+    return docs.where("doc_id % 2 = 0").join(index, "identity", "left").select("doc_id", F.coalesce("outcome", F.lit("absent")).alias("outcome"), "place")
+
+
+@query("""WITH o AS (SELECT source, lang AS owner, 1 AS p FROM documents WHERE doc_id % 50 = 0 UNION ALL SELECT source, 'en', 2 FROM documents WHERE doc_id % 50 = 1)
+SELECT source, CASE WHEN min(owner) = max(owner) THEN min(owner) END AS owner, CASE WHEN min(owner) = max(owner) THEN 'owned' ELSE 'rejected' END AS outcome FROM o GROUP BY source""")
+def owner_overlap(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    maps = docs.where("doc_id % 50 = 0").select("source", F.col("lang").alias("owner"), F.lit(1).alias("p")).unionByName(docs.where("doc_id % 50 = 1").select("source", F.lit("en").alias("owner"), F.lit(2).alias("p")))
+    return ops.merged_owners(maps, "source", "owner", "p")
+
+
+@query("""WITH s AS (SELECT doc_id, md5(text) AS v, lang FROM documents), d AS (SELECT doc_id, CASE WHEN doc_id % 14 = 0 THEN md5(text || 'x') ELSE md5(text) END AS v, CASE WHEN doc_id % 15 = 0 THEN 'xx' ELSE lang END AS lang FROM documents WHERE doc_id % 9 <> 0)
+SELECT s.doc_id, CASE WHEN d.doc_id IS NULL THEN 'detail_missing' WHEN s.v <> d.v OR s.lang <> d.lang THEN 'detail_differs' ELSE 'ok' END AS outcome FROM s LEFT JOIN d USING (doc_id)""")
+def detail_consistency(spark, sf_dir):
+    """Listed rows with their details: those that disagree or lack one go to the holds."""
+    docs = table(spark, sf_dir, "documents")
+    listed = docs.select("doc_id", F.md5("text").alias("v"), "lang")
+    edited = F.when(F.col("doc_id") % 14 == 0, F.md5(F.concat("text", F.lit("x")))).otherwise(F.md5("text"))
+    details = docs.where("doc_id % 9 <> 0").select("doc_id", edited.alias("v"), F.when(F.col("doc_id") % 15 == 0, "xx").otherwise(F.col("lang")).alias("lang"))
+    good, held = paged.with_details(listed, details, "doc_id", "v", "lang")
+    return good.select("doc_id", F.lit("ok").alias("outcome")).unionByName(held.select("doc_id", F.col("reason").alias("outcome")))
+
+
+@query("""WITH p AS (SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // 20 AS page FROM events), m AS (SELECT max(page) + 1 AS n FROM p)
+SELECT event_id, page, event_id % 20 = 4 AND page IN (7 % n, 8 % n, 9 % n) AS audited FROM p, m WHERE page < 3 OR page IN (7 % n, 8 % n, 9 % n)""")
+def window_scan(spark, sf_dir):
+    """A bounded scan: the three newest pages, three after a rotating cursor, and one row of each of these to audit."""
+    pages = paged.pages_of(table(spark, sf_dir, "events").select("event_id"), "event_id", 20)
+    found = paged.scan_window(pages, "page", 7)
+    last = pages.agg((F.max("page") + 1).alias("n"))
+    turned = F.exists(F.array(*(F.lit(7 + i) % F.col("n") for i in range(3))), lambda x: x == F.col("page"))
+    return found.crossJoin(F.broadcast(last)).select("event_id", "page", ((F.col("event_id") % 20 == 4) & turned).alias("audited"))
+
+
+@query("""WITH s AS (SELECT doc_id, md5(text) AS v FROM documents WHERE doc_id % 11 <> 0), t AS (SELECT doc_id, md5(CASE WHEN doc_id % 7 = 0 THEN text || 'x' ELSE text END) AS v, doc_id % 20 AS age FROM documents WHERE doc_id % 10 <> 0),
+m AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 2 ELSE 1 END AS n FROM documents WHERE doc_id % 5 <> 1)
+SELECT s.doc_id, CASE WHEN m.n > 1 THEN 'conflict' WHEN t.doc_id IS NULL THEN 'detail_required' WHEN t.v <> s.v THEN 'changed' WHEN m.n IS NULL THEN 'detail_required' WHEN t.age >= 15 THEN 'recheck' ELSE 'unchanged' END AS outcome
+FROM s LEFT JOIN t USING (doc_id) LEFT JOIN m USING (doc_id)""")
+def list_classes(spark, sf_dir):
+    """A list scan against state and mirrors: unchanged rows take the fast path, others need detail or are conflicts."""
+    docs, d = table(spark, sf_dir, "documents"), F.col("doc_id")
+    scan = docs.where("doc_id % 11 <> 0").select("doc_id", F.md5("text").alias("v"))
+    state = docs.where("doc_id % 10 <> 0").select("doc_id", F.md5(F.when(d % 7 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text"))).alias("held"), (d % 20).alias("age"))
+    mirrors = docs.where("doc_id % 5 <> 1").select("doc_id", F.when(d % 13 == 0, 2).otherwise(1).alias("n"))
+    outcome = (
+        F.when(F.col("n") > 1, "conflict").when(F.col("held").isNull(), "detail_required").when(F.col("held") != F.col("v"), "changed").when(F.col("n").isNull(), "detail_required")
+        .when(F.col("age") >= 15, "recheck").otherwise("unchanged")
+    )
+    return scan.join(state, "doc_id", "left").join(mirrors, "doc_id", "left").select("doc_id", outcome.alias("outcome"))

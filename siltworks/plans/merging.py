@@ -54,12 +54,16 @@ def batch_packing(spark, sf_dir):
     return packed.select("l_orderkey", (F.array_max("b") + 1).cast("long").alias("batches"), F.array_join(F.transform("b", lambda x: x.cast("string")), ",").alias("assigned"))
 
 
-@query()
+@query("""WITH o AS (SELECT conv_id, role, coalesce(text, '') AS text, row_number() OVER w AS i, lag(role) OVER w AS b FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+g AS (SELECT *, sum(CASE WHEN b = role THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY i) AS r FROM o), m AS (SELECT conv_id, r, first(role) AS role, string_agg(text, '' ORDER BY i) AS t FROM g GROUP BY conv_id, r)
+SELECT conv_id, count(*) AS runs, md5(string_agg(role || ':' || md5(t), '|' ORDER BY r)) AS digest FROM m GROUP BY conv_id""")
 def merged_runs(spark, sf_dir):
     """Neighbouring turns of one role joined."""
-    turns = F.transform(F.sort_array(F.collect_list(F.struct("turn", F.col("role").alias("kind"), F.substr("text", F.lit(1), F.lit(20)).alias("text")))), lambda x: F.struct(x["kind"].alias("kind"), x["text"].alias("text")))
+    turn = F.struct("turn", F.col("role").alias("kind"), F.coalesce("text", F.lit("")).alias("text"))
+    turns = F.transform(F.sort_array(F.collect_list(turn)), lambda x: F.struct(x["kind"].alias("kind"), x["text"].alias("text")))
     merged = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("t")).select("conv_id", ops.merge_runs(F.col("t")).alias("m"))
-    return merged.select("conv_id", F.size("m").cast("long").alias("runs"), F.md5(F.to_json("m")).alias("digest"))
+    digest = F.md5(F.array_join(F.transform("m", lambda x: F.concat(x["kind"], F.lit(":"), F.md5(x["text"]))), "|"))
+    return merged.select("conv_id", F.size("m").cast("long").alias("runs"), digest.alias("digest"))
 
 
 @query()
@@ -76,9 +80,10 @@ def managed_blocks(spark, sf_dir):
     return ops.keep_newest(blocks, ["source"], "period", "doc_id")
 
 
-@query("""SELECT conv_id, CAST(count(*) - 1 AS BIGINT) AS appended FROM conversations GROUP BY conv_id""")
+@query("""SELECT conv_id, CASE WHEN conv_id % 5 = 0 AND count(*) > 1 THEN NULL ELSE CAST(greatest(count(*) - 2, 0) AS BIGINT) END AS appended FROM conversations GROUP BY conv_id""")
 def human_append(spark, sf_dir):
-    """Turns after a managed first one, where the first is still in place."""
+    """Turns behind the two managed ones where these are still in place; null where the second was edited by hand."""
     texts = F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", F.md5("text").alias("h")))), lambda x: x["h"])
-    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(texts.alias("t"))
-    return rows.select("conv_id", F.size(ops.unmanaged_suffix(F.col("t"), F.slice("t", 1, 1))).cast("long").alias("appended"))
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(texts.alias("managed"))
+    seen = F.transform("managed", lambda h, place: F.when((F.col("conv_id") % 5 == 0) & (place == 1), F.md5(F.concat(h, F.lit("x")))).otherwise(h))
+    return rows.select("conv_id", F.size(ops.unmanaged_suffix(seen, F.slice("managed", 1, 2))).cast("long").alias("appended"))

@@ -102,7 +102,9 @@ def theme_hits(spark, sf_dir):
     """(doc_id, source, theme, weight): themes by whole ASCII words."""
     rules = spark.createDataFrame(THEMES, "theme string, word string, weight long")
     docs = table(spark, sf_dir, "documents")
-    words = docs.select("doc_id", "source", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))).alias("word"))
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))
+    # only words of rules are exploded
+    words = docs.select("doc_id", "source", F.explode(F.array_intersect(found, F.array(*(F.lit(w) for w in sorted({w for _, w, _ in THEMES}))))).alias("word"))
     return words.join(F.broadcast(rules), "word").groupBy("doc_id", "source", "theme").agg(F.max("weight").alias("weight"))
 
 
@@ -150,3 +152,72 @@ def opaque_counts(spark, sf_dir):
     props = F.from_json("props", "map<string,string>")
     events = table(spark, sf_dir, "events").select("event_type", props.alias("p"))
     return events.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("p")["k"].isNull()).alias("without_k"), F.sum(F.size("p")).alias("keys"))
+
+
+@query("""WITH a AS (SELECT doc_id, doc_id % 3 <> 1 AS saved, doc_id % 4 <> 1 AS verified, doc_id % 25 = 0 AS held FROM documents)
+SELECT count(*) AS observed, count(*) FILTER (WHERE saved) AS saved, count(*) FILTER (WHERE saved AND verified) AS both_verified, count(*) FILTER (WHERE held) AS holds, count(*) FILTER (WHERE NOT (saved AND verified) AND NOT held) AS pending,
+CASE WHEN count(*) = count(*) FILTER (WHERE saved AND verified) AND count(*) FILTER (WHERE held) = 0 THEN 'verified' WHEN count(*) FILTER (WHERE held) > 0 THEN 'held' ELSE 'pending' END AS status FROM a""")
+def receipt_summary(spark, sf_dir):
+    """One row: what an index has observed, saved, verified at both targets, holds and waits for."""
+    d = F.col("doc_id")
+    saved, both, held = d % 3 != 1, (d % 3 != 1) & (d % 4 != 1), d % 25 == 0
+    sums = table(spark, sf_dir, "documents").agg(
+        F.count("*").alias("observed"), F.count_if(saved).alias("saved"), F.count_if(both).alias("both_verified"), F.count_if(held).alias("holds"), F.count_if(~both & ~held).alias("pending")
+    )
+    status = F.when((F.col("observed") == F.col("both_verified")) & (F.col("holds") == 0), "verified").when(F.col("holds") > 0, "held").otherwise("pending")
+    return sums.withColumn("status", status)
+
+
+@query("""WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events WHERE event_type = 'signup' GROUP BY 1)
+SELECT CASE WHEN n IS NULL THEN 'missing' WHEN n = 1 THEN 'linked' ELSE 'ambiguous' END AS outcome, count(*) AS n, CAST(count(DISTINCT o_custkey) AS BIGINT) AS customers FROM orders LEFT JOIN e ON strftime(o_orderdate, '%Y-%m-%d') = day GROUP BY 1""")
+def run_counters(spark, sf_dir):
+    """A run's counters by outcome of its links."""
+    from siltworks.operators.joining import link_if_unique
+
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias("day")
+    events = table(spark, sf_dir, "events").where("event_type = 'signup'").select(day("ts"), "event_id")
+    linked = link_if_unique(table(spark, sf_dir, "orders").select("o_custkey", day("o_orderdate")), events, "day", "event_id")
+    return linked.groupBy("outcome").agg(F.count("*").alias("n"), F.countDistinct("o_custkey").alias("customers"))
+
+
+@query("""SELECT event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last, max(event_id) AS last_id, count(DISTINCT user_id) AS users, arg_max(user_id, (ts, event_id)) AS last_user FROM events GROUP BY event_type""")
+def batch_watermarks(spark, sf_dir):
+    """What a state keeps of a batch: its newest stamp, the row of it, how many ids."""
+    newest = F.max_by("user_id", F.struct("ts", "event_id"))
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("last"), F.max("event_id").alias("last_id"), F.countDistinct("user_id").alias("users"), newest.alias("last_user"))
+
+
+@query("""WITH t AS (SELECT source, CASE WHEN contains(text, 'rights') THEN 'rights' WHEN contains(text, 'license') THEN 'license' END AS topic, lang FROM documents),
+c AS (SELECT source, topic AS name, 0 AS fallback, count(*) AS n FROM t WHERE topic IS NOT NULL GROUP BY ALL UNION ALL SELECT source, lang, 1, count(*) FROM t WHERE source NOT IN (SELECT source FROM t WHERE topic IS NOT NULL) GROUP BY ALL)
+SELECT source, name, fallback = 1 AS is_fallback, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, name) AS rank FROM c) WHERE rank <= 2""")
+def topics_or_tokens(spark, sf_dir):
+    """The two commonest topics of each source; a source without any gets its commonest tokens."""
+    from siltworks.operators.ranking import top_per_group
+
+    rows = table(spark, sf_dir, "documents").select("source", F.when(F.contains("text", F.lit("rights")), "rights").when(F.contains("text", F.lit("license")), "license").alias("topic"), "lang")
+    topics = rows.where("topic is not null").groupBy("source", F.col("topic").alias("name")).agg(F.count("*").alias("n")).withColumn("is_fallback", F.lit(False))
+    tokens = rows.groupBy("source", F.col("lang").alias("name")).agg(F.count("*").alias("n")).join(topics.select("source"), "source", "left_anti").withColumn("is_fallback", F.lit(True))
+    return top_per_group(topics.unionByName(tokens), ["source"], [F.desc("n"), F.col("name")], 2).select("source", "name", "is_fallback", "n", "rank")
+
+
+@query("""WITH e AS (SELECT user_id, event_id, event_type = 'error' AS bad FROM events), s AS (SELECT *, lag(bad) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM e), c AS (SELECT user_id, event_id, bad FROM s WHERE bad <> coalesce(b, false)),
+h AS (SELECT user_id, event_id AS held_at, bad, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS resolved_at FROM c) SELECT user_id, held_at, resolved_at, CASE WHEN resolved_at IS NULL THEN 'held' ELSE 'resolved' END AS state FROM h WHERE bad""")
+def hold_history(spark, sf_dir):
+    """Holds of each source with when they were set and resolved; history stays."""
+    from pyspark.sql import Window
+
+    from siltworks.operators.ranking import change_points
+
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    turns = change_points(table(spark, sf_dir, "events").select("user_id", "event_id", (F.col("event_type") == "error").alias("bad")), "user_id", "event_id", "bad")
+    holds = turns.withColumn("resolved_at", F.lead("event_id").over(w)).where("bad")
+    return holds.select("user_id", F.col("event_id").alias("held_at"), "resolved_at", F.when(F.col("resolved_at").isNull(), "held").otherwise("resolved").alias("state"))
+
+
+@query("""WITH p AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS n, max(event_id) AS cursor, max(event_id) FILTER (WHERE event_type = 'purchase') AS claimed FROM events GROUP BY user_id)
+SELECT user_id, CASE WHEN n = 0 THEN 'no_promotion' WHEN claimed <> cursor THEN 'cursor_differs' ELSE 'consistent' END AS finding FROM p""")
+def promotion_check(spark, sf_dir):
+    """Whether a promotion's cursor is the one that its source stands at."""
+    sums = table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("event_id").alias("cursor"), F.max(F.when(F.col("event_type") == "purchase", F.col("event_id"))).alias("claimed"))
+    finding = F.when(F.col("claimed").isNull(), "no_promotion").when(F.col("claimed") != F.col("cursor"), "cursor_differs").otherwise("consistent")
+    return sums.select("user_id", finding.alias("finding"))

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltworks.functions import dates, hashing, text
+from siltworks.functions import dates, hashing, numbers, text
 from siltworks.plans.registry import query, table
 
 #: Titles with dates, tags and noise, derived from documents by fixed rules.
-TITLE_SQL = """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '2024-01-15 ' WHEN doc_id % 3 = 1 THEN '20240115_1030 ' ELSE '' END || substr(string_split(text, chr(10))[1], 1, 60) || CASE WHEN doc_id % 4 = 0 THEN ' #tag' ELSE '' END AS title FROM documents"""
+TITLE_SQL = """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '2024-01-15 ' WHEN doc_id % 3 = 1 THEN '20240115_1030 ' ELSE '' END || string_split(text, chr(10))[1] || CASE WHEN doc_id % 4 = 0 THEN ' #tag' ELSE '' END AS title FROM documents"""
 
 
 def titles(spark, sf_dir):
-    line = F.left(F.get(F.split("text", "\n"), F.lit(0)), F.lit(60))
+    line = F.get(F.split("text", "\n"), F.lit(0))
     prefix = F.when(F.col("doc_id") % 3 == 0, "2024-01-15 ").when(F.col("doc_id") % 3 == 1, "20240115_1030 ").otherwise("")
     title = F.concat(prefix, line, F.when(F.col("doc_id") % 4 == 0, " #tag").otherwise(""))
     return table(spark, sf_dir, "documents").select("doc_id", title.alias("title"))
@@ -67,13 +67,13 @@ def markdown_blocks(spark, sf_dir):
     return rows.select("doc_id", "pos", F.substring_index("chunk", "\t", 1).alias("type"), F.md5(F.regexp_replace("chunk", "^[^\t]*\t", "")).alias("content_md5"))
 
 
-LINK_SQL = "SELECT doc_id, 'see https://a.example.com/' || doc_id || '?x=1, then http://b.example.org/p. ' || substr(text, 1, 50) || ' https://a.example.com/' || doc_id || '?x=1' AS t FROM documents"
+LINK_SQL = "SELECT doc_id, 'see https://a.example.com/' || doc_id || '?x=1, then http://b.example.org/p. ' || text || ' https://a.example.com/' || doc_id || '?x=1' AS t FROM documents"
 
 
 @query(rf"""SELECT doc_id, array_to_string(l, ' ') AS urls, len(l) AS n FROM (SELECT doc_id, list_transform(regexp_extract_all(t, 'https?://[^\s<>"'')\]]+'), lambda u: regexp_replace(u, '[.,;:!?]+$', '')) AS a,
 list_filter(a, lambda x, i: list_position(a, x) = i) AS l FROM ({LINK_SQL}))""")
 def url_extract(spark, sf_dir):
-    t = F.concat(F.lit("see https://a.example.com/"), F.col("doc_id").cast("string"), F.lit("?x=1, then http://b.example.org/p. "), F.left("text", F.lit(50)), F.lit(" https://a.example.com/"), F.col("doc_id").cast("string"), F.lit("?x=1"))
+    t = F.concat(F.lit("see https://a.example.com/"), F.col("doc_id").cast("string"), F.lit("?x=1, then http://b.example.org/p. "), F.col("text"), F.lit(" https://a.example.com/"), F.col("doc_id").cast("string"), F.lit("?x=1"))
     found = text.urls(t)
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(found, " ").alias("urls"), F.size(found).cast("long").alias("n"))
 
@@ -101,10 +101,13 @@ def html_meta(spark, sf_dir):
     return html.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("lang"), F.regexp_count("html", F.lit("<a href=")).cast("long").alias("links"))
 
 
-@query("SELECT doc_id, 'doc-' || doc_id AS id, lang, CAST(3 AS BIGINT) AS fields FROM documents")
+@query("""SELECT doc_id, CASE WHEN doc_id % 5 <> 4 THEN 'doc-' || doc_id END AS id, CASE WHEN doc_id % 5 IN (1, 3) THEN 'xx' WHEN doc_id % 5 <> 4 THEN lang END AS lang, CAST(CASE doc_id % 5 WHEN 4 THEN 0 WHEN 2 THEN 4 ELSE 3 END AS BIGINT) AS fields FROM documents""")
 def frontmatter_parse(spark, sf_dir):
-    """Heads rendered from the columns and parsed again."""
-    made = F.concat(F.lit("---\nid: doc-"), F.col("doc_id").cast("string"), F.lit("\nlang: "), F.col("lang"), F.lit("\nsource: "), F.col("source"), F.lit("\n---\n"), F.col("text"))
+    """Heads rendered from the columns and parsed again: keys twice, values with colons, other line ends, no head."""
+    k = F.col("doc_id") % 5
+    head = F.concat(F.lit("---\nid: doc-"), F.col("doc_id").cast("string"), F.lit("\nlang: "), F.col("lang"), F.lit("\nsource: "), F.col("source"))
+    tail = F.when(k == 1, "\nlang: xx\n---\n").when(k == 2, "\nurl: https://a.example/x: y\n---\n").when(k == 3, "\nlang: xx\n  indented: no\n---\n").otherwise("\n---\n")
+    made = F.concat(F.when(k == 4, F.replace(head, F.lit("---\n"), F.lit(""))).when(k == 3, F.replace(head, F.lit("\n"), F.lit("\r\n"))).otherwise(head), tail, F.col("text"))
     parsed = table(spark, sf_dir, "documents").select("doc_id", text.front_matter(made).alias("m"))
     return parsed.select("doc_id", F.col("m")["id"].alias("id"), F.col("m")["lang"].alias("lang"), F.size("m").cast("long").alias("fields"))
 
@@ -146,9 +149,9 @@ def canonical_digest(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(row, 256).alias("digest"))
 
 
-@query("""SELECT n_nationkey, sha1('blob ' || strlen(n_name) || chr(0) || n_name) AS blob FROM nation""")
+@query("""SELECT doc_id, sha1(CAST('blob ' || strlen(text) AS BLOB) || '\\x00'::BLOB || encode(text)) AS blob FROM documents""")
 def blob_identity(spark, sf_dir):
-    return table(spark, sf_dir, "nation").select("n_nationkey", hashing.blob_sha1(F.col("n_name")).alias("blob"))
+    return table(spark, sf_dir, "documents").select("doc_id", hashing.blob_sha1(F.col("text")).alias("blob"))
 
 
 @query("""WITH d AS (SELECT strftime(d, '%Y-%m-%d') AS day FROM (SELECT unnest(range(TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-20', INTERVAL 1 DAY)) AS d))
@@ -158,3 +161,142 @@ def day_partitions(spark, sf_dir):
     days = spark.sql("SELECT explode(sequence(DATE'2024-01-10', DATE'2024-01-19')) AS day").select(F.date_format("day", "yyyy-MM-dd").alias("day"))
     counts = table(spark, sf_dir, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
     return days.join(counts, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query(r"""SELECT page_id, array_to_string(list_filter(r, lambda x, i: list_position(r, x) = i AND NOT regexp_matches(x, '^(?:[A-Za-z][A-Za-z0-9+.-]*:|//|#)')), ' ') AS refs FROM (SELECT page_id, list_concat(
+regexp_extract_all(html, '(?:src|href)="([^"]+)"', 1), ['b.png', 'c.png', 'img/x.png', 'theme.css']) AS r FROM pages)""")
+def bundle_references(spark, sf_dir):
+    """Local files that a page needs: attributes, srcset, CSS url() and @import; each once, in order of dialect."""
+    made = F.concat("html", F.lit("<img srcset=\"b.png 1x, c.png 2x\"><style>@import 'theme.css'; p{background:url(img/x.png)}</style>"))
+    return table(spark, sf_dir, "pages").select("page_id", F.array_join(text.local_references(made), " ").alias("refs"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'wiki' WHEN 1 THEN 'link' WHEN 2 THEN 'code' WHEN 3 THEN 'wiki' ELSE 'text' END AS kind, CASE doc_id % 5 WHEN 0 THEN source || '/note' WHEN 1 THEN source || '/a.md' WHEN 2 THEN source || '.py' WHEN 3 THEN source ELSE source || ' plain' END AS target,
+CASE doc_id % 5 WHEN 0 THEN 'shown' WHEN 1 THEN 'label' WHEN 2 THEN source || '.py' WHEN 3 THEN source ELSE source || ' plain' END AS label FROM documents""")
+def markdown_references(spark, sf_dir):
+    k, s = F.col("doc_id") % 5, F.col("source")
+    raw = (
+        F.when(k == 0, F.concat(F.lit("- [["), s, F.lit("/note#part|shown]]"))).when(k == 1, F.concat(F.lit("[label]("), s, F.lit("/a.md)"))).when(k == 2, F.concat(F.lit("`"), s, F.lit(".py`")))
+        .when(k == 3, F.concat(F.lit("[["), s, F.lit("]]"))).otherwise(F.concat(F.lit("* "), s, F.lit(" plain")))
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", text.reference(raw).alias("r")).select("doc_id", "r.kind", "r.target", "r.label")
+
+
+@query(r"""SELECT doc_id, lang || chr(10) || chr(10) || source || ' end' AS body FROM documents""")
+def body_normalised(spark, sf_dir):
+    """Line ends made one, written escapes too, a leading title and blank runs out."""
+    raw = F.concat(F.lit("# Title\r\n\r\nTitle\n"), F.col("lang"), F.lit("\\n\n\n\r\n"), F.col("source"), F.lit(" end \r\n\n"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.normal_body(F.lit("Title"), raw).alias("body"))
+
+
+@query(r"""SELECT page_id, CASE WHEN page_id % 3 = 2 THEN NULL ELSE lower(regexp_extract(url, '^(https?)://', 1)) || '://' || regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '^www[.]', '') || regexp_extract(url, '^https?://[^/?#]+([^?#]*?)/?(?:[?#]|$)', 1) END AS normal
+FROM (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'HTTPS://WWW.Example.COM/a/' || page_id || '/?x=1#t' WHEN page_id % 3 = 1 THEN 'http://b.example.org' ELSE 'mailto:x' END AS u0, CASE WHEN page_id % 3 = 0 THEN 'https://www.Example.COM/a/' || page_id || '/?x=1#t' WHEN page_id % 3 = 1 THEN 'http://b.example.org' ELSE 'mailto:x' END AS url FROM pages)""")
+def url_normalised(spark, sf_dir):
+    k = F.col("page_id") % 3
+    url = F.when(k == 0, F.concat(F.lit("HTTPS://WWW.Example.COM/a/"), F.col("page_id").cast("string"), F.lit("/?x=1#t"))).when(k == 1, "http://b.example.org").otherwise("mailto:x")
+    return table(spark, sf_dir, "pages").select("page_id", text.normal_url(url).alias("normal"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '' ELSE source || ',' || lang || ',x' END AS tags FROM documents""")
+def tag_directive(spark, sf_dir):
+    """Tags after the last marker of a text, each once."""
+    d = F.col("doc_id")
+    said = F.concat(F.lit("text tags: old, tags: "), F.col("source"), F.lit(", "), F.col("lang"), F.lit(" and "), F.col("source"), F.lit("; #x."))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.requested_tags(F.when(d % 4 != 0, said).otherwise("no marker"), "tags:"), ",").alias("tags"))
+
+
+@query(r"""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'untitled' ELSE 'a_b_c ' || source END AS file_name, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'a/b:c  ' || source || '.' END AS title,
+replace(replace(replace('[' || source || '](x) *' || lang || '*', '[', chr(92) || '['), ']', chr(92) || ']'), '*', chr(92) || '*') AS label FROM documents""")
+def safe_names(spark, sf_dir):
+    title = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("a/b:c  "), F.col("source"), F.lit(".")))
+    label = F.concat(F.lit("["), F.col("source"), F.lit("](x) *"), F.col("lang"), F.lit("*"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.file_name(title, 90).alias("file_name"), title.alias("title"), text.escaped_label(label).alias("label"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'image/png' WHEN 1 THEN 'image/jpeg' WHEN 2 THEN 'application/pdf' WHEN 3 THEN 'image/webp' WHEN 4 THEN 'application/zip' ELSE 'application/octet-stream' END AS mime FROM documents""")
+def mime_sniff(spark, sf_dir):
+    heads = F.array(*(F.lit(h) for h in ("89504E470D0A1A0A", "FFD8FFE0", "255044462D", "5249464600000000574542505650", "504B0304", "00")))
+    content = F.concat(F.unhex(F.get(heads, (F.col("doc_id") % 6).cast("int"))), F.encode("text", "UTF-8"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.mime_of(F.when(F.col("doc_id") % 6 == 5, F.unhex(F.lit("0001"))).otherwise(content)).alias("mime"))
+
+
+@query("""SELECT doc_id, '---' || chr(10) || 'id: ' || doc_id || chr(10) || 'lang: ' || lang || chr(10) || 'source: ' || source || chr(10) || '---' || chr(10) AS head FROM documents""")
+def frontmatter_render(spark, sf_dir):
+    fields = F.create_map(F.lit("source"), F.col("source"), F.lit("id"), F.col("doc_id").cast("string"), F.lit("lang"), F.col("lang"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.render_front_matter(fields).alias("head"))
+
+
+@query("""WITH s AS (SELECT doc_id, [struct_pack(heading := '', body := 'lead ' || lang, items := 0), struct_pack(heading := 'One', body := source || ' first', items := 0), struct_pack(heading := 'Two', body := '- a' || chr(10) || '- b', items := 2)] AS r FROM documents),
+e AS (SELECT doc_id, unnest(r) AS x, generate_subscripts(r, 1) - 1 AS pos FROM s) SELECT doc_id, CAST(pos AS BIGINT) AS pos, x.heading AS heading, x.body AS body, CAST(x.items AS BIGINT) AS items FROM e""")
+def markdown_sections(spark, sf_dir):
+    """Sections of a Markdown text: heading, body, number of list items."""
+    made = F.concat(F.lit("lead "), F.col("lang"), F.lit("\n## One\n"), F.col("source"), F.lit(" first\n\n## Two\n- a\n- b\n"))
+    each = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.sections(made)).alias("pos", "s"))
+    return each.select("doc_id", F.col("pos").cast("long").alias("pos"), "s.heading", "s.body", F.size(F.filter(F.split("s.body", "\n"), lambda x: x.rlike("^[-*] "))).cast("long").alias("items"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 4 = 1 THEN NULL ELSE CAST(8 AS BIGINT) + length(lang) END AS start, CASE WHEN doc_id % 4 = 1 THEN NULL ELSE length(source) END AS length, CASE WHEN doc_id % 4 = 1 THEN NULL ELSE strlen(source) END AS bytes FROM documents""")
+def region_slots(spark, sf_dir):
+    """The slot between two markers that each stand once in a text; else none."""
+    d = F.col("doc_id")
+    made = F.concat("lang", F.lit("<!--a-->"), "source", F.lit("<!--b-->"), F.when(d % 4 == 1, "<!--a-->").otherwise(""))
+    slot = text.region(made, "<!--a-->", "<!--b-->")
+    return table(spark, sf_dir, "documents").select("doc_id", slot.alias("s")).select("doc_id", (F.col("s.start") - 1).alias("start"), "s.length", "s.bytes")
+
+
+@query("""SELECT o_orderkey, CASE WHEN h > 0 THEN h || '小时' ELSE '' END || CASE WHEN m > 0 THEN m || '分' ELSE '' END || CASE WHEN s > 0 OR h = 0 AND m = 0 THEN s || '秒' ELSE '' END AS spoken
+FROM (SELECT o_orderkey, t // 3600 AS h, t % 3600 // 60 AS m, t % 60 AS s FROM (SELECT o_orderkey, CAST(round_even(o_orderkey / 2.0, 0) AS BIGINT) AS t FROM orders))""")
+def spoken_duration(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", numbers.spoken_seconds(F.col("o_orderkey") / 2).alias("spoken"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, greatest(0, least(100, CASE WHEN l_discount * 20 <= 1 THEN l_discount * 2000 ELSE l_discount * 20 END)) AS percent, abs(l_partkey - l_suppkey) * 10 < 1000 AS near FROM lineitem""")
+def progress_and_tolerance(spark, sf_dir):
+    progress = F.col("l_discount") * 20
+    percent = F.greatest(F.lit(0), F.least(F.lit(100), F.when(progress <= 1, F.col("l_discount") * 2000).otherwise(progress)))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", percent.alias("percent"), numbers.near(F.col("l_partkey") * 10, F.col("l_suppkey") * 10).alias("near"))
+
+
+@query("""SELECT event_id, strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M') AS wire, strftime(ts, '%Y年%-m月%-d日') AS read_as, strftime(CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 3 DAY ELSE TIMESTAMP '2024-02-01' - INTERVAL 7 DAY END, '%Y-%m-%d %H:%M:%S') AS since FROM events""")
+def stamps_for_readers(spark, sf_dir):
+    """A stamp to the minute, as a reader's date, and where a next read starts (3 days of overlap, else 7 back)."""
+    ts, now = F.col("ts").cast("timestamp"), F.lit("2024-02-01").cast("timestamp")
+    since = dates.window_start(F.when(F.col("event_id") % 2 == 0, ts), now, 3, 7)
+    return table(spark, sf_dir, "events").select("event_id", F.date_format(F.date_trunc("minute", ts), "yyyy-MM-dd'T'HH:mm").alias("wire"), F.date_format(ts, "yyyy年M月d日").alias("read_as"), F.date_format(since, "yyyy-MM-dd HH:mm:ss").alias("since"))
+
+
+@query("""SELECT event_id, greatest(least(30.0, 0.5 * pow(2, event_id % 8)) * (0.5 + 0.5 * (event_id % 11) / 10), CASE WHEN event_id % 3 = 0 THEN 2.0 ELSE 0.0 END) AS delay FROM events""")
+def retry_delays(spark, sf_dir):
+    """Delays before a next try: doubled up to a limit, jitter down to half, never below what the server asked for."""
+    e = F.col("event_id")
+    delay = numbers.retry_delay(e % 8 + 1, (e % 11) / 10, F.when(e % 3 == 0, 2.0))
+    return table(spark, sf_dir, "events").select("event_id", delay.alias("delay"))
+
+
+@query(r"""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'accepted' WHEN 1 THEN 'malformed' WHEN 2 THEN 'duplicate_key' ELSE 'too_large' END AS outcome FROM documents""")
+def strict_json(spark, sf_dir):
+    """JSON that a capture accepts: well formed, no key twice, within its size."""
+    k = F.col("doc_id") % 4
+    raw = F.when(k == 0, '{"a":{"b":[1,2]},"c":null}').when(k == 1, '{"a":[1,}').when(k == 2, '{"a":1,"a":2}').otherwise(F.concat(F.lit('{"a":"'), F.repeat(F.lit("x"), F.lit(300)), F.lit('"}')))
+    return table(spark, sf_dir, "documents").select("doc_id", text.json_outcome(raw, 200).alias("outcome"))
+
+
+@query(r"""SELECT doc_id, array_to_string(list_filter([CASE WHEN doc_id % 2 = 0 THEN 'art' END, CASE WHEN doc_id % 3 = 0 THEN '学习' END], lambda x: x IS NOT NULL), ',') AS themes FROM documents""")
+def script_aware_themes(spark, sf_dir):
+    """Theme words: ASCII ones only between other characters than letters and digits, those of other scripts anywhere."""
+    made = F.concat(F.when(F.col("doc_id") % 2 == 0, "Fine ART, yes").otherwise("cart smart2 art9"), F.when(F.col("doc_id") % 3 == 0, "今天学习了").otherwise("今天休息"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.keywords_in(made, ("art", "学习")), ",").alias("themes"))
+
+
+RULES = [("/de/", "foreign", "translate", "medium"), ("/fr/", "foreign", "translate", "medium"), ("/en/", "local", "keep", "low")]
+RULE_VALUES = ", ".join(f"({i}, '{p}', '{g}', '{r}', '{k}')" for i, (p, g, r, k) in enumerate(RULES))
+
+
+@query(rf"""WITH r(i, part, grp, advice, risk) AS (VALUES {RULE_VALUES}), h AS (SELECT page_id, i, grp, advice, risk, row_number() OVER (PARTITION BY page_id ORDER BY i NULLS LAST) AS k
+FROM pages LEFT JOIN r ON contains(coalesce(url, ''), part)) SELECT page_id, coalesce(grp, 'other') AS "group", coalesce(advice, 'review') AS advice, coalesce(risk, 'high') AS risk FROM h WHERE k = 1""")
+def rule_table(spark, sf_dir):
+    """Places classified by the first rule of an ordered table that fits."""
+    out = F.struct(F.lit("other").alias("group"), F.lit("review").alias("advice"), F.lit("high").alias("risk"))
+    for part, *fields in reversed(RULES):
+        out = F.when(F.contains(F.coalesce("url", F.lit("")), F.lit(part)), F.struct(*(F.lit(f).alias(n) for f, n in zip(fields, ("group", "advice", "risk"), strict=True)))).otherwise(out)
+    return table(spark, sf_dir, "pages").select("page_id", out.alias("r")).select("page_id", "r.group", "r.advice", "r.risk")

@@ -1,18 +1,32 @@
 """State tables: versions in folders, and a pointer that names the current one.
 
 A commit writes a new folder and then a marker with the next number. Two writers
-that start from one version cannot both commit: the marker of a number is made
-once. A lost writer leaves a folder that no marker names, which changes nothing.
+that start from one version cannot both commit: a marker is written whole under
+another name and then renamed, which fails if the number is taken. A writer that
+is lost at any point leaves files that no marker names, which changes nothing.
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; a temporary one only where it is unset and Spark runs in one process."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="siltworks-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 class CommitConflict(RuntimeError):
     """Another writer committed first."""
 
@@ -48,13 +62,17 @@ class StateTable:
         df.select(*self.schema.fieldNames()).write.parquet(f"{self.path}/data/{name}")
         if self.version() != expected:
             raise CommitConflict(f"version {expected} is not current")
-        marker = self._path(f"commits/{expected + 1}")
-        try:
-            stream = self.fs.create(marker, False)
-        except Exception as e:
-            raise CommitConflict(str(e)) from e
+        written, marker = self._path(f"commits/_{name}"), self._path(f"commits/{expected + 1}")
+        stream = self.fs.create(written, False)
         stream.write(name.encode())
         stream.close()
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        never_replace = self.spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+        never_replace[0] = hadoop.Options.Rename.NONE
+        try:
+            hadoop.FileContext.getFileContext(marker.toUri(), self.spark._jsc.hadoopConfiguration()).rename(written, marker, never_replace)
+        except Py4JJavaError as e:
+            raise CommitConflict(f"version {expected + 1} is taken") from e
         return expected + 1
 
     def upsert(self, rows: DataFrame) -> int:

@@ -39,8 +39,9 @@ def test_fingerprint_ignores_order(spark):
 
 def test_fair_order_takes_keys_in_turn(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 4), ("c", 5)], "k string, seq int")
-    order = ranking.fair_order(df, "k", "seq", cursor=1).orderBy("turn", "wrapped", "key_first")
+    order = ranking.fair_order(df, "k", "seq", 9, cursor=1).orderBy("position")
     assert [(r.k, r.seq) for r in order.collect()] == [("b", 4), ("c", 5), ("a", 1), ("a", 2), ("a", 3)]
+    assert [r.seq for r in ranking.fair_order(df, "k", "seq", 2).orderBy("position").collect()] == [1, 4]
 
 
 def test_rotation_reaches_every_id(spark):
