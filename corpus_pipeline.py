@@ -25,11 +25,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8, the smallest doc_id."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    matched = docs.select(*COLUMNS).join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    # repeated rows of a kept document are duplicates of it too; rows without an id are all kept
-    return matched.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(matched.where("doc_id is null"))
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8, the smallest doc_id (null last).
+
+    Rows are told apart by a hash of doc_id and text, so rows without an id or with
+    a repeated one are documents like others; rows that are equal in both are one.
+    Rows whose hashes meet by chance are all kept.
+    """
+    rows = docs.select(*COLUMNS).withColumn("__row", F.xxhash64("doc_id", "text"))
+    found = minhash.near_duplicates(rows, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first")
+    kept = rows.select("__row", "doc_id").join(found, "__row").groupBy("component_id").agg(first).select("first.__row")
+    matched = rows.join(kept, "__row", "left_semi").withColumn("__text", F.xxhash64("text", F.lit(1)))
+    return matched.dropDuplicates(["__row", "doc_id", "__text"]).select(*COLUMNS)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
