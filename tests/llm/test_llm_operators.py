@@ -21,6 +21,7 @@ from siltworks.llm import bpe, embedding_dedup, html_extract, minhash, packing,
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
 DOCS = "doc_id long, text string"
+SF = "/root/testdata/sf0.001"
 ODD = [
     "", None, " \n\t ", "Hello, world! don't IT'S", "ΣΑΣ İstanbul ŉ ſ 日本語テスト 😀👍🏽", "<|endoftext|>x<|startoftext|>", "<|ENDOFTEXT|>", "a\x1cb\x1d c\x85d\xa0e\u200bf", "½ ² 12345 ... !?!?.,",
     "aaaaaaaaaaaa bananaaaa tttttt", "</w> é e\u0301 ß ẞ", "x" * 5000, "Word, word. WORD! word; word: 'word' it's. he'll, 9. 9, ²,",
@@ -522,3 +523,26 @@ def test_pipeline(spark):
     assert {r.doc_id for r in one.collect()} == {i for i in kept if best[i] == i}
     pieces = corpus_pipeline.run(spark, sf)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {i for i in kept if best[i] == i}
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline
+
+    long = " ".join(f"w{i}" for i in range(3000))
+    texts = [*ODD, long, long + " end", f'set token = "{HEX}" now']
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(3, ODD[3], "en", "s", 1), (3, "another text of the same id", "en", "s", 1), (None, "no id here", "en", "s", 1), (None, None, None, None, None), (None, "no id here", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({c: F.lit("clash") for c in ("__row", "group", "n", "ids", "component_id", "__found")})
+    functions = dict(corpus_pipeline.STAGES)
+    near = functions["near_duplicates"](spark, docs, SF)
+    kept = sorted(((r.doc_id, r.text) for r in near.collect()), key=repr)
+    lost = {(len(ODD) + 1, long + " end"), (3, ODD[3])}
+    want = sorted({(r[0], r[1]) for r in rows} - {(len(ODD) + 1, long + " end")}, key=repr)
+    assert kept == want and lost & set(kept) == {(3, ODD[3])}
+    clean = functions["secrets"](spark, docs, SF).collect()
+    assert len(clean) == len(rows) and not any(HEX in (r.text or "") for r in clean)
+    assert sorted((r.text for r in clean if r.doc_id is None), key=repr) == sorted([None, "no id here", "no id here"], key=repr)
+    good = functions["quality"](spark, docs, SF)
+    assert good.columns == corpus_pipeline.COLUMNS and good.count() <= len(rows)
+    assert functions["packing"](spark, docs, SF).groupBy().sum("length").first()[0] == sum(len(ids_of(r[1])) + 1 for r in rows)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), SF).count() == 0, name
