@@ -213,7 +213,9 @@ def running_sums(values: Column) -> Column:
     add = lambda a, b: a + b
     block_sums = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int")), lambda b: F.aggregate(F.slice(values, b * size + 1, size), F.lit(0).cast("long"), add))
     before = F.aggregate(block_sums, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("all")), lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all")))["all"]
-    return F.transform(values, lambda _, i: F.get(before, F.floor(i / size).cast("int")) + F.aggregate(F.slice(values, F.floor(i / size).cast("int") * size + 1, i % size), F.lit(0).cast("long"), add))
+    inside = lambda i: F.aggregate(F.slice(values, F.floor(i / size).cast("int") * size + 1, i % size), F.lit(0).cast("long"), add)
+    # a lambda's argument is taken once: as part of the inner lambda the block sums would be added up for each value
+    return F.get(F.transform(F.array(before), lambda at: F.transform(values, lambda _, i: F.get(at, F.floor(i / size).cast("int")) + inside(i))), F.lit(0))
 
 
 def findings(docs: DataFrame, model: Forest | None = None, id_col: str = "doc_id", text_col: str = "text", with_value: bool = False) -> DataFrame:
@@ -226,10 +228,11 @@ def findings(docs: DataFrame, model: Forest | None = None, id_col: str = "doc_id
     """
     model = model or fit(labelled_findings(docs.sparkSession))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = searched(source, "text", model).where("__found is not null")
+    found = searched(source, "text", model)
     lengths = F.transform("__found", lambda c, i: (F.length(F.get("__between", i)) + F.length(c["match"])).cast("long"))
     found = found.select("doc_id", "__found", "__between", lengths.alias("lengths")).select("doc_id", "__found", "__between", running_sums(F.col("lengths")).alias("starts"))
-    each = found.select("doc_id", "__between", "starts", F.posexplode("__found").alias("i", "c"))
+    # no filter on the arrays, which would search each text again
+    each = found.select("doc_id", "__between", "starts", F.posexplode_outer("__found").alias("i", "c")).where("c is not null")
     length = F.length("c.value")
     start = F.get("starts", F.col("i")) + F.length(F.get("__between", F.col("i"))) + F.length("c.match") - length
     kind = F.when(F.col("c.match").rlike(f"^{HEADER}"), "private key").when(F.col("c.prefixed"), "known key").when(F.col("c.assigned"), "assigned").otherwise("string")
