@@ -26,6 +26,13 @@ def with_ties(df: DataFrame, group: Sequence[str], *order: Column) -> DataFrame:
     return df.withColumn("__r", F.rank().over(Window.partitionBy(*group).orderBy(*order))).where("__r = 1").drop("__r")
 
 
+def all_but_best(df: DataFrame, group: str, key: str, order: Column) -> DataFrame:
+    """The rows of each group but the one that ``order`` puts highest; ``key`` tells its rows apart. A null group has no rows to give up."""
+    # a maximum that tasks take before the shuffle, so a large group is not sorted in one task
+    best = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.max(F.struct(order.alias("__order"), F.col(key).alias("__best"))).alias("__top"))
+    return df.join(best.select(group, F.col("__top.__best").alias("__best")), group).where(~F.col(key).eqNullSafe(F.col("__best"))).drop("__best")
+
+
 def fair_order(df: DataFrame, key: str, arrival: str, limit: int, cursor: int | None = None) -> DataFrame:
     """The next ``limit`` rows of a fair drain, numbered by ``position``.
 

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from siltworks.functions import dates, hashing, numbers, text
+from siltworks.functions import dates, hashing, notes, numbers, text
 from siltworks.operators import changes, joining, merging, ranking
 from siltworks.sources import paged
 from siltworks.sources.state import CommitConflict, StateTable, recover_intents
@@ -215,3 +215,46 @@ def test_watermark_freezes_on_a_partial_scan(spark):
     last, scan = spark.createDataFrame([(5,)], "watermark int"), spark.createDataFrame([(9,), (None,)], "t int")
     assert incremental.advance_watermark(last, scan, "t", complete=True).first()[0] == 9
     assert incremental.advance_watermark(last, scan, "t", complete=False).first()[0] == 5
+
+
+def test_paired_blocks(spark):
+    rows = [
+        (1, [("a", True, "x", 1), ("b", True, "x", 1), ("c", True, "x", 1)]),
+        (2, [("a", True, "x", 1), ("b", False, "x", 1), ("c", True, "x", 1)]),
+        (3, [("a", True, "x", 1), ("b", True, None, 1), ("c", True, None, 1)]),
+        (4, [("a", True, "x", 1), ("b", True, "x", 3), ("c", True, "x", 1)]),
+        (5, [("a", True, "x", 1)]),
+        (6, []),
+        (7, None),
+    ]
+    df = spark.createDataFrame(rows, "k int, b array<struct<text:string,joins:boolean,color:string,runs:int>>")
+    got = {r["k"]: (r["blocks"], r["merged"]) for r in df.select("k", notes.paired(F.col("b"), 2, 4).alias("p")).select("k", "p.*").collect()}
+    assert got[1] == (["a\n\nb", "c"], 1) and got[2] == (["a", "b", "c"], 0) and got[3] == (["a", "b\n\nc"], 1)
+    assert got[4] == (["a", "b", "c"], 0) and got[5] == (["a"], 0) and got[6] == ([], 0) and got[7][0] is None
+
+
+def test_code_spans_of_long_texts(spark):
+    long = "`" + "x \n" * 50_000 + "y`"
+    rows = [(1, long), (2, "``a`b`` `c"), (3, ""), (4, None), (5, "\\\\\\`a` b`"), (6, "`a`\\\\`b`")]
+    got = dict(spark.createDataFrame(rows, "k int, t string").select("k", notes.code_spans(F.col("t"))).collect())
+    assert got == {1: [long], 2: ["``a`b``"], 3: [], 4: None, 5: ["` b`"], 6: ["`a`", "`b`"]}
+
+
+def test_meta_and_globs(spark):
+    rows = [("<META CONTENT=\"it's\" name='Description'><meta name=description2 content=no>",), ("<p>none</p>",), ("",), (None,)]
+    html = spark.createDataFrame(rows, "h string")
+    assert [r[0] for r in html.select(notes.meta_content(F.col("h"), "name", "description")).collect()] == ["it's", "", "", ""]
+    paths = spark.createDataFrame([("a.md",), ("x/y/a.md",), ("x/a.mdx",), ("x/+.md",), (None,)], "p string")
+    got = paths.select(notes.tracked(F.col("p"), ("**/*.md",), ("x/+.md",))).collect()
+    assert [r[0] for r in got] == [True, True, False, False, None]
+
+
+def test_projected_fields(spark):
+    df = spark.createDataFrame([("en", "abc", "xyz"), (None, "abcdef", "é"), ("fr", None, None)], "a string, b string, c string")
+    got = df.select(notes.projected([("a", F.col("a"), ("en",)), ("b", F.col("b"), ()), ("c", F.col("c"), ())], 5).alias("p")).select("p.*").collect()
+    assert [tuple(r) for r in got] == [(["a=written", "b=written", "c=budget"], 5), (["a=missing", "b=budget", "c=written"], 2), (["a=option_unavailable", "b=missing", "c=missing"], 0)]
+
+
+def test_all_but_best(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "bb"), (1, "cc"), (2, "a"), (None, "a"), (None, "b")], "g int, p string")
+    assert values(ranking.all_but_best(df, "g", "p", F.length("p")), "g", "p") == [(1, "a"), (1, "bb")]
