@@ -93,6 +93,28 @@ def tree_steps(gradient: np.ndarray, weight: np.ndarray, leaves: int) -> np.ndar
     return out
 
 
+def pair_steps(gradient: np.ndarray, weight: np.ndarray, leaves: int) -> np.ndarray:
+    """The step for each cell of a shallow tree over two binned features: best splits along either first."""
+    g, h = (np.pad(x.cumsum(0).cumsum(1), ((1, 0), (1, 0))).tolist() for x in (gradient, weight))
+    inside = lambda t, a, b, c, d: t[b][d] - t[a][d] - t[b][c] + t[a][c]
+    worth = lambda r: inside(g, *r) ** 2 / (inside(h, *r) + 1.0)
+    parts = [(0, gradient.shape[0], 0, gradient.shape[1])]
+    for _ in range(leaves - 1):
+        splits = []
+        for part in parts:
+            a, b, c, d = part
+            cuts = [((a, m, c, d), (m, b, c, d)) for m in range(a + 1, b)] + [((a, b, c, m), (a, b, m, d)) for m in range(c + 1, d)]
+            splits += [(worth(x) + worth(y) - worth(part), part, x, y) for x, y in cuts if min(inside(h, *x), inside(h, *y)) > 0.5]
+        gain, part, *halves = max(splits, default=(0, None))
+        if gain <= 1e-9:
+            break
+        parts = [p for p in parts if p != part] + halves
+    out = np.empty(gradient.shape)
+    for a, b, c, d in parts:
+        out[a:b, c:d] = inside(g, a, b, c, d) / (inside(h, a, b, c, d) + 1.0)
+    return out
+
+
 def fit(x: np.ndarray, y: np.ndarray) -> Model:
     """Fit by cyclic boosting: first the features, then the pairs that explain most of what is left."""
     model = Model()
@@ -129,9 +151,8 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
         for k, table in zip(model.pairs, flat, strict=True):
             gradient, weight = residual()
             g, h = np.bincount(cells[k], gradient, len(table)), np.bincount(cells[k], weight, len(table))
-            order = np.argsort(g / (h + 1), kind="stable")
-            step = np.empty(len(table))
-            step[order] = STEP * tree_steps(g[order], h[order], LEAVES)
+            grid = (len(model.pair_edges[k[0]]) + 1, -1)
+            step = STEP * pair_steps(g.reshape(grid), h.reshape(grid), LEAVES).ravel()
             table += step
             total += step[cells[k]]
     model.pair_tables = [t.reshape(len(model.pair_edges[i]) + 1, -1) for (i, _), t in zip(model.pairs, flat, strict=True)]

@@ -250,6 +250,23 @@ def test_quality_of_odd_rows(spark):
     assert quality.score(odd_docs(spark).where("false"), labels).count() == 0
 
 
+def test_pair_trees_split_along_both_features():
+    rng = np.random.default_rng(4)
+    weight = rng.random((6, 5)) + 1
+    wanted = np.zeros((6, 5))
+    wanted[:2, :3], wanted[:2, 3:], wanted[2:, :1], wanted[2:, 1:] = 1.0, -0.5, 0.25, 2.0
+    step = quality.pair_steps(wanted * weight, weight, 4)
+    assert len(np.unique(step.round(9))) == 4
+    for part in (np.s_[:2, :3], np.s_[:2, 3:], np.s_[2:, :1], np.s_[2:, 1:]):
+        total = weight[part].sum()
+        assert np.allclose(step[part], wanted[part] * total / (total + 1))
+    assert np.allclose(quality.pair_steps(np.ones((1, 1)), np.ones((1, 1)), 4), 0.5)
+    x = rng.random((4000, len(quality.FEATURES)))
+    y = ((x[:, 0] > 0.4) ^ (x[:, 1] > 0.6)).astype(float)
+    model = quality.fit(x[:3000], y[:3000])
+    assert (0, 1) in model.pairs and ((model.score(x[3000:]) >= 0.5) == y[3000:]).mean() > 0.85
+
+
 def test_tables_add_up():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(800, len(quality.FEATURES)))
