@@ -3,16 +3,17 @@
 Vectors are compared inside a label only. Equal vectors are one class. Unit
 vectors are turned so that leading dimensions hold most of the variance (the turn
 is fitted on a bounded sample and changes no cosine). Each label is dealt into
-tiles along the first of them, and two tiles meet only if their ranges are close
-enough for the threshold. Inside a pair of tiles products accumulate over leading
-dimensions first; what the rest can add is bounded by the product of the suffix
-norms, and a pair is given up when that cannot reach the threshold.
+tiles along the first three of them, one after the other, and two tiles meet only
+if their boxes over the leading dimensions and the suffix norm are close enough
+for the threshold. Boxes are compared from the coarse to the fine, so what lies
+in boxes that are far apart is never paired. Inside a pair of tiles products
+accumulate over leading dimensions first; what the rest can add is bounded by the
+product of the suffix norms, and a pair is given up when that cannot reach the
+threshold.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +23,10 @@ from siltworks.llm.shared import components, keep, stars
 
 #: Vectors that the turn is fitted on at most; vectors in a tile; dimensions after which a bound is taken.
 PCA_ROWS, TILE, STEPS = 10_000, 2048, (8, 16, 32)
+#: Dimensions that tiles are cut along, and dimensions that their boxes have; the suffix norm is one more.
+SPLITS, BOX = 3, 8
+#: Tile numbers: cells along one dimension, hashed parts of a cell.
+CELLS, PARTS = 1 << 12, 1 << 24
 #: Rows of a tile that are compared at once.
 STRIP = 512
 
@@ -72,6 +77,61 @@ def links(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float) -> t
     return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
+def leading(vectors: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """The first BOX coordinates of the unit vectors along the axes (0 beyond their number), then the norm of the rest."""
+    turned = units(vectors) @ axes[:, :BOX]
+    out = np.zeros((len(vectors), BOX + 1))
+    out[:, : turned.shape[1]] = turned
+    out[:, BOX] = np.sqrt(np.maximum(0, 1 - (turned**2).sum(axis=1)))
+    return out
+
+
+def tiled(led: DataFrame) -> DataFrame:
+    """``led`` (label, d, lead, ...) with its place c0, c1, c2 along the leading dimensions.
+
+    Places are quantile ranges inside those of the dimension before: their number
+    grows with a label, their size does not. A cut table has one row for each cell
+    of the dimensions before, so it stays far smaller than the vectors.
+    """
+    path = ["label", "d"]
+    for k in range(SPLITS):
+        place, at = f"c{k}", F.get("lead", F.lit(k))
+        ways = F.ceil(F.pow(F.ceil(F.col("n") / TILE).cast("double"), F.lit(1 / (SPLITS - k))) - 1e-9).cast("int")
+        most = led.groupBy(*path).agg(F.count("*").alias("n")).agg(F.max(ways)).first()[0] or 1
+        if most == 1:
+            led = led.withColumn(place, F.lit(0))
+        else:
+            grid = 4 * most
+            found = led.groupBy(*path).agg(F.percentile_approx(at, [i / grid for i in range(1, grid)], 10_000).alias("grid"), F.count("*").alias("n")).withColumn("ways", ways)
+            cut = lambda i: F.element_at("grid", F.greatest(F.lit(1), F.least(F.size("grid"), F.round(i * grid / F.col("ways")).cast("int"))))  # noqa: B023, E731
+            cuts = F.when(F.col("ways") > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("ways") - 1)), cut)).otherwise(F.array().cast("array<double>"))
+            led = led.join(found.select(*path, cuts.alias("cuts")), path).withColumn(place, F.size(F.filter("cuts", lambda c: c < at))).drop("cuts")  # noqa: B023
+        path.append(place)
+    return led
+
+
+def near_cells(cells: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (label, d, xc0.., yc0..) of cells, in both orders and with themselves, whose boxes allow a cosine of ``threshold``.
+
+    ``cells`` has a row (label, d, c0.., l0.., h0..) for each cell with the bounds of
+    its box. The distance of unit vectors is bounded below by that of their boxes.
+    Only cells of near coarser cells are paired.
+    """
+    path, bounds = ["label", "d", *(f"c{k}" for k in range(SPLITS))], range(BOX + 1)
+    apart = lambda a: F.greatest(F.lit(0.0), F.col(f"xl{a}") - F.col(f"yh{a}"), F.col(f"yl{a}") - F.col(f"xh{a}"))
+    close = sum((apart(a) * apart(a) for a in bounds), F.lit(0.0)) <= 2 - 2 * threshold + 1e-7
+    near = None
+    for k in range(SPLITS):
+        boxes = cells.groupBy(*path[: k + 3]).agg(*(F.min(f"l{a}").alias(f"l{a}") for a in bounds), *(F.max(f"h{a}").alias(f"h{a}") for a in bounds))
+        x, y = (boxes.select("label", "d", *(F.col(c).alias(side + c) for c in boxes.columns[2:])) for side in "xy")
+        if near is None:
+            near = x.join(y, ["label", "d"])
+        else:
+            near = near.join(x, ["label", "d", *(f"xc{i}" for i in range(k))]).join(y, ["label", "d", *(f"yc{i}" for i in range(k))])
+        near = near.where(close).select("label", "d", *(f"{side}c{i}" for side in "xy" for i in range(k + 1)))
+    return near
+
+
 def near_duplicates(rows: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept), one for each row of ``rows``.
 
@@ -104,34 +164,30 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, id_col: str = "vec
 
     def lead(batches):
         for b in batches:
-            at = []
-            for v in b.column(4):
-                x = np.array(v.as_py())
-                turn = shared_axes.value.get(len(x))
-                at.append(float(x @ turn[:, 0] / np.linalg.norm(x)) if turn is not None else 0.0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at, pa.float64())], [*b.schema.names, "lead"])
-
-    led = keep(distinct.mapInArrow(lead, "label string, d int, node long, copies long, v array<double>, lead double"), "led")
-    # tiles are quantile ranges of a label: their number grows with it, their size does not
-    sizes = led.groupBy("label", "d").agg(F.count("*").alias("n"))
-    tiles_of = F.greatest(F.lit(1), F.ceil(F.col("n") / TILE)).cast("int")
-    most = max([1, *(r[0] for r in sizes.agg(F.max(tiles_of)).collect() if r[0])])
-    grid = min(4 * most, 4096)
-    cuts = led.groupBy("label", "d").agg(F.percentile_approx("lead", [i / grid for i in range(1, grid)] or [0.5], 10_000).alias("grid"), F.count("*").alias("n")).withColumn("tiles", tiles_of)
-    cuts = cuts.select(
-        "label", "d", "tiles",
-        F.transform(F.sequence(F.lit(1), F.col("tiles") - 1), lambda i: F.element_at("grid", F.greatest(F.lit(1), F.least(F.size("grid"), F.round(i * grid / F.col("tiles")).cast("int"))))).alias("cuts"),
-    ).withColumn("cuts", F.when(F.col("tiles") > 1, F.col("cuts")).otherwise(F.array().cast("array<double>")))
-    # equal leads may fill a range beyond its size: then it is dealt by hash as well
-    ranged = led.join(cuts, ["label", "d"]).withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("lead"))))
-    ranges = ranged.groupBy("label", "d", "range").agg(F.count("*").alias("n"), F.min("lead").alias("low"), F.max("lead").alias("high"))
-    ranges = ranges.select("label", "d", "range", "low", "high", F.ceil(F.col("n") / (2 * TILE)).cast("int").alias("parts"))
-    gap = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
-    near = ranges.alias("x").join(ranges.alias("y"), ["label", "d"]).where((F.col("x.low") - F.col("y.high") <= gap) & (F.col("y.low") - F.col("x.high") <= gap))
-    near = near.select("label", "d", F.col("x.range").alias("range"), F.col("y.range").alias("other"), F.col("x.parts").alias("own_parts"), F.col("y.parts").alias("other_parts"))
-    meets = ranged.join(near, ["label", "d", "range"])
-    mine = F.col("range") * 100_000 + F.pmod(F.xxhash64("node"), F.col("own_parts"))
-    theirs = F.explode(F.transform(F.sequence(F.lit(0), F.col("other_parts") - 1), lambda p: F.col("other") * 100_000 + p))
+            length, at = b.column(1).to_numpy(), np.zeros((b.num_rows, BOX + 1))
+            for d, turn in shared_axes.value.items():
+                if len(some := np.flatnonzero(length == d)):
+                    at[some] = leading(b.column(4).take(pa.array(some)).flatten().to_numpy().reshape(-1, d), turn)
+            ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * (BOX + 1))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(ends, pa.array(at.ravel()))], [*b.schema.names, "lead"])
+
+    led = keep(distinct.mapInArrow(lead, "label string, d int, node long, copies long, v array<double>, lead array<double>"), "led")
+    dealt = tiled(led)
+    path = ["label", "d", *(f"c{k}" for k in range(SPLITS))]
+    ends = lambda f, name: (f(F.get("lead", F.lit(a))).alias(f"{name}{a}") for a in range(BOX + 1))
+    cells = keep(dealt.groupBy(*path).agg(F.count("*").alias("n"), *ends(F.min, "l"), *ends(F.max, "h")), "cells")
+    # equal places may fill a cell beyond its size: then it is dealt by hash as well
+    number = F.lit(0).cast("long")
+    for place in path[2:]:
+        number = number * CELLS + F.col(place)
+    known = cells.select(*path, number.alias("cell"), F.ceil(F.col("n") / (2 * TILE)).cast("int").alias("parts"))
+    near = near_cells(cells, threshold)
+    for side in "xy":
+        near = near.join(known.select("label", "d", *(F.col(c).alias(side + c) for c in known.columns[2:])), ["label", "d", *(side + c for c in path[2:])])
+    near = near.select("label", "d", *(F.col("x" + c).alias(c) for c in path[2:]), "xcell", "xparts", "ycell", "yparts")
+    meets = dealt.join(near, path)
+    mine = F.col("xcell") * PARTS + F.pmod(F.xxhash64("node"), F.col("xparts"))
+    theirs = F.explode(F.transform(F.sequence(F.lit(0), F.col("yparts") - 1), lambda p: F.col("ycell") * PARTS + p))
     pairs = meets.select("label", "d", "node", "copies", "v", mine.alias("tile"), theirs.alias("with"))
     pairs = pairs.withColumns({"lo": F.least("tile", "with"), "hi": F.greatest("tile", "with")})
 

@@ -339,6 +339,26 @@ def test_embedding_dedup(spark, monkeypatch):
     assert len(links) > 100 and got == {i: (counts[i], best[i], best[i] == i) for i in range(len(rows))}
 
 
+def test_embedding_tiles_of_clusters_do_not_all_meet(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TILE", 50)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 32))
+    v = np.repeat(centres, 50, axis=0) + rng.normal(scale=0.1, size=(2000, 32))
+    axes = embedding_dedup.principal_axes(embedding_dedup.units(v))
+    lead = embedding_dedup.leading(v, axes)
+    rows = [("a", 32, i, x.tolist()) for i, x in enumerate(lead)]
+    dealt = embedding_dedup.tiled(spark.createDataFrame(rows, "label string, d int, node long, lead array<double>"))
+    place = {r.node: (r.c0, r.c1, r.c2) for r in dealt.collect()}
+    bounds = [f(F.get("lead", F.lit(a))).alias(f"{n}{a}") for n, f in (("l", F.min), ("h", F.max)) for a in range(embedding_dedup.BOX + 1)]
+    near = embedding_dedup.near_cells(dealt.groupBy("label", "d", "c0", "c1", "c2").agg(*bounds), 0.93)
+    near = {((r.xc0, r.xc1, r.xc2), (r.yc0, r.yc1, r.yc2)) for r in near.collect()}
+    u = embedding_dedup.units(v)
+    assert all((place[i], place[j]) in near for i, j in zip(*np.nonzero(u @ u.T >= 0.93)))
+    cells = set(place.values())
+    assert len(cells) > 20 and max(sum(p == c for p in place.values()) for c in cells) < 200
+    assert len(near) < 0.5 * len(cells) ** 2
+
+
 def test_embedding_dedup_of_little(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], schema)).count() == 0
