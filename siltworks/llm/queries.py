@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from siltworks.llm import bpe, embedding_dedup, html_extract, minhash, packing, quality, secrets, token_files, topk, url_filter
+from siltworks.llm import bpe, embedding_dedup, filter_audit, html_extract, minhash, packing, quality, secrets, token_files, topk, url_filter, warc, whitening
 from siltworks.llm.shared import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -58,12 +58,31 @@ def op10_secrets(spark, sf_dir):
     return secrets.findings(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc(spark, sf_dir):
+    path = token_files.new_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.page_captures(spark, path)
+
+
+OPERATORS = [
+    op1_bpe, op2_url_filter, op3_html, op4_quality, op5_packing, op6_embedding_dedup, op7_token_files, op8_minhash, op9_topk, op10_secrets, op11_filter_audit, op12_whitening, op13_warc,
+]
+
+
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_url_filter, op3_html, op4_quality, op5_packing, op6_embedding_dedup, op7_token_files, op8_minhash, op9_topk, op10_secrets)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql():
-    return {"op2_url_filter": OP2, "op6_embedding_dedup": embedding_dedup.ORACLE, "op8_minhash": OP8, "op9_topk": topk.ORACLE}
+    return {"op2_url_filter": OP2, "op6_embedding_dedup": embedding_dedup.ORACLE, "op8_minhash": OP8, "op9_topk": topk.ORACLE, "op11_filter_audit": filter_audit.ORACLE, "op13_warc": OP13}
 
 
 OP2 = """
@@ -92,3 +111,12 @@ c AS (SELECT a, min(b) AS m FROM r GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.m, d.doc_id)) AS component_id, least(d.doc_id, coalesce(c.m, d.doc_id)) = d.doc_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
+
+OP13 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s, url FROM pages),
+g AS (SELECT page_id, url, h, s, max(page_id) OVER (PARTITION BY h) AS top FROM p),
+i AS (SELECT *, coalesce(top <> coalesce(page_id, top - 1), false) AS again,
+  list_transform(range(32), lambda k: (('0x' || s[k * 5 // 4 + 1])::BIGINT * 16 + ('0x' || coalesce(nullif(s[k * 5 // 4 + 2], ''), '0'))::BIGINT) >> (3 - k * 5 % 4) & 31) AS d FROM g)
+SELECT page_id, strlen(h) AS payload_bytes, array_to_string(list_transform(d, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v + 1, 1)), '') AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN top END AS refers_to, coalesce(nullif(url, ''), 'about:blank') AS target_uri FROM i
+"""
