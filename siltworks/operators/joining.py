@@ -123,3 +123,27 @@ def merged_owners(maps: DataFrame, source: str, owner: str, priority: str) -> Da
     by = maps.groupBy(source).agg(F.min(owner).alias("lo"), F.max(owner).alias("hi"), F.min_by(owner, priority).alias("first"))
     clash = F.col("lo") != F.col("hi")
     return by.select(source, F.when(~clash, F.col("first")).alias(owner), F.when(clash, "rejected").otherwise("owned").alias("outcome"))
+
+
+#: A key with at least this share of the rows is a hot one: there are at most 1 / HOT of them.
+HOT = 0.001
+
+
+def look_up(rows: DataFrame, on: str, facts: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of their fact (nulls without one); ``facts`` has each key once.
+
+    The facts of keys with a thousandth of the rows or more, at most a thousand, are
+    broadcast; their rows get a salted key that meets nothing in the join of the
+    others. So a key that a third of the rows share costs no more than others.
+    """
+    total = rows.count()
+    hot = rows.where(F.col(on).isNotNull()).groupBy(F.col(on).alias(key)).agg(F.count("*").alias("__n")).where(F.col("__n") >= max(2, HOT * total)).select(key)
+    values = [c for c in facts.columns if c != key]
+    hot_facts = F.broadcast(facts.join(F.broadcast(hot), key).select(F.col(key).alias("__hot_key"), F.struct(*values).alias("__hot")))
+    marked = rows.join(hot_facts, F.col(on) == F.col("__hot_key"), "left")
+    # a hash of the whole row spreads rows that need no join, those without a key too
+    spread = F.struct(F.lit(None).cast(rows.schema[on].dataType).alias("k"), F.xxhash64(*rows.columns).alias("salt"))
+    join_key = F.when(F.col("__hot").isNotNull() | F.col(on).isNull(), spread).otherwise(F.struct(F.col(on).alias("k"), F.lit(0).cast("long").alias("salt")))
+    cold = facts.select(F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("salt")).alias("__key"), F.struct(*values).alias("__cold"))
+    both = marked.withColumn("__key", join_key).join(cold, "__key", "left").withColumn("__fact", F.coalesce("__hot", "__cold"))
+    return both.select(*rows.columns, *(F.col("__fact")[c].alias(c) for c in values))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltworks.operators import joining as ops
+from siltworks.operators import trees
 from siltworks.plans.registry import query, table
 from siltworks.sources import paged
 
@@ -121,14 +122,48 @@ def path_hierarchy(spark, sf_dir):
 w AS (SELECT id, parent, 0 AS depth, CAST(id AS VARCHAR) AS trail FROM n WHERE parent IS NULL UNION ALL SELECT n.id, n.parent, w.depth + 1, w.trail || '/' || n.id FROM n JOIN w ON n.parent = w.id WHERE n.id <> 0)
 SELECT id, coalesce(parent, -1) AS parent, CAST(depth AS BIGINT) AS depth, trail FROM w""")
 def block_tree_walk(spark, sf_dir):
-    """A tree walked from its root, with depth and trail; each level is one join."""
+    """A tree walked from its root, with depth and trail."""
     parent = F.when(F.col("doc_id") == 0, None).otherwise(F.floor(F.col("doc_id") / 10))
-    table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), parent.cast("long").alias("parent")).createOrReplaceTempView("tree_rows")
-    return spark.sql("""
-        WITH RECURSIVE walk(id, parent, depth, trail) MAX RECURSION LEVEL 30 AS (
-          SELECT id, parent, 0L, CAST(id AS STRING) FROM tree_rows WHERE parent IS NULL
-          UNION ALL SELECT r.id, r.parent, w.depth + 1L, concat(w.trail, '/', r.id) FROM tree_rows r JOIN walk w ON r.parent = w.id WHERE r.id <> 0)
-        SELECT id, coalesce(parent, -1L) AS parent, depth, trail FROM walk""")
+    nodes = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), parent.cast("long").alias("parent"))
+    return trees.walk(nodes, "id", "parent", trail=True).select("id", F.coalesce("parent", F.lit(-1)).alias("parent"), "depth", "trail")
+
+
+PARENT_SQL = """CASE WHEN doc_id = 0 THEN NULL WHEN doc_id % 97 = 13 THEN -5 WHEN doc_id % 50 = 41 THEN doc_id + 1 WHEN doc_id % 50 = 42 THEN doc_id - 1 WHEN doc_id BETWEEN 101 AND 180 THEN doc_id - 1 ELSE doc_id // 10 END"""
+
+
+@query(f"""WITH RECURSIVE n AS (SELECT doc_id AS id, {PARENT_SQL} AS parent FROM documents),
+w AS (SELECT id, id AS root, 0::BIGINT AS depth, CASE WHEN parent IS NULL THEN 'ok' ELSE 'orphan' END AS e FROM n WHERE parent IS NULL OR parent NOT IN (SELECT id FROM n)
+UNION ALL SELECT n.id, w.root, w.depth + 1, w.e FROM w JOIN n ON n.parent = w.id)
+SELECT n.id, n.parent, w.root, w.depth, CASE WHEN w.id IS NULL THEN 'cycle' WHEN e = 'orphan' THEN 'orphan' WHEN depth > 30 THEN 'too_deep' ELSE 'ok' END AS outcome FROM n LEFT JOIN w ON w.id = n.id""")
+def tree_outcomes(spark, sf_dir):
+    """A parent table with cycles, missing parents and a long branch: each node's root, depth and outcome."""
+    d = F.col("doc_id")
+    parent = (
+        F.when(d == 0, None).when(d % 97 == 13, -5).when(d % 50 == 41, d + 1).when(d % 50 == 42, d - 1).when(d.between(101, 180), d - 1).otherwise(F.floor(d / 10))
+    )
+    return trees.walk(table(spark, sf_dir, "documents").select(d.alias("id"), parent.cast("long").alias("parent")), "id", "parent")
+
+
+CHAIN_SQL = """SELECT user_id, event_id, number, CASE WHEN event_id % 401 = 7 THEN 'lost' WHEN event_id % 307 = 9 THEN lag(own, 2) OVER w WHEN event_id % 211 = 5 THEN lead(own) OVER w ELSE lag(own) OVER w END AS before, own
+FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) + (event_id % 503 = 11)::INT AS number, md5(user_id || ':' || event_id) AS own FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY event_id)"""
+
+
+@query(f"""WITH RECURSIVE r AS ({CHAIN_SQL}), f AS (SELECT before FROM r WHERE before IS NOT NULL GROUP BY before HAVING count(*) > 1), a AS (SELECT user_id, number FROM r GROUP BY ALL HAVING count(*) > 1),
+m AS (SELECT r.*, r.before IN (SELECT before FROM f) AND r.before IS NOT NULL OR (r.user_id, r.number) IN (SELECT user_id, number FROM a) AS forked, coalesce(r.number <> p.number + 1, false) AS misnumbered FROM r LEFT JOIN r p ON p.own = r.before),
+w AS (SELECT own, 0::BIGINT AS depth, forked, misnumbered, before IS NOT NULL AS gap FROM m WHERE before IS NULL OR before NOT IN (SELECT own FROM m)
+UNION ALL SELECT m.own, w.depth + 1, w.forked OR m.forked, w.misnumbered OR m.misnumbered, w.gap FROM w JOIN m ON m.before = w.own)
+SELECT m.own AS receipt, m.user_id AS chain, m.number AS sequence, w.depth, CASE WHEN w.own IS NULL THEN 'cycle' WHEN gap THEN 'gap' WHEN w.forked THEN 'fork' WHEN w.misnumbered THEN 'misnumbered' ELSE 'admitted' END AS outcome
+FROM m LEFT JOIN w ON w.own = m.own""")
+def receipt_chains(spark, sf_dir):
+    """Receipts of each user that name the one before them, some lost, forked, turned round or misnumbered."""
+    from pyspark.sql import Window
+
+    w, e = Window.partitionBy("user_id").orderBy("event_id"), F.col("event_id")
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.md5(F.concat_ws(":", "user_id", "event_id")).alias("own"))
+    number = F.row_number().over(w) + (e % 503 == 11).cast("int")
+    before = F.when(e % 401 == 7, "lost").when(e % 307 == 9, F.lag("own", 2).over(w)).when(e % 211 == 5, F.lead("own").over(w)).otherwise(F.lag("own").over(w))
+    made = rows.select("user_id", F.col("own").alias("receipt"), before.alias("before"), number.cast("long").alias("number"))
+    return trees.admitted_chain(made, "receipt", "before", "number", "user_id")
 
 
 @query("""WITH r AS (SELECT source, doc_id, md5(text) AS v FROM documents WHERE doc_id % 6 = 0), e AS (SELECT doc_id, md5(CASE WHEN doc_id % 18 = 0 THEN text || ' ' ELSE text END) AS v FROM documents WHERE doc_id % 4 = 0)

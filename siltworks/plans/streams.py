@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from siltworks.plans.registry import query, table
 from siltworks.sources.state import StateTable, shared_root
-from siltworks.streaming import incremental
+from siltworks.streaming import delivery, incremental
 
 
 def work_folder(spark, name: str) -> str:
@@ -49,3 +49,36 @@ def outbox_drain(spark, sf_dir):
 def hourly_windows(spark, sf_dir):
     counted = table(spark, sf_dir, "events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"))
     return counted.select("event_type", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "n")
+
+
+def wiki_sink(ident: str, version: str, attempt: int) -> str | None:
+    return "transport_uncertain" if int(version) % 7 == 3 and attempt == 1 else None
+
+
+def notes_sink(ident: str, version: str, attempt: int) -> str | None:
+    return "managed_content_modified" if int(version) % 11 == 5 else None
+
+
+@query("""WITH e AS (SELECT user_id, event_id, event_id % 11 = 5 AS stuck, sum((event_id % 7 = 3)::INT) OVER (PARTITION BY user_id ORDER BY event_id) AS lost, event_id % 7 = 3 AS flaky,
+  lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events),
+s AS (SELECT user_id, min(event_id) AS stop FROM e WHERE stuck OR (flaky AND lost = 3) GROUP BY user_id),
+x AS (SELECT s.user_id, stop, flaky AND lost = 3 AS at_first, before FROM s JOIN e ON e.user_id = s.user_id AND event_id = stop)
+SELECT e.user_id::VARCHAR AS id, CASE WHEN max(stop) IS NULL THEN max(event_id) WHEN bool_or(at_first) THEN max(x.before) ELSE max(stop) END::VARCHAR AS wiki,
+  CASE WHEN max(stop) IS NULL THEN max(event_id) ELSE max(x.before) END::VARCHAR AS notes, count(*) FILTER (WHERE event_id >= stop) AS waiting,
+  CASE WHEN max(stop) IS NOT NULL THEN CASE WHEN bool_or(at_first) THEN 'wiki' ELSE 'notes' END END AS held_by FROM e LEFT JOIN x ON x.user_id = e.user_id GROUP BY e.user_id""")
+def two_sink_delivery(spark, sf_dir):
+    """Each user's events to two sinks in order, in three runs: the first sink fails some once, the second some for good."""
+    folder = work_folder(spark, "delivery")
+    inbox, log, checkpoint = (f"{folder}/{x}" for x in ("in", "log", "checkpoint"))
+    events = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("id"), F.col("event_id").cast("string").alias("version"), F.col("event_id").alias("seq"))
+    events.write.parquet(inbox)
+    for _ in range(2):
+        delivery.deliver_available(spark, inbox, log, checkpoint, ("wiki", wiki_sink), ("notes", notes_sink))
+        delivery.wake_held(spark, log, inbox)
+    delivery.deliver_available(spark, inbox, log, checkpoint, ("wiki", wiki_sink), ("notes", notes_sink))
+    tried = delivery.read_log(spark, log)
+    acknowledged = delivery.receipts(tried).groupBy("id").pivot("sink", ["wiki", "notes"]).agg(F.first("version"))
+    waiting = delivery.pending(events, tried, "notes").groupBy("id").agg(F.count("*").alias("waiting"))
+    stuck = delivery.held(tried).select("id", F.col("sink").alias("held_by"))
+    whole = events.select("id").distinct().join(acknowledged, "id", "left").join(waiting, "id", "left").join(stuck, "id", "left")
+    return whole.select("id", "wiki", "notes", F.coalesce("waiting", F.lit(0)).alias("waiting"), "held_by")

@@ -99,3 +99,20 @@ def recover_intents(intents: DataFrame, observed: DataFrame, key: str) -> DataFr
     seen = observed.select(F.col(key), F.col("version").alias("__seen")).withColumn("__here", F.lit(True))
     outcome = F.when(F.col("__seen").eqNullSafe(F.col("version")), "verified").when(F.col("__here").isNull() | F.col("__seen").eqNullSafe(F.col("before")), "retry").otherwise("held")
     return intents.join(seen, key, "left").withColumn("outcome", outcome).drop("__seen", "__here")
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: lineage ends here."""
+    path = f"{shared_root(df.sparkSession)}/siltworks/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._kept_at = path
+    return back
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`kept` wrote and nothing reads any more."""
+    path = getattr(df, "_kept_at", None)
+    if path:
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
