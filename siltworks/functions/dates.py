@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Civil time of naive stamps, as an offset.
 OFFSET = "+08:00"
+#: Digits over this are milliseconds, up to it seconds (fixed value).
+MILLIS_ABOVE = 10_000_000_000
 
 
 def parse_time(text: Column) -> Column:
@@ -14,7 +16,7 @@ def parse_time(text: Column) -> Column:
     t = F.trim(text)
     digits = t.rlike("^[0-9]{1,16}$")
     number = F.when(digits, t.cast("decimal(20,0)"))
-    from_number = F.timestamp_millis(F.when(number >= 10_000_000_000, number).otherwise(number * 1000).cast("long"))
+    from_number = F.timestamp_millis(F.when(number > MILLIS_ABOVE, number).otherwise(number * 1000).cast("long"))
     zoned = t.rlike(r"(?:Z|[+-]\d{2}:?\d{2})$") & t.rlike(r"\d[T ]\d")
     date_only = t.rlike(r"^\d{4}-\d{2}-\d{2}$")
     iso = F.when(date_only, F.concat(t, F.lit("T00:00:00" + OFFSET))).when(zoned, t).otherwise(F.concat(t, F.lit(OFFSET)))
@@ -23,8 +25,9 @@ def parse_time(text: Column) -> Column:
 
 def form_of(text: Column) -> Column:
     """The form of a stamp: millis, seconds, zoned, naive, date or other."""
+    number = F.when(text.rlike("^[0-9]{1,16}$"), text.cast("decimal(20,0)"))
     return (
-        F.when(text.isNull() | (text == ""), "missing").when(text.rlike("^[0-9]{12,16}$"), "millis").when(text.rlike("^[0-9]{1,11}$"), "seconds")
+        F.when(text.isNull() | (text == ""), "missing").when(number > MILLIS_ABOVE, "millis").when(number.isNotNull(), "seconds")
         .when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), "date").when(text.rlike(r"^\d{4}-\d{2}-\d{2}[T ].*(?:Z|[+-]\d{2}:?\d{2})$"), "zoned").when(text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]"), "naive").otherwise("other")
     )
 

@@ -69,7 +69,7 @@ def truncate_utf8(text: Column, limit: int) -> Column:
     # back up to where a character starts
     cut = F.when(lead(0), limit).when(lead(1), limit - 1).when(lead(2), limit - 2).otherwise(limit - 3)
     kept = F.when(F.octet_length(text) <= limit, text).otherwise(F.decode(F.substr(raw, F.lit(1), cut), "UTF-8"))
-    return F.regexp_replace(kept, r"[-. ]+$", "")
+    return F.regexp_replace(kept, r"[-. ]+\z", "")
 
 
 def utf16_units(text: Column) -> Column:
@@ -226,37 +226,6 @@ def soft_chunks(text: str, limit: int = 1800, least: int = 400) -> Iterator[str]
         yield text[at:]
 
 
-def markdown_blocks(text: str) -> Iterator[str]:
-    """Typed blocks of a Markdown text as ``type<TAB>content``."""
-    fence: list[str] | None = None
-    for line in text.split("\n"):
-        bare = line.strip()
-        if bare.startswith("```"):
-            if fence is None:
-                fence = []
-            else:
-                yield "code\t" + "\n".join(fence)
-                fence = None
-        elif fence is not None:
-            fence.append(line)
-        elif bare:
-            hashes = len(bare) - len(bare.lstrip("#"))
-            if 0 < hashes <= 6 and bare[hashes : hashes + 1] == " ":
-                yield f"heading{hashes}\t{bare[hashes + 1 :].strip()}"
-            elif bare[:2] in ("- ", "* "):
-                yield f"bullet\t{bare[2:]}"
-            elif bare.split(" ")[0].rstrip(".").isdigit() and ". " in bare[:6]:
-                yield f"number\t{bare.split('. ', 1)[1]}"
-            elif bare.startswith("> "):
-                yield f"quote\t{bare[2:]}"
-            elif bare.startswith("|"):
-                yield f"row\t{bare}"
-            else:
-                yield f"text\t{bare}"
-    if fence:
-        yield "code\t" + "\n".join(fence)
-
-
 def nfkc_slugs(df: DataFrame, key: str, text: str, limit: int = 120) -> DataFrame:
     """Rows (key, pos, chunk): a slug after compatibility normalisation, at most ``limit`` UTF-8 bytes."""
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.operators.joining import look_up
@@ -88,3 +88,47 @@ def admitted_chain(receipts: DataFrame, key: str, previous: str, sequence: str,
     )
     named = marked.groupBy("id").agg(F.min("chain").alias("chain"), F.min("number").alias("number"))
     return found.withColumn("__o", outcome).join(named, "id").select(F.col("id").alias(key), "chain", F.col("number").alias("sequence"), "depth", F.col("__o").alias("outcome"))
+
+
+def path_history(creations: DataFrame, renames: DataFrame, path: str = "path", source: str = "source", at: str = "at") -> DataFrame:
+    """When a path named which file: rows (path, start, end, file), end open where it is null.
+
+    A path names a file from its creation there or its rename to it, until it is
+    renamed away or another one comes to the path. ``file`` is where the file was
+    created, as ``path@start``, found by following its renames back; null where a
+    rename started from a path that named no file. A path may be used again.
+    """
+    opens = creations.select(F.col(path).alias("path"), F.col(at).alias("start"), F.lit(None).cast("string").alias("before")).unionByName(
+        renames.select(F.col(path).alias("path"), F.col(at).alias("start"), F.col(source).alias("before"))
+    )
+    moves = opens.select("path", F.col("start").alias("t"), F.lit(True).alias("comes"), "before").unionByName(
+        renames.select(F.col(source).alias("path"), F.col(at).alias("t"), F.lit(False).alias("comes"), F.lit(None).cast("string").alias("before"))
+    )
+    after = F.lead("t").over(Window.partitionBy("path").orderBy("t", F.col("comes")))
+    spans = moves.withColumn("end", after).where("comes").select("path", F.col("t").alias("start"), "end", "before", F.concat("path", F.lit("@"), F.col("t").cast("string")).alias("id"))
+    spans = kept(spans, "path-spans")
+    ended = spans.select(F.col("path").alias("before"), F.col("end").alias("start"), F.col("id").alias("parent"))
+    linked = spans.join(ended, ["before", "start"], "left")
+    lost = F.col("before").isNotNull() & F.col("parent").isNull()
+    found = walk(linked.withColumn("lost", lost), "id", "parent", any_of=["lost"], limit=1 << 62)
+    return spans.join(found.select("id", F.when(~F.col("lost") & (F.col("outcome") == "ok"), F.col("root")).alias("file")), "id").select("path", "start", "end", "file")
+
+
+def bound_attachments(blocks: DataFrame, history: DataFrame, receipts: DataFrame, key: str) -> DataFrame:
+    """Which receipt each attachment block (key, path, at, upload_id, sha256, size) stands for: rows (key, file, receipt, outcome).
+
+    The block's path is read as of its time. Of its file's receipts (receipt, file,
+    upload_id, sha256, size, verified) those with the block's upload id count, or
+    where it has none, those with its hash and size: exactly one, and verified, is
+    ``bound``; else ``no_file``, ``missing``, ``ambiguous`` or ``unverified``.
+    """
+    then = (F.col("path") == F.col("h_path")) & (F.col("h_start") <= F.col("at")) & (F.col("h_end").isNull() | (F.col("at") < F.col("h_end")))
+    spans = history.select(F.col("path").alias("h_path"), F.col("start").alias("h_start"), F.col("end").alias("h_end"), "file")
+    placed = blocks.join(spans, then, "left").select(key, "file", "upload_id", "sha256", "size")
+    known = receipts.select("receipt", "file", F.col("upload_id").alias("r_upload"), F.col("sha256").alias("r_sha"), F.col("size").alias("r_size"), "verified")
+    fits = F.when(F.col("upload_id").isNotNull(), F.col("upload_id") == F.col("r_upload")).otherwise((F.col("sha256") == F.col("r_sha")) & (F.col("size") == F.col("r_size")))
+    hits = placed.join(known, "file").where(fits).groupBy(key).agg(F.count("*").alias("n"), F.min("receipt").alias("receipt"), F.every("verified").alias("verified"))
+    outcome = (
+        F.when(F.col("file").isNull(), "no_file").when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "ambiguous").when(~F.coalesce("verified", F.lit(False)), "unverified").otherwise("bound")
+    )
+    return placed.join(hits, key, "left").withColumn("outcome", outcome).select(key, "file", F.when(F.col("outcome") == "bound", F.col("receipt")).alias("receipt"), "outcome")

@@ -91,11 +91,10 @@ def filename_audit(spark, sf_dir):
 
 @query("""WITH n AS (SELECT doc_id, 'note-' || doc_id % 50 AS name FROM documents) SELECT doc_id, CASE WHEN k = 1 THEN name ELSE name || '-' || k END AS name FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id) AS k FROM n)""")
 def rename_proposals(spark, sf_dir):
-    from pyspark.sql import Window
-
+    """A name of its own for each document: all but the first of a name get a number."""
     rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("note-"), (F.col("doc_id") % 50).cast("string")).alias("name"))
-    k = F.row_number().over(Window.partitionBy("name").orderBy("doc_id"))
-    return rows.withColumn("k", k).select("doc_id", F.when(F.col("k") == 1, F.col("name")).otherwise(F.concat("name", F.lit("-"), F.col("k").cast("string"))).alias("name"))
+    k = F.col("number")
+    return ranking.numbered(rows, "name", "doc_id").select("doc_id", F.when(k == 1, F.col("name")).otherwise(F.concat("name", F.lit("-"), k.cast("string"))).alias("name"))
 
 
 @query(f"""SELECT '{TARGET}' AS target, CAST({WINDOW_DAYS} AS BIGINT) AS window_days, count(*) AS candidates, count(*) FILTER (WHERE priority = 'high') AS high, count(DISTINCT source) AS sources FROM ({CANDIDATE_SQL})""")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltworks.operators import manifests, variants
+from siltworks.functions import front_matter
+from siltworks.operators import manifests, trees, variants
 from siltworks.plans.registry import query, table
 
 #: Metadata of pages in shapes that differ from row to row; @ is the url, ~ a signature.
@@ -100,3 +101,52 @@ def budget_with_backlog(spark, sf_dir):
     kind = F.when(d % 4 == 0, "audit").when((d % 4 == 1) & (F.col("source") != "src3"), "deferred").otherwise("fresh")
     taken, waiting = manifests.share_budget(table(spark, sf_dir, "documents").select("doc_id", "source", kind.alias("kind"), d.alias("o")), "source", "doc_id", "kind", "o", budget=20, reserve=5)
     return taken.select("source", "doc_id", "slot").unionByName(waiting.select("source", "doc_id", F.lit("waits").alias("slot")))
+
+
+#: Lines of heads by number; ~ is the source (fixed values).
+HEAD_LINES = ['source: "~"', "lang: en", "lang: 1", "  - ~", "~", "", "# note", "n: {\"a\": [1]}", "note_id: 'x'", "note_id: |"]
+HEAD_SQL = "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in HEAD_LINES) + "]"
+
+
+@query(f"""WITH d AS (SELECT doc_id, list_transform([doc_id % 10, doc_id // 10 % 10, doc_id // 100 % 10], lambda k: replace({HEAD_SQL}[k + 1], '~', coalesce(source, ''))) AS x FROM documents),
+k AS (SELECT doc_id, x, list_transform(x, lambda l: split_part(l, ':', 1)) AS keys, list_transform(x, lambda l: trim(l[instr(l, ':') + 1:])) AS vals,
+  list_filter(x, lambda l: NOT starts_with(l, '  ')) AS tops, NOT starts_with(x[1], '  ') AS flush FROM d),
+j AS (SELECT *, list_bool_and(list_transform(x, lambda l: contains(l, ': ') AND coalesce(json_valid(l[instr(l, ': ') + 2:]), false))) AS all_json FROM k)
+SELECT doc_id, CASE WHEN all_json AND len(list_distinct(keys)) = 3 THEN 'ok' ELSE 'malformed' END AS strict_json,
+CASE WHEN NOT flush OR NOT list_bool_and(list_transform(tops, lambda l: contains(l, ': '))) THEN 'unknown' WHEN len(list_distinct(list_transform(tops, lambda l: split_part(l, ': ', 1)))) < len(tops) THEN 'duplicate' ELSE 'ok' END AS continued,
+CASE WHEN list_bool_and(list_transform(x, lambda l: contains(l, ':') AND NOT regexp_matches(l, '^(\\s|#|$)'))) AND len(list_distinct(keys)) = 3 AND NOT list_contains(x, 'note_id: |') THEN 'ok' ELSE 'malformed' END AS legacy FROM j""")
+def front_matter_dialects(spark, sf_dir):
+    """Heads of three lines in three strict dialects: what each makes of them."""
+    d, lines = F.col("doc_id"), F.array(*(F.lit(x) for x in HEAD_LINES))
+    chosen = [F.replace(F.get(lines, (F.floor(d / n) % 10).cast("int")), F.lit("~"), F.coalesce("source", F.lit(""))) for n in (1, 10, 100)]
+    made = F.concat(F.lit("---\n"), F.concat_ws("\n", *chosen), F.lit("\n---\n"), F.coalesce("text", F.lit("")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", made.alias("t"))
+    return rows.select("doc_id", *(getattr(front_matter, n)(F.col("t"))["outcome"].alias(n) for n in ("strict_json", "continued", "legacy")))
+
+
+FILES_SQL = """o AS (SELECT 'a/' || user_id AS path, event_id AS start, NULL::VARCHAR AS before FROM events WHERE event_id % 5 = 0 UNION ALL SELECT CASE event_id % 5 WHEN 1 THEN 'b/' ELSE 'c/' END || user_id, event_id, CASE event_id % 5 WHEN 1 THEN 'a/' ELSE 'b/' END || user_id FROM events WHERE event_id % 5 IN (1, 2)),
+m AS (SELECT path, start AS t, true AS comes, before FROM o UNION ALL SELECT before, start, false, NULL FROM o WHERE before IS NOT NULL), s AS (SELECT *, lead(t) OVER (PARTITION BY path ORDER BY t, comes) AS e FROM m),
+i AS (SELECT path, t AS start, e, before, path || '@' || t AS id FROM s WHERE comes)"""
+
+
+@query(f"""WITH RECURSIVE {FILES_SQL}, r AS (SELECT id, id AS file FROM i WHERE before IS NULL UNION ALL SELECT i.id, r.file FROM r JOIN i p ON p.id = r.id JOIN i ON i.before = p.path AND i.start = p.e),
+h AS (SELECT i.path, i.start, i.e, r.file FROM i LEFT JOIN r USING (id)), b AS (SELECT event_id, substr('abc', event_id % 3 + 1, 1) || '/' || user_id AS path, CASE WHEN event_id % 4 = 0 THEN 'u' || event_id % 3 END AS upload, CASE WHEN event_id % 7 = 0 THEN 1 ELSE user_id END AS size FROM events WHERE event_id % 5 >= 3),
+c AS (SELECT i.id AS file, k, i.id || '#' || k AS receipt, 'u' || k AS upload, split_part(path, '/', 2)::BIGINT AS size, start % 4 <> 0 AS verified FROM i, (SELECT unnest([0, 1]) AS k) WHERE before IS NULL AND (k = 0 OR start % 3 = 0)),
+p AS (SELECT b.*, h.file FROM b LEFT JOIN h ON h.path = b.path AND h.start <= event_id AND (h.e IS NULL OR event_id < h.e)),
+n AS (SELECT p.event_id, count(*) AS n, min(c.receipt) AS receipt, bool_and(verified) AS verified FROM p JOIN c ON c.file = p.file AND CASE WHEN p.upload IS NOT NULL THEN p.upload = c.upload ELSE p.size = c.size END GROUP BY 1),
+x AS (SELECT p.event_id, p.file, n.receipt, CASE WHEN p.file IS NULL THEN 'no_file' WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' WHEN NOT verified THEN 'unverified' ELSE 'bound' END AS outcome FROM p LEFT JOIN n USING (event_id))
+SELECT event_id, file, CASE WHEN outcome = 'bound' THEN receipt END AS receipt, outcome FROM x""")
+def attachment_binding(spark, sf_dir):
+    """Attachments by path as of their time, over renames and paths used again, to exactly one verified receipt of the file."""
+    events, e = table(spark, sf_dir, "events").select("event_id", "user_id"), F.col("event_id")
+    named = lambda letter: F.concat(letter if not isinstance(letter, str) else F.lit(letter), F.lit("/"), F.col("user_id").cast("string"))
+    created = events.where(e % 5 == 0).select(named("a").alias("path"), e.alias("at"))
+    renamed = events.where((e % 5).isin(1, 2)).select(named(F.when(e % 5 == 1, "b").otherwise("c")).alias("path"), named(F.when(e % 5 == 1, "a").otherwise("b")).alias("source"), e.alias("at"))
+    history = trees.path_history(created, renamed)
+    letter = F.get(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (e % 3).cast("int"))
+    upload = F.when(e % 4 == 0, F.concat(F.lit("u"), (e % 3).cast("string")))
+    blocks = events.where(e % 5 >= 3).select("event_id", named(letter).alias("path"), e.alias("at"), upload.alias("upload_id"), F.lit("same").alias("sha256"), F.when(e % 7 == 0, 1).otherwise(F.col("user_id")).alias("size"))
+    k = F.col("k").cast("string")
+    files = created.select(F.concat("path", F.lit("@"), F.col("at").cast("string")).alias("file"), F.split("path", "/")[1].cast("long").alias("size"), "at", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
+    receipts = files.where("k = 0 or at % 3 = 0").select(F.concat("file", F.lit("#"), k).alias("receipt"), "file", F.concat(F.lit("u"), k).alias("upload_id"), F.lit("same").alias("sha256"), "size", (F.col("at") % 4 != 0).alias("verified"))
+    return trees.bound_attachments(blocks, history, receipts, "event_id")

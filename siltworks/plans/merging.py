@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from siltworks.operators import merging as ops
 from siltworks.plans.registry import query, table
-from siltworks.plans.rollups import theme_hits
+from siltworks.plans.rollups import THEME_SQL, theme_hits
 
 FIELDS_SQL = """SELECT doc_id, 'd' || doc_id % 5 AS desired, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE 'd' || doc_id % 4 END AS current, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'd' || doc_id % 4 END AS managed FROM documents"""
 
@@ -66,7 +66,8 @@ def merged_runs(spark, sf_dir):
     return merged.select("conv_id", F.size("m").cast("long").alias("runs"), digest.alias("digest"))
 
 
-@query()
+@query(f"""{THEME_SQL}, g AS (SELECT source, theme, sum(weight) AS weight, count(*) AS support FROM h GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY weight DESC, theme) AS k FROM g),
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY k) AS n FROM r WHERE k = 1 OR support >= 2 OR length(theme) % 2 = 0) SELECT source, string_agg(theme, ',' ORDER BY n) AS themes FROM o WHERE n <= 3 GROUP BY source""")
 def theme_selection(spark, sf_dir):
     hits = theme_hits(spark, sf_dir).groupBy("source", "theme").agg(F.sum("weight").alias("weight"), F.count("*").alias("support"))
     ranked = F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("order"), F.col("theme").alias("name"), F.col("support"), (F.length("theme") % 2).alias("seen"))))

@@ -43,7 +43,7 @@ f AS (SELECT doc_id, 'fresh' AS slot FROM d WHERE k % 4 >= 2 ORDER BY doc_id DES
 def budgeted_slots(spark, sf_dir):
     """A budget of 100 reads: 25 to audit, 50 deferred, 25 fresh."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    numbered = ops.top_per_group(docs, ["source"], [F.col("doc_id")], 1 << 62, "k")
+    numbered = ops.numbered(docs, "source", "doc_id", "k")
     pick = lambda cond, order, n, slot: numbered.where(cond).orderBy(order).limit(n).select("doc_id", F.lit(slot).alias("slot"))
     parts = pick("k % 4 = 0", F.col("doc_id"), 25, "audit"), pick("k % 4 = 1", F.desc("doc_id"), 50, "deferred"), pick("k % 4 >= 2", F.desc("doc_id"), 25, "fresh")
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -186,3 +186,9 @@ def chain_admission(spark, sf_dir):
     rows = ops.top_per_group(table(spark, sf_dir, "events").select("user_id", "event_id"), ["user_id"], [F.desc("event_id")], 24, "back")
     hit = rows.groupBy("user_id").agg(F.min(F.when(F.col("event_id") % 10 == 3, F.col("back"))).alias("hit"), F.count("*").alias("n"))
     return hit.select("user_id", F.least(F.coalesce(F.col("hit") - 1, F.col("n")), F.col("n")).alias("admitted"), F.col("hit").isNotNull().alias("anchored"))
+
+
+@query("""SELECT user_id, event_id AS last FROM (SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id) ORDER BY event_id DESC LIMIT 40""")
+def recent_ids(spark, sf_dir):
+    """The ids seen last, each once, up to a limit: older ones are forgotten."""
+    return ops.queue_order(table(spark, sf_dir, "events"), "user_id", "event_id").orderBy(F.desc("last")).limit(40)

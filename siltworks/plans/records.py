@@ -51,13 +51,11 @@ def canonical_nested(spark, sf_dir):
     return rows.select("doc_id", F.sha2(text, 256).alias("digest"))
 
 
-@query(f"""SELECT doc_id, array_to_string([source, source, 'x', lang, source, 'x', lang, 'now', 'then'], '|') AS strings FROM ({NESTED_SQL})""")
+@query(f"""SELECT doc_id, array_to_string([source, 'now', source, 'x', lang, source, 'x', lang, 'then'], '|') AS strings FROM ({NESTED_SQL})""")
 def nested_strings(spark, sf_dir):
     rows = nested(spark, sf_dir)
     found = records.strings_of(F.col("record"), rows.schema["record"].dataType)
-    # the array of parts stands before the stamp only in name order; here all stand in declared order
-    moved = F.concat(F.filter(found, lambda x: ~x.isin("now", "then")), F.filter(found, lambda x: x.isin("now", "then")))
-    return rows.select("doc_id", F.array_join(moved, "|").alias("strings"))
+    return rows.select("doc_id", F.array_join(found, "|").alias("strings"))
 
 
 ASSET_SQL = """SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'https://assets.example.com/f' || page_id || '?Expires=1&OSSAccessKeyId=k' || page_id || '&Signature=s&v=2' WHEN 1 THEN 'https://assets.example.com/f' || page_id || '?Expires=1&Signature=s'

@@ -9,15 +9,18 @@ from siltworks.operators import ranking
 from siltworks.plans.registry import query, table
 
 
-@query("""SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n, round(sum(o_totalprice), 2) AS total, round(sum(o_totalprice) / 1000, 1) AS thousands,
-array_to_string(list_sort(list(o_orderkey)), ',') AS ids FROM orders GROUP BY 1""")
+@query("""WITH o AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, o_totalprice, o_orderkey, (row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m-%d') ORDER BY o_orderkey) - 1) // 500 AS part FROM orders),
+d AS (SELECT day, count(*) AS n, round(sum(o_totalprice), 2) AS total, round(sum(o_totalprice) / 1000, 1) AS thousands FROM o GROUP BY day)
+SELECT day, part, n, total, thousands, array_to_string(list_sort(list(o_orderkey)), ',') AS ids FROM o JOIN d USING (day) GROUP BY ALL""")
 def daily_rollup(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    ids = F.array_join(F.transform(F.sort_array(F.collect_list("o_orderkey")), lambda x: x.cast("string")), ",")
+    """Figures of each day with its ids, 500 to a row, so that no day is gathered whole."""
+    orders = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderkey", "o_totalprice")
     total = F.sum("o_totalprice")
-    return orders.groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")).agg(
-        F.count("*").alias("n"), F.round(total, 2).alias("total"), F.round(total / 1000, 1).alias("thousands"), ids.alias("ids")
-    )
+    days = orders.groupBy("day").agg(F.count("*").alias("n"), F.round(total, 2).alias("total"), F.round(total / 1000, 1).alias("thousands"))
+    placed = ranking.numbered(orders.select("day", "o_orderkey"), "day", "o_orderkey")
+    ids = F.array_join(F.transform(F.sort_array(F.collect_list("o_orderkey")), lambda x: x.cast("string")), ",")
+    parts = placed.groupBy("day", F.floor((F.col("number") - 1) / 500).alias("part")).agg(ids.alias("ids"))
+    return parts.join(days, "day").select("day", "part", "n", "total", "thousands", "ids")
 
 
 @query("""SELECT o_orderstatus AS status, o_orderpriority AS priority, CAST(grouping(o_orderstatus) * 2 + grouping(o_orderpriority) AS BIGINT) AS level, count(*) AS n
@@ -101,11 +104,11 @@ h AS (SELECT doc_id, source, theme, max(weight) AS weight FROM w JOIN t USING (w
 def theme_hits(spark, sf_dir):
     """(doc_id, source, theme, weight): themes by whole ASCII words."""
     rules = spark.createDataFrame(THEMES, "theme string, word string, weight long")
-    docs = table(spark, sf_dir, "documents")
-    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))
-    # only words of rules are exploded
-    words = docs.select("doc_id", "source", F.explode(F.array_intersect(found, F.array(*(F.lit(w) for w in sorted({w for _, w, _ in THEMES}))))).alias("word"))
-    return words.join(F.broadcast(rules), "word").groupBy("doc_id", "source", "theme").agg(F.max("weight").alias("weight"))
+    # one pass over a text finds the words of rules, and nothing else leaves the scan
+    words = "|".join(sorted({w for _, w, _ in THEMES}))
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(rf"(?<![a-z])(?:{words})(?![a-z])"), F.lit(0)))
+    named = table(spark, sf_dir, "documents").select("doc_id", "source", F.explode(found).alias("word"))
+    return named.join(F.broadcast(rules), "word").groupBy("doc_id", "source", "theme").agg(F.max("weight").alias("weight"))
 
 
 @query(f"{THEME_SQL} SELECT theme, count(*) AS documents, CAST(sum(weight) AS BIGINT) AS weight, count(DISTINCT source) AS sources FROM h GROUP BY theme")
@@ -140,13 +143,6 @@ def number_text(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", format_number(F.col("p_retailprice")).alias("price"))
 
 
-@query("""SELECT CAST(n AS BIGINT) AS attempt, least(30.0, 0.5 * pow(2, n - 1)) AS delay, least(30.0, 0.5 * pow(2, n - 1)) * 0.5 AS least_delay FROM range(1, 11) t(n)""")
-def backoff_schedule(spark, sf_dir):
-    """Exponential back-off: base 0.5 s, at most 30 s, jitter down to half."""
-    delay = F.least(F.lit(30.0), 0.5 * F.pow(F.lit(2.0), F.col("id") - 1))
-    return spark.range(1, 11).select(F.col("id").alias("attempt"), delay.alias("delay"), (delay * 0.5).alias("least_delay"))
-
-
 @query("""SELECT event_type, count(*) AS n, count(*) FILTER (WHERE json_extract_string(props, '$.k') IS NULL) AS without_k, CAST(sum(json_array_length(json_keys(props))) AS BIGINT) AS keys FROM events GROUP BY event_type""")
 def opaque_counts(spark, sf_dir):
     props = F.from_json("props", "map<string,string>")

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from siltworks.plans.registry import query, table
+from siltworks.sources import budgeted
 from siltworks.sources.state import StateTable, shared_root
 from siltworks.streaming import delivery, incremental
 
@@ -82,3 +83,17 @@ def two_sink_delivery(spark, sf_dir):
     stuck = delivery.held(tried).select("id", F.col("sink").alias("held_by"))
     whole = events.select("id").distinct().join(acknowledged, "id", "left").join(waiting, "id", "left").join(stuck, "id", "left")
     return whole.select("id", "wiki", "notes", F.coalesce("waiting", F.lit(0)).alias("waiting"), "held_by")
+
+
+@query("""WITH n AS (SELECT count(*) AS n FROM events), p AS (SELECT event_id * 12 // n AS page, count(*) AS rows FROM events, n GROUP BY 1)
+SELECT 'page=' || lpad(page::VARCHAR, 2, '0') AS page, CASE WHEN page = 11 THEN 3 ELSE 1 END AS times, rows FROM p WHERE page <= 5 OR page = 11""")
+def budgeted_scan(spark, sf_dir):
+    """Three runs of a scan over twelve pages of events: each reads the newest page and as many after the cursor as its rows admit."""
+    folder = work_folder(spark, "budgeted")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    n = events.count()
+    events.repartition("event_id").withColumn("page", F.lpad(F.floor(F.col("event_id") * 12 / n).cast("string"), 2, "0")).write.partitionBy("page").parquet(f"{folder}/pages")
+    for _ in range(3):
+        budgeted.run_budgeted(spark, f"{folder}/pages", "event_id long, event_type string, value double", f"{folder}/out", f"{folder}/checkpoint", rows=3 * -(-n // 12), newest=1)
+    read = spark.read.schema(f"event_id long, event_type string, value double, {budgeted.ADDED}").parquet(f"{folder}/out")
+    return read.groupBy("page").agg(F.countDistinct("run").alias("times"), F.countDistinct("event_id").alias("rows"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltworks.functions import dates, hashing, numbers, text
+from siltworks.functions import dates, hashing, html_markdown, markdown, numbers, text
 from siltworks.plans.registry import query, table
 
 #: Titles with dates, tags and noise, derived from documents by fixed rules.
@@ -33,7 +33,8 @@ def slug(spark, sf_dir):
     return titles(spark, sf_dir).select("doc_id", text.slug(F.col("title"), 40).alias("slug"))
 
 
-@query()
+@query(rf"""WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(lower(nfc_normalize(title)), '[^\p{{L}}\p{{N}}]+', '-', 'g'), '^-+|-+$', '', 'g') AS s FROM ({TITLE_SQL}))
+SELECT doc_id, regexp_replace(s[1:list_max(list_filter(range(0, 121), lambda k: strlen(s[1:k]) <= 120))], '^-+|-+$', '', 'g') AS slug FROM s""")
 def slug_nfkc(spark, sf_dir):
     return text.nfkc_slugs(titles(spark, sf_dir), "doc_id", "title").select("doc_id", F.col("chunk").alias("slug"))
 
@@ -44,27 +45,56 @@ def first_line(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", head.alias("head"), F.length(head).cast("long").alias("n"))
 
 
-@query()
+@query("""WITH t AS (SELECT doc_id, text AS t, CASE WHEN strlen(text) <= 100 THEN text ELSE text[1:list_max(list_filter(range(0, 101), lambda k: strlen(text[1:k]) <= 100))] END AS c FROM documents)
+SELECT doc_id, regexp_replace(c, '[-. ]+$', '') AS cut, strlen(regexp_replace(c, '[-. ]+$', '')) AS bytes FROM t""")
 def utf8_truncate(spark, sf_dir):
     cut = text.truncate_utf8(F.col("text"), 100)
     return table(spark, sf_dir, "documents").select("doc_id", cut.alias("cut"), F.octet_length(cut).cast("long").alias("bytes"))
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT doc_id, text AS t, 0::BIGINT AS pos, NULL::VARCHAR AS piece FROM documents WHERE text <> '' UNION ALL
+SELECT doc_id, t[c + 1:], pos + 1, t[1:c] FROM (SELECT doc_id, t, pos, CASE WHEN length(t[1:2000]) + len(regexp_extract_all(t[1:2000], '[^\\x{0}-\\x{FFFF}]')) <= 2000 THEN length(t[1:2000])
+  ELSE list_max(list_filter(range(1000, 2001), lambda k: length(t[1:k]) + len(regexp_extract_all(t[1:k], '[^\\x{0}-\\x{FFFF}]')) <= 2000)) END AS c FROM s WHERE t <> ''))
+SELECT doc_id, pos - 1 AS pos, md5(piece) AS chunk_md5, length(piece) + len(regexp_extract_all(piece, '[^\\x{0}-\\x{FFFF}]')) AS units FROM s WHERE piece IS NOT NULL""")
 def utf16_chunks(spark, sf_dir):
     return text.split_rows(table(spark, sf_dir, "documents"), "doc_id", "text", text.utf16_chunks).select("doc_id", "pos", F.md5("chunk").alias("chunk_md5"), text.utf16_units(F.col("chunk")).alias("units"))
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT doc_id, text AS t, 0::BIGINT AS pos, NULL::VARCHAR AS piece FROM documents WHERE text <> '' UNION ALL
+SELECT doc_id, t[c + 1:], pos + 1, t[1:c] FROM (SELECT doc_id, t, pos, CASE WHEN length(t) <= 1800 THEN length(t) WHEN contains(t[401:1800], chr(10)) THEN 1801 - instr(reverse(t[401:1800]), chr(10)) WHEN contains(t[401:1800], ' ') THEN 1801 - instr(reverse(t[401:1800]), ' ') ELSE 1800 END AS c FROM s WHERE t <> ''))
+SELECT doc_id, pos - 1 AS pos, length(piece) AS n, md5(piece) AS chunk_md5 FROM s WHERE piece IS NOT NULL""")
 def soft_chunks(spark, sf_dir):
     return text.split_rows(table(spark, sf_dir, "documents"), "doc_id", "text", text.soft_chunks).select("doc_id", "pos", F.length("chunk").cast("long").alias("n"), F.md5("chunk").alias("chunk_md5"))
 
 
-@query()
+#: Markdown before each text: every kind of block, a table of 100 rows, fences, nested items (fixed values).
+MARKED = "---\ntitle: x\n---\n# Head #\n\n#### deep\n- one\n  - two\n\t\t- three\n1. first\nfor\n> said\n>more\n***\na | b\nc|d\\|e\n---|:--:\nf\n```py\n|x|\n|--|--|\n# no\n```\n```\n\n|h|i|\n|---|---|\n" + "".join(f"| {i} | v{i} |\n" for i in range(100)) + "last|\n\n"
+
+
+@query(r"""WITH t AS (SELECT doc_id, regexp_replace('# Head #' || chr(10) || split_part($m$@$m$, '# Head #' || chr(10), 2) || coalesce(text, ''), '\r\n?', chr(10), 'g') AS t FROM documents),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM t),
+f AS (SELECT *, starts_with(line, '```') AS fence, sum(starts_with(line, '```')::INT) OVER (PARTITION BY doc_id ORDER BY i) AS seg FROM l),
+p AS (SELECT *, NOT fence AND seg % 2 = 0 AND contains(line, '|') AND NOT regexp_full_match(line, '\s*') AS bar FROM f WHERE fence OR seg % 2 = 0 OR true),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, seg, bar ORDER BY i) AS run, bar AND lead(bar) OVER w AND regexp_full_match(lead(line) OVER w, '\s*\|*\s*:?-{3,}:?\s*(?:\|\s*:?-{3,}:?\s*)+\|*\s*') AS head FROM p WINDOW w AS (PARTITION BY doc_id, seg ORDER BY i)),
+k AS (SELECT *, CASE WHEN fence OR seg % 2 = 1 THEN 'code' WHEN bar AND sum(head::INT) OVER (PARTITION BY doc_id, seg, bar, run ORDER BY i) > 0 THEN 'table' WHEN regexp_full_match(line, '\s*') THEN 'blank' WHEN regexp_matches(line, '^#{1,6}\s+') THEN 'heading'
+  WHEN regexp_full_match(line, '\s*(?:---|___|\*\*\*)\s*') THEN 'divider' WHEN regexp_matches(line, '^[ \t]*[-*]\s+') THEN 'bullet' WHEN regexp_matches(line, '^[ \t]*\d+\.\s+') THEN 'number' WHEN starts_with(line, '>') THEN 'quote' ELSE 'paragraph' END AS kind FROM r),
+g AS (SELECT *, sum((kind IN ('heading', 'divider', 'bullet', 'number') OR kind IS DISTINCT FROM before OR kind = 'code' AND fence AND seg % 2 = 1)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS grp FROM (SELECT *, lag(kind) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM k)),
+b AS (SELECT doc_id, grp, kind, min(i) AS i, list(line ORDER BY i) AS x FROM g WHERE kind <> 'blank' AND NOT (kind = 'code' AND fence AND seg % 2 = 0) GROUP BY ALL),
+c AS (SELECT *, list_transform(list_filter(x, lambda y, n: n <> 2), lambda y: list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(replace(y, '\|', chr(1)), '^\s+|\s+$', '', 'g'), '^\|+', ''), '\|+$', ''), '|'), lambda z: replace(regexp_replace(z, '^\s+|\s+$', '', 'g'), chr(1), '|'))) AS rows FROM b WHERE kind = 'table'),
+w AS (SELECT *, list_max(list_transform(rows, lambda r: len(r))) AS width FROM c), e AS (SELECT *, list_transform(rows, lambda r: list_resize(r, width, '')) AS even, unnest(range(0, greatest(1, len(rows) - 1), 80)) AS o FROM w),
+a AS (SELECT doc_id, i, o, 'table' AS type, width AS level, '' AS lang, to_json(list_concat(even[1:1], even[o + 2:o + 81]))::VARCHAR AS text FROM e
+  UNION ALL SELECT doc_id, i, 0, kind, CASE WHEN kind = 'heading' THEN least(3, length(regexp_extract(x[1], '^#+'))) WHEN kind IN ('bullet', 'number') THEN length(replace(regexp_extract(x[1], '^[ \t]*'), chr(9), '  ')) // 2 ELSE 0 END,
+  CASE WHEN kind = 'code' THEN coalesce(nullif(regexp_replace(x[1][4:], '^\s+|\s+$', '', 'g'), ''), 'plain text') ELSE '' END,
+  CASE kind WHEN 'code' THEN array_to_string(x[2:], chr(10)) WHEN 'divider' THEN '' WHEN 'heading' THEN regexp_replace(regexp_replace(x[1], '^#{1,6}\s+', ''), '^\s+|\s+$', '', 'g') WHEN 'bullet' THEN regexp_replace(regexp_replace(x[1], '^[ \t]*[-*]\s+', ''), '^\s+|\s+$', '', 'g')
+  WHEN 'number' THEN regexp_replace(regexp_replace(x[1], '^[ \t]*\d+\.\s+', ''), '^\s+|\s+$', '', 'g') WHEN 'quote' THEN regexp_replace(array_to_string(list_transform(x, lambda y: regexp_replace(y, '^>\s?', '')), chr(10)), '^\s+|\s+$', '', 'g')
+  ELSE regexp_replace(array_to_string(list_transform(x, lambda y: regexp_replace(y, '\s+$', '')), chr(10)), '^\s+|\s+$', '', 'g') END FROM b WHERE kind <> 'table'
+  UNION ALL SELECT doc_id, -2, 0, 'heading', 3, '', 'Frontmatter' FROM documents UNION ALL SELECT doc_id, -1, 0, 'code', 0, 'yaml', 'title: x' FROM documents)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, o) - 1 AS pos, type, level::INT AS level, lang, md5(text) AS content_md5 FROM a""".replace("@", MARKED))
 def markdown_blocks(spark, sf_dir):
-    marked = F.concat(F.lit("# title\n\n- one\n1. two\n> said\n```\ncode\n```\n"), F.col("text"))
-    rows = text.split_rows(table(spark, sf_dir, "documents").select("doc_id", marked.alias("text")), "doc_id", "text", text.markdown_blocks)
-    return rows.select("doc_id", "pos", F.substring_index("chunk", "\t", 1).alias("type"), F.md5(F.regexp_replace("chunk", "^[^\t]*\t", "")).alias("content_md5"))
+    """Typed blocks of whole texts behind a text that has every kind."""
+    marked = F.concat(F.lit(MARKED), F.coalesce("text", F.lit("")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(markdown.markdown_blocks(marked, "nested")).alias("pos", "b"))
+    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), "b.type", "b.level", "b.lang", F.md5("b.text").alias("content_md5"))
 
 
 LINK_SQL = "SELECT doc_id, 'see https://a.example.com/' || doc_id || '?x=1, then http://b.example.org/p. ' || text || ' https://a.example.com/' || doc_id || '?x=1' AS t FROM documents"
@@ -83,11 +113,23 @@ def preview_redaction(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.redacted_preview(F.col("text")).alias("preview"))
 
 
-@query(r"""SELECT doc_id, CASE WHEN regexp_matches(text, 'AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|BEGIN [A-Z ]*PRIVATE KEY|(password|token) ?= ?"?[0-9a-f]{16,}') THEN 'held' ELSE 'passed' END AS outcome FROM documents""")
+#: Shapes of credentials whose texts are held (fixed values); none stands inside a longer word.
+SHAPES = [r"gh[pousr]_[A-Za-z0-9]{30,}", r"github_pat_[A-Za-z0-9_]{30,}", r"sk-[A-Za-z0-9_-]{20,}", r"ntn_[A-Za-z0-9]{30,}", r"secret_[A-Za-z0-9]{30,}", r"AKIA[0-9A-Z]{16}"]
+KEY_BLOCK = r"-----BEGIN (?:RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----"
+HELD = rf"(?:^|[^A-Za-z0-9_])(?:{'|'.join(SHAPES)})(?:$|[^A-Za-z0-9_])|{KEY_BLOCK}"
+#: A sample of each shape, put behind every eleventh text, whole or one character short.
+SAMPLES = ["ghp_" + "aB3" * 10, "github_pat_" + "x_9" * 10, "sk-" + "k-_7" * 5, "ntn_" + "Z9" * 15, "secret_" + "q0" * 15, "AKIA" + "Z9" * 8, "-----BEGIN EC PRIVATE KEY-----", "xghp_" + "aB3" * 10]
+SAMPLE_SQL = "CASE doc_id % 11 " + " ".join(f"WHEN {i} THEN ' {x}'" for i, x in enumerate(SAMPLES)) + " ELSE '' END"
+
+
+@query(f"""WITH t AS (SELECT doc_id, coalesce(text, '') || CASE WHEN doc_id % 22 >= 11 THEN left({SAMPLE_SQL}, -1) ELSE {SAMPLE_SQL} END AS t FROM documents)
+SELECT doc_id, CASE WHEN regexp_matches(t, '{HELD}') THEN 'held' ELSE 'passed' END AS outcome FROM t""")
 def secret_hold(spark, sf_dir):
     """Documents with a credential's shape are held before any write."""
-    shaped = F.col("text").rlike(r'AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|BEGIN [A-Z ]*PRIVATE KEY|(password|token) ?= ?"?[0-9a-f]{16,}')
-    return table(spark, sf_dir, "documents").select("doc_id", F.when(shaped, "held").otherwise("passed").alias("outcome"))
+    docs, d = table(spark, sf_dir, "documents"), F.col("doc_id")
+    sample = F.coalesce(F.get(F.array(*(F.lit(" " + x) for x in SAMPLES)), (d % 11).cast("int")), F.lit(""))
+    given = F.when(d % 22 >= 11, F.left(sample, F.greatest(F.length(sample) - 1, F.lit(0)))).otherwise(sample)
+    return docs.select("doc_id", F.when(F.concat(F.coalesce("text", F.lit("")), given).rlike(HELD), "held").otherwise("passed").alias("outcome"))
 
 
 @query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<(script|style)\b.*?</(script|style)>|<!--.*?-->', ' ', 'gis'), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g')) AS body FROM pages""")
@@ -300,3 +342,9 @@ def rule_table(spark, sf_dir):
     for part, *fields in reversed(RULES):
         out = F.when(F.contains(F.coalesce("url", F.lit("")), F.lit(part)), F.struct(*(F.lit(f).alias(n) for f, n in zip(fields, ("group", "advice", "risk"), strict=True)))).otherwise(out)
     return table(spark, sf_dir, "pages").select("page_id", out.alias("r")).select("page_id", "r.group", "r.advice", "r.risk")
+
+
+@query()
+def html_to_markdown(spark, sf_dir):
+    """Pages as Markdown: headings, lists, links, quotes, emphasis and code by a stack of open elements."""
+    return html_markdown.html_markdown(table(spark, sf_dir, "pages"), "page_id", "html")
