@@ -152,7 +152,7 @@ def read_parts(page: str, whole_article: bool, in_marked: bool) -> tuple[list[Pa
                     break
             continue
         link += tag == "a"
-        if tag not in BLOCKS and not m["attrs"].strip():
+        if tag not in BLOCKS and tag not in NEVER and not m["attrs"].strip():
             continue
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and open_tags and open_tags[-1][0] == tag:
             open_tags.pop()  # its end tag may be left out

@@ -11,6 +11,7 @@ without a join or a shuffle. DataFrame and SQL functions only.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -34,11 +35,11 @@ PEM = (
     r"|(?:\s{0,4}(?:Proc-Type|DEK-Info|Version|Comment): [^\n]{0,200})*+(?:(?:\\[nr]|\s){0,8}[A-Za-z0-9+/=]{16,})*+(?:(?:\\[nr]|\s){1,8}[A-Za-z0-9+/]++={0,2}\s*+\z)?)"
 )
 #: A whole name with one of NAMES in it, its sign, an opening quote.
-ASSIGNED = rf"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z0-9+/_.-]++[\"']?[ \t]{{0,3}}[:=])(?i:(?=[a-z0-9+/_.-]*?(?:{NAMES})))[A-Za-z0-9+/_.-]++[\"']?[ \t]{{0,3}}(?::=|=>|={{1,3}}|:)[ \t]{{0,3}}[\"']?"
+ASSIGNED = rf"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z0-9+/_.-]++[\"']?[ \t]*+[:=])(?i:(?=[a-z0-9+/_.-]*?(?:{NAMES})))[A-Za-z0-9+/_.-]++[\"']?[ \t]*+(?::=|=>|={{1,3}}|:)[ \t]*+[\"']?"
 #: A value up to its closing quote; without one up to a space, a quote, a tag, or a comma or semicolon that ends it or has another assignment behind it.
 VALUE = (
     r"(?:(?<=\")(?:[^\"\\\r\n]|\\.)++(?=\")|(?<=')(?:[^'\\\r\n]|\\.)++(?=')"
-    r"|[^\s\"']+?(?=[,;]{0,3}(?:[\s\"']|</?[A-Za-z][A-Za-z0-9]{0,15}[ ]?/?>|\z)|[,;][A-Za-z_][A-Za-z0-9_.-]{0,63}[ \t]{0,3}[:=]))"
+    r"|[^\s\"']+?(?=[,;]{0,3}(?:[\s\"']|</?[A-Za-z][A-Za-z0-9]{0,15}[ ]?/?>|\z)|[,;][A-Za-z_][A-Za-z0-9_.-]{0,63}[ \t]*+[:=]))"
 )
 CANDIDATE = rf"{PEM}|\b(?:{PREFIX})|{ASSIGNED}{VALUE}|(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{{16,}}+={{0,2}}"
 #: Characters of text before and after a candidate that its neighbouring words are taken from.
@@ -251,11 +252,13 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") -> D
     without a secret stay as they are.
     """
     forest = fit(labelled_findings(docs.sparkSession))
-    whole = searched(docs, text_col, forest)
+    # columns of the same names stand aside meanwhile
+    aside = {c: f"{c}_{uuid.uuid4().hex}" for c in ("__found", "__between") if c in docs.columns}
+    whole = searched(docs.withColumnsRenamed(aside), text_col, forest)
     name = lambda c: F.left(c["match"], F.length(c["match"]) - F.length(c["value"]))
     put = F.transform("__found", lambda c, i: F.concat(F.get("__between", i), F.when(c["probability"] > 0.5, F.concat(name(c), F.lit(mark))).otherwise(c["match"])))
     clean = F.concat(F.array_join(put, ""), F.element_at("__between", -1))
     whole = whole.withColumn(text_col, F.when(F.exists("__found", lambda c: c["probability"] > 0.5), clean).otherwise(F.col(text_col)))
     if "n_chars" in docs.columns:
         whole = whole.withColumn("n_chars", F.length(text_col).cast("long"))
-    return whole.select(*docs.columns)
+    return whole.select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
