@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltworks.functions import front_matter
-from siltworks.operators import manifests, trees, variants
+from siltworks.operators import manifests, ranking, trees, variants
 from siltworks.plans.registry import query, table
+from siltworks.sources import paged
 
 #: Metadata of pages in shapes that differ from row to row; @ is the url, ~ a signature.
 SHAPES = [
@@ -150,3 +151,31 @@ def attachment_binding(spark, sf_dir):
     files = created.select(F.concat("path", F.lit("@"), F.col("at").cast("string")).alias("file"), F.split("path", "/")[1].cast("long").alias("size"), "at", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
     receipts = files.where("k = 0 or at % 3 = 0").select(F.concat("file", F.lit("#"), k).alias("receipt"), "file", F.concat(F.lit("u"), k).alias("upload_id"), F.lit("same").alias("sha256"), "size", (F.col("at") % 4 != 0).alias("verified"))
     return trees.bound_attachments(blocks, history, receipts, "event_id")
+
+
+@query("""WITH k AS (SELECT user_id AS chain, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS k, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+e AS (SELECT chain, k // 5 AS place, (n - 1) // 5 AS last, n, CASE WHEN chain % 11 = 6 AND k = 5 THEN lag(event_id, 5) OVER (PARTITION BY chain ORDER BY k) ELSE event_id END AS id FROM k),
+p AS (SELECT chain, place, any_value(last) AS last, any_value(n) AS n, list(id) AS ids, count(*) AS c FROM e GROUP BY ALL),
+g AS (SELECT chain, place, CASE WHEN chain % 11 = 2 AND place = 1 THEN 'zz' WHEN place > 0 THEN 'c' || place END AS cursor, CASE WHEN chain % 11 = 3 AND place = 1 THEN 'c1' WHEN place < last THEN 'c' || place + 1 WHEN chain % 11 = 4 THEN 'more' END AS next,
+  CASE WHEN NOT (chain % 11 = 1 AND place = 1) THEN place < last END AS has_more, n + (chain % 11 = 7)::INT AS total, c, ids FROM p WHERE NOT (chain % 11 = 5 AND place = last)),
+f AS (SELECT *, lag(next) OVER w AS given, lag(has_more) OVER w AS went_on, lag(place) OVER w AS before FROM g WINDOW w AS (PARTITION BY chain ORDER BY place)),
+t AS (SELECT chain FROM (SELECT chain, unnest(ids) AS id FROM g) GROUP BY chain, id HAVING count(*) > 1), a AS (SELECT chain FROM g WHERE next IS NOT NULL GROUP BY chain, next HAVING count(*) > 1),
+s AS (SELECT chain, count(*) AS n_pages, sum(c)::BIGINT AS n_rows, CASE WHEN bool_or(has_more IS NULL) THEN 'shape' WHEN bool_or(CASE WHEN place = 0 THEN cursor IS NOT NULL ELSE before IS NULL OR cursor IS DISTINCT FROM given END) THEN 'cursor'
+  WHEN chain IN (SELECT chain FROM a) THEN 'repeated_cursor' WHEN bool_or(has_more AND next IS NULL) THEN 'empty_page' WHEN bool_or(NOT has_more AND next IS NOT NULL) THEN 'end' WHEN bool_or(NOT went_on) THEN 'after_last' WHEN arg_max(has_more, place) THEN 'missing_last'
+  WHEN chain IN (SELECT chain FROM t) THEN 'repeated_id' WHEN max(total) <> sum(c) THEN 'total' WHEN sum(c * 40) > 2800 THEN 'bytes' ELSE 'complete' END AS outcome FROM f GROUP BY chain)
+SELECT * FROM s""")
+def paged_listing(spark, sf_dir):
+    """Listings of each user's events, five to a page, some of them broken: what each chain of pages is worth."""
+    c, last, p = F.col("chain") % 11, F.col("last"), F.col("place")
+    rows = ranking.numbered(table(spark, sf_dir, "events").select(F.col("user_id").alias("chain"), "event_id"), "chain", "event_id", "k")
+    sizes = rows.groupBy("chain").agg(F.count("*").alias("n"), F.min("event_id").alias("first"))
+    listed = rows.join(sizes, "chain").withColumn("place", F.floor((F.col("k") - 1) / 5).cast("int")).withColumn("last", F.floor((F.col("n") - 1) / 5).cast("int"))
+    ids = F.when((c == 6) & (F.col("k") == 6), F.col("first")).otherwise(F.col("event_id"))
+    # five rows to a page
+    pages = listed.groupBy("chain", "place", "last", "n").agg(F.collect_list(F.struct(ids.alias("id"))).alias("rows")).where(~((c == 5) & (p == last)))
+    at = lambda k: F.concat(F.lit("c"), k.cast("string"))
+    made = pages.select(
+        "chain", "place", F.when((c == 2) & (p == 1), "zz").when(p > 0, at(p)).alias("cursor"), F.when((c == 3) & (p == 1), "c1").when(p < last, at(p + 1)).when(c == 4, "more").alias("next"),
+        F.when(~((c == 1) & (p == 1)), p < last).alias("has_more"), (F.col("n") + (c == 7).cast("int")).alias("total"), (F.size("rows") * 40).alias("bytes"), "rows",
+    )
+    return paged.chain_outcomes(made, most_bytes=2800)

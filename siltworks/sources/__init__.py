@@ -1,6 +1,6 @@
 """Sources with strict contracts, and tables that keep state."""
 
-from siltworks.sources.paged import PagedSource, ScanError, check_pages
+from siltworks.sources.paged import ScanError, check_pages, whole_chains
 from siltworks.sources.state import StateTable
 
-__all__ = ["PagedSource", "ScanError", "StateTable", "check_pages"]
+__all__ = ["ScanError", "StateTable", "check_pages", "whole_chains"]

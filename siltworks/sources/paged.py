@@ -1,20 +1,20 @@
-"""A paged JSON source with a strict cursor contract, as a Spark data source.
-
-A page is one line ``{"cursor", "next", "has_more", "rows": [...]}`` of a text file;
-files are partitions, each a chain of pages of its own. A scan fails rather than
-give part of the rows: a page without has_more, an empty page that promises more,
-a cursor that comes twice or does not lead to the next page, or an end with a
-cursor left, all stop it. Ids that come twice are found by :func:`check_pages`.
+"""Paged sources with a strict cursor contract.
+
+Pages are rows (:func:`whole_chains`: chains of any length, those with a fault are
+held) or lines ``{"cursor", "next", "has_more", "rows": [...]}`` of text files, a
+file a chain (:func:`read_pages`: a fault stops the scan). A scan gives all rows of
+a chain or none: a page without has_more, an empty page that promises more, a cursor
+that comes twice or does not lead to the next page, or an end with a cursor left,
+are faults. Ids that come twice in files are found by :func:`check_pages`.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 class ScanError(ValueError):
@@ -46,44 +46,6 @@ def chain(pages: Iterator[dict]) -> Iterator[dict]:
     yield from rows
 
 
-class Chain(InputPartition):
-    def __init__(self, lines: str):
-        self.lines = lines
-
-
-class PagedReader(DataSourceReader):
-    def __init__(self, chains: list[str], names: list[str]):
-        self.chains, self.names = chains, names
-
-    def partitions(self) -> list[Chain]:
-        return [Chain(x) for x in self.chains]
-
-    def read(self, partition: Chain) -> Iterator[tuple]:
-        for row in chain(json.loads(line) for line in partition.lines.split("\n") if line):
-            yield tuple(row.get(n) for n in self.names)
-
-
-class PagedSource(DataSource):
-    """``spark.read.format("paged").schema(...).option("pages", json list of chains)``.
-
-    Each chain is the text of its pages, one a line. A subclass may override
-    ``chains`` to fetch them from a service.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "paged"
-
-    def schema(self) -> str:
-        return "id string, updated_at string, body string"
-
-    def chains(self) -> list[str]:
-        return json.loads(self.options["pages"])
-
-    def reader(self, schema) -> PagedReader:
-        return PagedReader(self.chains(), schema.fieldNames())
-
-
 def read_pages(spark: SparkSession, path: str, schema: str = "id string, updated_at string, body string") -> DataFrame:
     """Pages from text files that Spark reads: a file is a chain, checked whole in one task."""
     names = [x.split()[0] for x in schema.split(", ")]
@@ -143,12 +105,58 @@ def scan_window(df: DataFrame, page: str, cursor: int, recent: int = 3, rotating
     return df.where((F.col(page) < recent) | F.col(page).isin(sweep))
 
 
-def fetch_chains(fetch: Callable[[str | None], dict]) -> str:
-    """One chain of pages from an injected transport, as the text a :class:`PagedSource` takes."""
-    out, cursor = [], None
-    while True:
-        page = dict(fetch(cursor), cursor=cursor)
-        out.append(json.dumps(page))
-        if not page.get("has_more") or page.get("next") in (None, cursor):
-            return "\n".join(out)
-        cursor = page["next"]
+#: What can be wrong with a chain of pages, the first of these counts (fixed order).
+FAULTS = ["shape", "cursor", "repeated_cursor", "empty_page", "end", "after_last", "missing_last", "repeated_id", "total", "bytes"]
+
+
+def chain_outcomes(pages: DataFrame, chain: str = "chain", place: str = "place", most_bytes: int = 1 << 62) -> DataFrame:
+    """Rows (chain, n_pages, n_rows, outcome) of pages (chain, place, cursor, next, has_more, total, bytes, rows).
+
+    A page per row, so a chain is never in one task: a page meets the one before it
+    by a join on place (0, 1, ...). ``outcome`` is ``complete``, or the first fault of
+    :data:`FAULTS`: a page without has_more or rows; a cursor that the page before
+    did not give; one given twice; an empty page that promises more; a last page
+    with a cursor; a page behind the last; no last page; an id (field ``id`` of
+    the rows) that comes twice; another number of rows than ``total`` (not checked
+    where null); more bytes than ``most_bytes`` in all.
+    """
+    one = pages.select(
+        F.col(chain).alias("chain"), F.col(place).alias("place"), "cursor", "next", "has_more", "total", "bytes", F.col("rows").isNotNull().alias("has_rows"), F.coalesce(F.size("rows"), F.lit(0)).alias("n")
+    )
+    before = one.select("chain", (F.col("place") + 1).alias("place"), F.col("next").alias("given"), F.col("has_more").alias("went_on"), F.lit(True).alias("has_before"))
+    linked = one.join(before, ["chain", "place"], "left")
+    given_again = one.where("next is not null").groupBy("chain", "next").count().where("count > 1").select("chain").distinct().withColumn("again", F.lit(True))
+    ids = pages.select(F.col(chain).alias("chain"), F.explode("rows").alias("r")).groupBy("chain", F.col("r.id").alias("id")).count()
+    twice = ids.where("count > 1").select("chain").distinct().withColumn("twice", F.lit(True))
+    first = F.col("place") == 0
+    any_of = lambda c: F.coalesce(F.max(c), F.lit(False))
+    seen = linked.groupBy("chain").agg(
+        F.count("*").alias("n_pages"), F.sum("n").alias("n_rows"), any_of(F.col("has_more").isNull() | ~F.col("has_rows")).alias("shape"),
+        any_of(F.when(first, F.col("cursor").isNotNull()).otherwise(F.col("has_before").isNull() | ~F.col("cursor").eqNullSafe(F.col("given")))).alias("cursor"),
+        any_of(F.col("has_more") & ((F.col("n") == 0) | F.col("next").isNull())).alias("empty_page"), any_of(~F.col("has_more") & F.col("next").isNotNull()).alias("end"),
+        any_of(F.col("has_before") & ~F.coalesce("went_on", F.lit(True))).alias("after_last"), F.coalesce(F.max_by("has_more", "place"), F.lit(False)).alias("missing_last"),
+        F.max("total").alias("most"), F.min("total").alias("least"), F.sum("bytes").alias("bytes"),
+    )
+    marked = seen.join(given_again, "chain", "left").join(twice, "chain", "left")
+    hit = {
+        "repeated_cursor": F.col("again"), "repeated_id": F.col("twice"), "total": (F.col("most") != F.col("n_rows")) | (F.col("least") != F.col("n_rows")), "bytes": F.col("bytes") > most_bytes,
+    }
+    outcome = F.coalesce(*(F.when(hit.get(f, F.col(f)), f) for f in FAULTS), F.lit("complete"))
+    return marked.select("chain", "n_pages", "n_rows", outcome.alias("outcome"))
+
+
+def whole_chains(pages: DataFrame, chain: str = "chain", place: str = "place", most_bytes: int = 1 << 62) -> tuple[DataFrame, DataFrame]:
+    """The rows of complete chains, and the chains held with their fault: a scan gives all of a chain or nothing."""
+    found = chain_outcomes(pages, chain, place, most_bytes)
+    good = found.where("outcome = 'complete'").select(F.col("chain").alias(chain))
+    rows = pages.join(good, chain, "left_semi").select(chain, F.explode("rows").alias("r")).select(chain, "r.*")
+    return rows, found.where("outcome <> 'complete'")
+
+
+def until_nothing_new(pages: DataFrame, chain: str = "chain", place: str = "place", key: str = "id") -> DataFrame:
+    """Rows (chain, id, place) of chains that end where a page adds no new id: each id at its first page, none behind the end."""
+    ids = pages.select(F.col(chain).alias("chain"), F.col(place).alias("place"), F.explode("rows").alias("r")).select("chain", "place", F.col(f"r.{key}").alias("id"))
+    first = ids.groupBy("chain", "id").agg(F.min("place").alias("place"))
+    adds = first.select("chain", "place").distinct().withColumn("adds", F.lit(True))
+    idle = pages.select(F.col(chain).alias("chain"), F.col(place).alias("place")).join(adds, ["chain", "place"], "left").where("adds is null").groupBy("chain").agg(F.min("place").alias("end"))
+    return first.join(idle, "chain", "left").where("end is null or place < end").select("chain", "id", "place")

@@ -148,16 +148,37 @@ def page(cursor, following, rows):
     return {"cursor": cursor, "next": following, "has_more": following is not None, "rows": rows}
 
 
-def test_pages(spark):
-    spark.dataSource.register(paged.PagedSource)
+def test_pages(spark, tmp_path):
     good = "\n".join(map(json.dumps, [page(None, "c1", [{"id": "1"}, {"id": "2"}]), page("c1", None, [{"id": "3"}])]))
-    df = spark.read.format("paged").option("pages", json.dumps([good])).load()
+    (tmp_path / "a.txt").write_text(good)
+    df = paged.read_pages(spark, str(tmp_path), "id string, body string")
     assert values(df, "id") == [("1",), ("2",), ("3",)]
     assert paged.check_pages(df).count() == 3
     with pytest.raises(Exception, match="twice"):
         paged.check_pages(df.union(df)).collect()
 
 
+def test_chains_with_each_fault(spark):
+    row = lambda *ids: [(i,) for i in ids]
+    chains = {
+        "complete": [(0, None, "a", True, 3, 5, row("1", "2")), (1, "a", None, False, 3, 5, row("3"))], "shape": [(0, None, None, None, None, 1, row("1"))], "cursor": [(0, None, "a", True, None, 1, row("1")), (1, "b", None, False, None, 1, row("2"))],
+        "repeated_cursor": [(0, None, "a", True, None, 1, row("1")), (1, "a", "a", True, None, 1, row("2")), (2, "a", None, False, None, 1, row("3"))], "empty_page": [(0, None, "a", True, None, 1, []), (1, "a", None, False, None, 1, row("1"))],
+        "end": [(0, None, "a", False, None, 1, row("1"))], "after_last": [(0, None, None, False, None, 1, row("1")), (1, None, None, False, None, 1, row("2"))], "missing_last": [(0, None, "a", True, None, 1, row("1"))],
+        "repeated_id": [(0, None, "a", True, None, 1, row("1")), (1, "a", None, False, None, 1, row("1"))], "total": [(0, None, None, False, 2, 1, row("1"))], "bytes": [(0, None, "a", True, None, 50, row("1")), (1, "a", None, False, None, 60, row("2"))],
+        "cursor ": [(0, None, "a", True, None, 1, row("1")), (2, "a", None, False, None, 1, row("2"))],
+    }
+    pages = spark.createDataFrame([(k, *p) for k, v in chains.items() for p in v], "chain string, place int, cursor string, next string, has_more boolean, total long, bytes long, rows array<struct<id:string>>")
+    assert {r.chain: r.outcome for r in paged.chain_outcomes(pages, most_bytes=100).collect()} == {k: k.strip() for k in chains}
+    rows, held = paged.whole_chains(pages, most_bytes=100)
+    assert sorted(r.id for r in rows.collect()) == ["1", "2", "3"] and held.count() == len(chains) - 1
+
+
+def test_chains_that_end_without_news(spark):
+    pages = [("a", 0, ["1", "2"]), ("a", 1, ["2", "3"]), ("a", 2, ["3", "1"]), ("a", 3, ["4"]), ("b", 0, ["1"]), ("b", 1, [])]
+    df = spark.createDataFrame([(c, p, [(i,) for i in ids]) for c, p, ids in pages], "chain string, place int, rows array<struct<id:string>>")
+    assert sorted(tuple(r) for r in paged.until_nothing_new(df).collect()) == [("a", "1", 0), ("a", "2", 0), ("a", "3", 1), ("b", "1", 0)]
+
+
 @pytest.mark.parametrize(
     "pages",
     [
