@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltworks.functions import front_matter
-from siltworks.operators import manifests, ranking, trees, variants
+from siltworks.operators import manifests, proposals, ranking, trees, variants
 from siltworks.plans.registry import query, table
 from siltworks.sources import paged
 
@@ -179,3 +179,52 @@ def paged_listing(spark, sf_dir):
         F.when(~((c == 1) & (p == 1)), p < last).alias("has_more"), (F.col("n") + (c == 7).cast("int")).alias("total"), (F.size("rows") * 40).alias("bytes"), "rows",
     )
     return paged.chain_outcomes(made, most_bytes=2800)
+
+
+@query("""WITH d AS (SELECT doc_id AS id, md5(text) AS h FROM documents), s AS (SELECT id, 'v' || CASE WHEN id % 5 = 0 THEN 2 ELSE 1 END AS version, h AS summary FROM d WHERE id % 13 <> 4),
+t AS (SELECT id, id % 40 AS created, h AS rendered, CASE WHEN id % 29 = 1 THEN 'n/same' || id // 100 ELSE 'n/' || id END AS path FROM d WHERE id % 17 <> 3),
+r AS (SELECT id, 'v1' AS version, h AS summary, CASE WHEN id % 50 = 0 THEN -1 ELSE id % 40 END AS created, 'o/' || id AS path, CASE WHEN id % 10 = 0 THEN 'older' ELSE h END AS mirror FROM d WHERE id % 2 = 0),
+c AS (SELECT path, id, CASE WHEN id % 22 = 0 THEN 'edited' ELSE mirror END AS content FROM r WHERE id % 26 <> 8 UNION ALL SELECT 'copy/' || id, id, 'x' FROM d WHERE id % 31 = 7 UNION ALL SELECT 'n/' || id, NULL, 'y' FROM d WHERE id % 37 = 5),
+p AS (SELECT id, 'p/' || id AS path, CASE WHEN id % 3 = 0 THEN h ELSE 'z' END AS rendered FROM d WHERE id % 7 = 1), v AS (SELECT id FROM d WHERE id % 41 = 9),
+a AS (SELECT id FROM s UNION SELECT id FROM r), f AS (SELECT id, count(*) > 1 AS many FROM c WHERE id IS NOT NULL GROUP BY id),
+j AS (SELECT a.id, s.id IS NOT NULL AS listed, s.version, s.summary, t.id IS NOT NULL AS detailed, t.created, t.rendered, r.id IS NOT NULL AS old, r.version AS ov, r.summary AS os, r.created AS oc, r.mirror, f.id IS NOT NULL AS present, coalesce(many, false) AS many,
+  v.id IS NOT NULL AS kept_back, coalesce(p.rendered = t.rendered, false) AS exact, CASE WHEN r.id IS NOT NULL THEN r.path WHEN coalesce(p.rendered = t.rendered, false) THEN p.path ELSE t.path END AS path
+  FROM a LEFT JOIN s ON s.id = a.id LEFT JOIN t ON t.id = a.id LEFT JOIN r ON r.id = a.id LEFT JOIN f ON f.id = a.id LEFT JOIN p ON p.id = a.id LEFT JOIN v ON v.id = a.id),
+k AS (SELECT j.*, (SELECT min(content) FROM c WHERE c.path = j.path) AS content, min(CASE WHEN NOT old AND detailed AND listed AND NOT present AND NOT kept_back THEN id END) OVER (PARTITION BY path) AS first_id FROM j),
+o AS (SELECT *, CASE WHEN many OR kept_back THEN 'identity_reserved' WHEN NOT listed THEN 'source_missing' WHEN old AND content IS DISTINCT FROM mirror THEN 'local_note_edited' WHEN old AND version = ov AND summary = os THEN '=unchanged' WHEN NOT old AND present THEN 'identity_reserved'
+  WHEN NOT detailed THEN '=detail_required' WHEN old AND created <> oc THEN 'source_created_changed' WHEN old AND rendered = content THEN '=state_only' WHEN old THEN '=updated' WHEN content IS NOT NULL OR first_id <> id THEN 'destination_collision' WHEN exact THEN '=preview_imported' ELSE '=created' END AS x FROM k)
+SELECT id, path, CASE WHEN x LIKE '=%' THEN x[2:] ELSE 'conflicted' END AS outcome, CASE WHEN x NOT LIKE '=%' THEN x END AS reason FROM o""")
+def record_proposals(spark, sf_dir):
+    """Documents as records of a source, half of them registered: what is proposed for each."""
+    i, text = F.col("id"), lambda *c: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in c))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.md5("text").alias("h"))
+    summaries = docs.where(i % 13 != 4).select("id", F.when(i % 5 == 0, "v2").otherwise("v1").alias("version"), F.col("h").alias("summary"))
+    details = docs.where(i % 17 != 3).select("id", (i % 40).alias("created"), F.col("h").alias("rendered"), F.when(i % 29 == 1, text("n/same", F.floor(i / 100))).otherwise(text("n/", i)).alias("path"))
+    registry = docs.where(i % 2 == 0).select("id", F.lit("v1").alias("version"), F.col("h").alias("summary"), F.when(i % 50 == 0, -1).otherwise(i % 40).alias("created"), text("o/", i).alias("path"), F.when(i % 10 == 0, "older").otherwise(F.col("h")).alias("mirror"))
+    there = registry.where(i % 26 != 8).select("path", "id", F.when(i % 22 == 0, "edited").otherwise(F.col("mirror")).alias("content"))
+    copies = docs.where(i % 31 == 7).select(text("copy/", i).alias("path"), "id", F.lit("x").alias("content"))
+    others = docs.where(i % 37 == 5).select(text("n/", i).alias("path"), F.lit(None).cast("long").alias("id"), F.lit("y").alias("content"))
+    previews = docs.where(i % 7 == 1).select("id", text("p/", i).alias("path"), F.when(i % 3 == 0, F.col("h")).otherwise("z").alias("rendered"))
+    return proposals.propose(summaries, details, registry, there.unionByName(copies).unionByName(others), previews, docs.where(i % 41 == 9).select("id"))
+
+
+@query("""WITH l AS (SELECT l_orderkey AS k, list(l_partkey ORDER BY l_linenumber, l_partkey) AS p FROM lineitem GROUP BY 1)
+SELECT k, CASE WHEN len(p) <= 2 THEN 'whole' WHEN k % 9 = 2 THEN 'missing' WHEN k % 9 = 4 THEN 'missing_last' WHEN k % 9 = 6 THEN 'prefix_changed' ELSE 'hydrated' END AS outcome,
+array_to_string(CASE WHEN len(p) <= 2 OR k % 9 NOT IN (2, 4, 6) THEN p WHEN k % 9 = 6 THEN [-1, p[2]] ELSE p[1:2] END, ',') AS items FROM l""")
+def hydrated_lists(spark, sf_dir):
+    """Parts of orders shown two at most, completed from pages of two, some of which are missing or were changed."""
+    k = F.col("k")
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"])
+    # an order has at most seven lines
+    orders = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(parts.alias("p")).withColumn("prop", F.lit("parts")).withColumn("n", F.size("p"))
+    shown = F.when((k % 9 == 6) & (F.col("n") > 2), F.array(F.lit(-1).cast("long"), F.get("p", F.lit(1)))).otherwise(F.slice("p", 1, 2))
+    records = orders.select("k", "prop", shown.alias("items"), (F.col("n") > 2).alias("has_more"))
+    last = F.floor((F.col("n") - 1) / 2).cast("int")
+    pages = orders.where(k % 9 != 2).select("k", "prop", "p", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("place")).where(~((k % 9 == 4) & (F.col("place") == F.col("last"))))
+    at = lambda v: F.concat(F.lit("c"), v.cast("string"))
+    made = pages.select(
+        "k", "prop", "place", F.when(F.col("place") > 0, at(F.col("place"))).alias("cursor"), F.when(F.col("place") < F.col("last"), at(F.col("place") + 1)).alias("next"), (F.col("place") < F.col("last")).alias("has_more"),
+        F.transform(F.slice("p", F.col("place") * 2 + 1, F.lit(2)), lambda x: F.struct(x.alias("id"))).alias("rows"),
+    )
+    done = proposals.hydrate(records, made, "k", "prop")
+    return done.select("k", "outcome", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
