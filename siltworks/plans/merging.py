@@ -88,3 +88,31 @@ def human_append(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(texts.alias("managed"))
     seen = F.transform("managed", lambda h, place: F.when((F.col("conv_id") % 5 == 0) & (place == 1), F.md5(F.concat(h, F.lit("x")))).otherwise(h))
     return rows.select("conv_id", F.size(ops.unmanaged_suffix(seen, F.slice("managed", 1, 2))).cast("long").alias("appended"))
+
+
+@query(f"""{THEME_SQL}, d AS (SELECT doc_id, source, doc_id // 100 AS period FROM documents), m AS (SELECT max(period) AS target FROM d), k AS (SELECT DISTINCT doc_id FROM labels),
+x AS (SELECT source, count(*) FILTER (WHERE period = target) AS exact, count(*) FILTER (WHERE period > target - 3) AS in_window, max(doc_id) AS latest, count(*) FILTER (WHERE period = target AND k.doc_id IS NOT NULL) AS covered,
+  count(*) FILTER (WHERE period > target - 3 AND k.doc_id IS NULL) AS candidates FROM d CROSS JOIN m LEFT JOIN k USING (doc_id) GROUP BY source),
+a AS (SELECT source, theme, period = target AS exact, sum(weight) AS weight, count(*) AS support FROM h JOIN d USING (doc_id, source) CROSS JOIN m WHERE period > target - 3 GROUP BY ALL),
+b AS (SELECT source, theme, 1 AS tier, sum(weight) FILTER (WHERE exact) AS weight FROM a GROUP BY source, theme HAVING bool_or(exact) UNION ALL SELECT source, theme, 2, sum(weight) FROM a GROUP BY source, theme),
+c AS (SELECT source, theme, tier, row_number() OVER (PARTITION BY source, tier ORDER BY weight DESC, theme) AS n, min(tier) OVER (PARTITION BY source) AS best FROM b),
+z AS (SELECT source, string_agg(theme, ',' ORDER BY n) AS themes FROM c WHERE tier = best AND n <= CASE tier WHEN 1 THEN 3 ELSE 2 END GROUP BY source)
+SELECT x.source, target AS period, exact, in_window, latest, candidates, coalesce(themes, '') AS themes, CASE WHEN exact = 0 THEN 'window_only' WHEN covered = exact THEN 'complete' WHEN covered > 0 THEN 'partial' ELSE 'open' END AS status FROM x CROSS JOIN m LEFT JOIN z ON z.source = x.source""")
+def closeout_report(spark, sf_dir):
+    """The closing report of a period: each source's entries of the period and its window, open candidates, themes (of the period, else of the window), status."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.floor(F.col("doc_id") / 100).alias("period"))
+    target = docs.agg(F.max("period")).first()[0] or 0
+    marks = table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("marked", F.lit(True))
+    now, near = F.col("period") == target, F.col("period") > target - 3
+    facts = docs.join(marks, "doc_id", "left").groupBy("source").agg(
+        F.count_if(now).alias("exact"), F.count_if(near).alias("in_window"), F.max("doc_id").alias("latest"), F.count_if(now & F.col("marked")).alias("covered"), F.count_if(near & F.col("marked").isNull()).alias("candidates"),
+    )
+    hits = theme_hits(spark, sf_dir).withColumn("period", F.floor(F.col("doc_id") / 100)).where(near)
+    weights = hits.groupBy("source", "theme").agg(F.sum(F.when(now, F.col("weight"))).alias("exact"), F.sum("weight").alias("window"))
+    # a handful of themes
+    ranked = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct((-F.col(c)).alias("order"), "theme")))), lambda x: x["theme"])
+    chosen = weights.groupBy("source").agg(ranked("exact").alias("exact_themes"), ranked("window").alias("window_themes"))
+    themes = F.when(F.size("exact_themes") > 0, F.slice("exact_themes", 1, 3)).otherwise(F.slice("window_themes", 1, 2))
+    status = F.when(F.col("exact") == 0, "window_only").when(F.col("covered") == F.col("exact"), "complete").when(F.col("covered") > 0, "partial").otherwise("open")
+    joined = facts.join(chosen, "source", "left")
+    return joined.select("source", F.lit(target).cast("long").alias("period"), "exact", "in_window", "latest", "candidates", F.coalesce(F.array_join(themes, ","), F.lit("")).alias("themes"), status.alias("status"))
