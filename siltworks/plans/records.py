@@ -90,12 +90,14 @@ def evidence_window(spark, sf_dir):
     return rows.select(found.alias("e")).where("e is not null").groupBy("e.field").agg(F.count("*").alias("n"), F.min("e.day").cast("string").alias("first_day"))
 
 
-@query(r"""SELECT doc_id, CAST(CASE doc_id % 4 WHEN 0 THEN '2024-02-29' WHEN 1 THEN NULL WHEN 2 THEN '2023-11-05' END AS VARCHAR) AS day FROM documents""")
+@query(r"""WITH t AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN event_type ELSE event_type || ' ' || user_id || ' on ' || strftime(ts, '%Y-%m-') || lpad((event_id % 36)::VARCHAR, 2, '0') || ', seen ' || strftime(ts, '%Y-%m-%dT%H:%M') END AS t FROM events)
+SELECT event_id, try_cast(nullif(regexp_extract(t, '20\d{2}-\d{2}-\d{2}'), '') AS DATE)::VARCHAR AS day FROM t""")
 def first_date_found(spark, sf_dir):
-    """The first real date in a text; one that no calendar has gives none."""
-    k = F.col("doc_id") % 4
-    stamp = F.when(k == 0, "seen 2024-02-29, then 2023-01-01").when(k == 1, "2024-02-30 is none").when(k == 2, "v2 of 2023-11-05T10:00").otherwise("no date 1999-01-01")
-    return table(spark, sf_dir, "documents").select("doc_id", dates.first_date(stamp).cast("string").alias("day"))
+    """The first date in texts made from events; one that no calendar has gives none."""
+    e = F.col("event_id")
+    day = F.concat(F.date_format("ts", "yyyy-MM-"), F.lpad((e % 36).cast("string"), 2, "0"))
+    stamp = F.when(e % 7 == 0, F.col("event_type")).otherwise(F.concat_ws("", "event_type", F.lit(" "), F.col("user_id").cast("string"), F.lit(" on "), day, F.lit(", seen "), F.date_format("ts", "yyyy-MM-dd'T'HH:mm")))
+    return table(spark, sf_dir, "events").select("event_id", dates.first_date(stamp).cast("string").alias("day"))
 
 
 @query("""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END AS lang, source, CASE WHEN doc_id % 2 = 0 THEN NULL ELSE 'x' END AS extra FROM documents)
@@ -123,13 +125,14 @@ def asset_and_trigger_checks(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", records.needs_assets(kinds, note_type, F.col("text")).alias("needs_assets"), F.when(trusted, "trusted").otherwise("untrusted").alias("trigger"))
 
 
-@query("""WITH m AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'v' END AS a2, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE 'w' END AS b2, doc_id % 5 <> 0 AS c1 FROM documents)
-SELECT doc_id, array_to_string(list_filter([CASE WHEN a2 = '' THEN 'a' END, CASE WHEN b2 IS NULL THEN 'b' END, CASE WHEN c1 THEN 'c' END], lambda x: x IS NOT NULL), ',') AS missing FROM m WHERE a2 = '' OR b2 IS NULL OR c1""")
+@query("""WITH m AS (SELECT doc_id, lang, source, CASE WHEN n_chars % 5 <> 0 THEN n_chars::VARCHAR ELSE '' END AS size, CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END AS lang2, CASE WHEN n_chars % 4 <> 0 THEN source END AS source2 FROM documents),
+l AS (SELECT doc_id, list_filter([CASE WHEN coalesce(lang, '') <> '' AND coalesce(lang2, '') = '' THEN 'lang' END, CASE WHEN coalesce(source, '') <> '' AND coalesce(source2, '') = '' THEN 'source' END, CASE WHEN coalesce(size, '') <> '' THEN 'size' END], lambda x: x IS NOT NULL) AS l FROM m)
+SELECT doc_id, array_to_string(list_sort(l), ',') AS missing FROM l WHERE len(l) > 0""")
 def lost_metadata(spark, sf_dir):
-    """Fields that had a value and lost it: c is gone, empty before values may stay empty."""
-    d = F.col("doc_id")
-    before = F.create_map(F.lit("a"), F.lit("v"), F.lit("b"), F.lit("w"), F.lit("c"), F.when(d % 5 != 0, "x").otherwise(""))
-    after = F.create_map(F.lit("a"), F.when(d % 3 == 0, "").otherwise("v"), F.lit("b"), F.when(d % 4 != 0, "w"))
+    """Fields of documents that had a value and lost it: size is gone, empty before values may stay empty."""
+    d, n = F.col("doc_id"), F.col("n_chars")
+    before = F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source"), F.lit("size"), F.when(n % 5 != 0, n.cast("string")).otherwise(""))
+    after = F.create_map(F.lit("lang"), F.when(d % 3 == 0, "").otherwise(F.col("lang")), F.lit("source"), F.when(n % 4 != 0, F.col("source")))
     lost = records.missing_fields(before, after)
     return table(spark, sf_dir, "documents").select("doc_id", lost.alias("lost")).where("size(lost) > 0").select("doc_id", F.array_join("lost", ",").alias("missing"))
 

@@ -287,9 +287,9 @@ def region_slots(spark, sf_dir):
 
 
 @query("""SELECT o_orderkey, CASE WHEN h > 0 THEN h || '小时' ELSE '' END || CASE WHEN m > 0 THEN m || '分' ELSE '' END || CASE WHEN s > 0 OR h = 0 AND m = 0 THEN s || '秒' ELSE '' END AS spoken
-FROM (SELECT o_orderkey, t // 3600 AS h, t % 3600 // 60 AS m, t % 60 AS s FROM (SELECT o_orderkey, CAST(round_even(o_orderkey / 2.0, 0) AS BIGINT) AS t FROM orders))""")
+FROM (SELECT o_orderkey, t // 3600 AS h, t % 3600 // 60 AS m, t % 60 AS s FROM (SELECT o_orderkey, CAST(round_even(floor(o_totalprice) / 2.0, 0) AS BIGINT) AS t FROM orders))""")
 def spoken_duration(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", numbers.spoken_seconds(F.col("o_orderkey") / 2).alias("spoken"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", numbers.spoken_seconds(F.floor("o_totalprice") / 2).alias("spoken"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, greatest(0, least(100, CASE WHEN l_discount * 20 <= 1 THEN l_discount * 2000 ELSE l_discount * 20 END)) AS percent, abs(l_partkey - l_suppkey) * 10 < 1000 AS near FROM lineitem""")
@@ -315,19 +315,26 @@ def retry_delays(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", delay.alias("delay"))
 
 
-@query(r"""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'accepted' WHEN 1 THEN 'malformed' WHEN 2 THEN 'duplicate_key' ELSE 'too_large' END AS outcome FROM documents""")
+@query(r"""WITH r AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN props WHEN 1 THEN left(props, -1) WHEN 2 THEN '{"k":[],' || props[2:] WHEN 3 THEN '{"a":"' || repeat(event_type, event_id % 60) || '"}' ELSE '[' || props || ',{"b":' || props || '}]' END AS raw FROM events)
+SELECT event_id, CASE WHEN strlen(raw) > 200 THEN 'too_large' WHEN NOT json_valid(raw) THEN 'malformed' WHEN len(list_distinct(k)) < len(k) THEN 'duplicate_key' ELSE 'accepted' END AS outcome FROM (SELECT *, regexp_extract_all(CASE WHEN raw LIKE '{%' THEN raw END, '"([a-z]+)":', 1) AS k FROM r)""")
 def strict_json(spark, sf_dir):
-    """JSON that a capture accepts: well formed, no key twice, within its size."""
-    k = F.col("doc_id") % 4
-    raw = F.when(k == 0, '{"a":{"b":[1,2]},"c":null}').when(k == 1, '{"a":[1,}').when(k == 2, '{"a":1,"a":2}').otherwise(F.concat(F.lit('{"a":"'), F.repeat(F.lit("x"), F.lit(300)), F.lit('"}')))
-    return table(spark, sf_dir, "documents").select("doc_id", text.json_outcome(raw, 200).alias("outcome"))
+    """Properties of events as JSON that a capture accepts: well formed, no key twice, within its size."""
+    e, props = F.col("event_id"), F.col("props")
+    raw = (
+        F.when(e % 5 == 0, props).when(e % 5 == 1, F.left(props, F.length(props) - 1)).when(e % 5 == 2, F.concat(F.lit('{"k":[],'), F.substr(props, F.lit(2), F.length(props))))
+        .when(e % 5 == 3, F.concat(F.lit('{"a":"'), F.expr("repeat(event_type, cast(event_id % 60 AS int))"), F.lit('"}'))).otherwise(F.concat(F.lit("["), props, F.lit(',{"b":'), props, F.lit("}]")))
+    )
+    return table(spark, sf_dir, "events").select("event_id", text.json_outcome(raw, 200).alias("outcome"))
+
+
+THEME_WORDS = ("with", "from", "ción", "über", "license")
+THEME_WORDS_SQL = ", ".join(f"CASE WHEN regexp_matches(lower(text), '(^|[^a-z0-9]){w}($|[^a-z0-9])') THEN '{w}' END" if w.isascii() else f"CASE WHEN contains(lower(text), '{w}') THEN '{w}' END" for w in THEME_WORDS)
 
 
-@query(r"""SELECT doc_id, array_to_string(list_filter([CASE WHEN doc_id % 2 = 0 THEN 'art' END, CASE WHEN doc_id % 3 = 0 THEN '学习' END], lambda x: x IS NOT NULL), ',') AS themes FROM documents""")
+@query(f"""SELECT doc_id, array_to_string(list_filter([{THEME_WORDS_SQL}], lambda x: x IS NOT NULL), ',') AS themes FROM documents""")
 def script_aware_themes(spark, sf_dir):
-    """Theme words: ASCII ones only between other characters than letters and digits, those of other scripts anywhere."""
-    made = F.concat(F.when(F.col("doc_id") % 2 == 0, "Fine ART, yes").otherwise("cart smart2 art9"), F.when(F.col("doc_id") % 3 == 0, "今天学习了").otherwise("今天休息"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.keywords_in(made, ("art", "学习")), ",").alias("themes"))
+    """Theme words of whole texts: ASCII ones only between other characters than letters and digits, others anywhere."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.keywords_in(F.col("text"), THEME_WORDS), ",").alias("themes"))
 
 
 RULES = [("/de/", "foreign", "translate", "medium"), ("/fr/", "foreign", "translate", "medium"), ("/en/", "local", "keep", "low")]

@@ -117,12 +117,12 @@ def test_strict_json_heads(spark):
 
 
 def test_owner_heads(spark):
-    own = "source_system: notion\nsource_type: 'wechat_read'\n"
+    own = "source_system: shelf\nsource_type: 'reading'\n"
     texts = [
-        f"\ufeff---\n{own}# note: x\n  page_id: no\npage_id: \"p1\"\nother: 1\n--- \n", f"---\n{own}page_id: a # why\npage_id: a\n---\n", f'---\n{own}title: "open\n---\n', "---\nsource_system: flomo\n---\n", "---\nx", f"---\n{own}source_id: 'it''s'\n---\n",
+        f"\ufeff---\n{own}# note: x\n  page_id: no\npage_id: \"p1\"\nother: 1\n--- \n", f"---\n{own}page_id: a # why\npage_id: a\n---\n", f'---\n{own}title: "open\n---\n', "---\nsource_system: other\n---\n", "---\nx", f"---\n{own}source_id: 'it''s'\n---\n",
     ]
-    base = {"source_system": "notion", "source_type": "wechat_read"}
-    assert outcomes(spark, "owner", texts, "notion", "wechat_read") == [("ok", base | {"page_id": "p1"}), ("duplicate", {}), ("unsupported", {}), ("foreign", {}), ("none", {}), ("ok", base | {"source_id": "it's"})]
+    base = {"source_system": "shelf", "source_type": "reading"}
+    assert outcomes(spark, "owner", texts, "shelf", "reading") == [("ok", base | {"page_id": "p1"}), ("duplicate", {}), ("unsupported", {}), ("foreign", {}), ("none", {}), ("ok", base | {"source_id": "it's"})]
 
 
 def test_continued_heads_and_migrations(spark):
