@@ -1,17 +1,20 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-Candidates are assignments to names with a part such as ``token``, keys with
-known prefixes, whole private key blocks and long strings. A random forest
-over length, character transitions, dictionary coverage, path and neighbouring
-words, fitted on labelled findings, tells secrets from hashes, numbers, paths and
-placeholders. The forest is Spark's own; its nodes become constant arrays that SQL
+Candidates are assignments to names with a part such as ``token``, values that a
+sentence names ("the password is ..."), passwords in URLs, keys with known
+prefixes, whole private key blocks and long strings. A random forest over length,
+character transitions, dictionary coverage, path and neighbouring words, fitted on
+labelled findings, tells secrets from hashes, numbers, paths, public keys and
+placeholders. The dictionary is counted over all documents. The forest is Spark's own; its nodes become constant arrays that SQL
 functions walk inside each row, so a text is searched, judged and cut in one pass
 without a join or a shuffle. DataFrame and SQL functions only.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,11 +26,13 @@ from pyspark.sql import functions as F
 #: Names that a secret is assigned to, words beside secrets, words beside other strings (fixed values).
 NAMES = "password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth[_-]?key|credential"
 NEAR_SECRET = "password|passwd|passphrase|secret|token|key|bearer|authorization|credential|auth|login"
-NEAR_OTHER = "commit|sha|sha1|sha256|md5|hash|checksum|digest|uuid|guid|isbn|issn|order|invoice|version|build|phone|tel|card|iban|account|revision|etag|id|image|photo|file|path|see|docs"
-#: Words that readable names are made of (fixed values).
+NEAR_OTHER = "commit|sha|sha1|sha256|md5|hash|checksum|digest|uuid|guid|isbn|issn|order|invoice|version|build|phone|tel|card|iban|account|revision|etag|id|image|photo|file|path|see|docs|integrity|base64|ssh|rsa|ed25519|wallet|address|bitcoin|btc|coin|public|fingerprint|data"
+#: Words of placeholders, which also count where they are run together (fixed values).
 WORDS = "example|sample|placeholder|changeme|change|your|here|dummy|test|foo|bar|the|and|for|with|name|user|page|index|image|photo|file|docs|data|http|html|www|com|org|net|token|secret|password|key|value|none|null|true|false|xxx+"
 #: Prefixes of keys of known kinds (fixed values).
-PREFIX = r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]*)?"
+PREFIX = r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}|AIza[0-9A-Za-z_-]{35}|github_pat_[A-Za-z0-9_]{22,}|npm_[A-Za-z0-9]{36}|pypi-[A-Za-z0-9_-]{16,}|hf_[A-Za-z0-9]{30,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|SG\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}|https://hooks\.slack\.com/services/[A-Za-z0-9/]{20,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]*)?"
+#: How public values start that look like keys: digests with their kind, SSH public keys, PNG, GIF and JPEG images, coin addresses (fixed values).
+PUBLIC = r"sha(?:1|256|384|512)-|AAAA[BCE][123]|iVBORw0KGgo|R0lGOD|/9j/|bc1[a-z0-9]{20,}$|0x[0-9a-fA-F]{40}$|[13][1-9A-HJ-NP-Za-km-z]{25,33}$"
 HEADER = r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
 #: A private key up to its end line, or without one its header and the lines of base64 that follow.
 PEM = (
@@ -41,21 +46,54 @@ VALUE = (
     r"(?:(?<=\")(?:[^\"\\\r\n]|\\.)++(?=\")|(?<=')(?:[^'\\\r\n]|\\.)++(?=')"
     r"|[^\s\"']+?(?=[,;]{0,3}(?:[\s\"']|</?[A-Za-z][A-Za-z0-9]{0,15}[ ]?/?>|\z)|[,;][A-Za-z_][A-Za-z0-9_.-]{0,63}[ \t]*+[:=]))"
 )
-CANDIDATE = rf"{PEM}|\b(?:{PREFIX})|{ASSIGNED}{VALUE}|(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{{16,}}+={{0,2}}"
+#: A word for a secret in a sentence and what leads to its value, which has six characters or more, not letters alone.
+SAID = (
+    r"(?<![A-Za-z0-9+/_.-])(?i:password|passwd|passphrase|passcode|pwd|secret|token|credential|api key|access key|secret key|private key|bearer|basic)"
+    r"(?:[ \t]++(?i:is|was|are|now|set to|changed to|reset to|equals)){0,2}:?[ \t]++[\"'`(]?(?=[^\s\"'`]{0,200}?[0-9!#$%&*+=?@^~])(?=[^\s\"'`]{6})"
+)
+#: The part of a URL before its password, and the password up to the host.
+IN_URL, PASSWORD = r"(?<![A-Za-z0-9+/_.-])[A-Za-z][A-Za-z0-9+.-]*+://[^\s/:@\"'<>]*+:", r"[^\s/@\"'<>]++(?=@)"
+LEAD = rf"(?:{ASSIGNED}|{IN_URL}|{SAID})"
+CANDIDATE = rf"{PEM}|\b(?:{PREFIX})|{ASSIGNED}{VALUE}|{IN_URL}{PASSWORD}|{SAID}[^\s\"'`]+?(?=[.,;:!?)]*+(?:[\s\"'`]|\z))|(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{{16,}}+={{0,2}}"
 #: Characters of text before and after a candidate that its neighbouring words are taken from.
 BEFORE, AFTER = 40, 24
+#: A dictionary word stands in this share of the documents, and in this many.
+SHARE, LEAST = 0.01, 20
 #: Labelled findings of each kind, trees of the forest, their depth.
 PER_KIND, TREES, DEPTH, SEED = 60, 24, 6, 7
 
 #: Parts of the long words among the labelled findings (fixed values).
 SYLLABLES = ("ung", "keit", "ver", "schaft", "er", "tion", "ment", "con", "ich", "able", "the", "aire", "ando", "dad", "sch", "be")
 
-FEATURES = ["length", "transitions", "digits", "uppers", "hex", "coverage", "path", "assigned", "prefixed", "near_secret", "near_other", "distinct", "symbols", "spaces", "lower"]
+FEATURES = ["length", "transitions", "digits", "uppers", "hex", "coverage", "path", "assigned", "prefixed", "near_secret", "near_other", "distinct", "symbols", "spaces", "lower", "words", "public"]
+
+
+def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
+    """The words of three letters or more that SHARE of the documents have, and LEAST documents at least, in order.
+
+    Counted over whole texts of all documents. There are at most 1 / SHARE times as
+    many as a document has different words on average, so the driver can hold them.
+    Letters beside digits or signs of keys and names are not words.
+    """
+    whole = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(?<![\p{L}\p{N}_/+=.@-])\p{L}{3,}+(?![\p{N}_/+=@-])"), F.lit(0))
+    words = docs.select(F.explode(F.array_distinct(whole)).alias("word")).groupBy("word").count()
+    least = max(LEAST, math.ceil(SHARE * docs.count()))
+    return sorted(r.word for r in words.where(F.col("count") >= least).select("word").collect())
+
+
+def known_letters(values: str, words: Sequence[str]) -> Column:
+    """How many letters of each of the array column ``values`` are in words of the dictionary, camel case taken apart."""
+    if not words:
+        return F.expr(f"transform({values}, m -> 0)")
+    # written as SQL, which the parser reads at once; a literal made for each word would take seconds
+    listed = ",".join(f"'{w}'" for w in words)
+    part = r"[\\p{Lu}]?[\\p{Ll}]{2,}|[\\p{Lu}]{3,}"
+    return F.expr(f"transform({values}, m -> aggregate(filter(regexp_extract_all(m, '{part}', 0), p -> lower(p) in ({listed})), 0, (n, p) -> n + length(p)))")
 
 
-def describe(before: Column, match: Column, after: Column) -> Column:
-    """A candidate's value and features as a struct (value, assigned, prefixed, x)."""
-    name = F.regexp_extract(match, f"^{ASSIGNED}", 0)
+def describe(before: Column, match: Column, after: Column, known: Column) -> Column:
+    """A candidate's value and features as a struct (value, assigned, prefixed, x); ``known`` counts its letters in dictionary words."""
+    name = F.regexp_extract(match, f"^{LEAD}", 0)
     v = F.substr(match, F.length(name) + 1)
 
     def of_value(v: Column, assigned: Column) -> Column:
@@ -79,6 +117,8 @@ def describe(before: Column, match: Column, after: Column) -> Column:
             "symbols": share("[^A-Za-z0-9\\s]"),
             "spaces": share(r"\s"),
             "lower": v.rlike(r"^\p{L}?\p{Ll}*[.,!?:]*$"),
+            "words": F.least(known / n, F.lit(1.0)),
+            "public": v.rlike(f"^(?:{PUBLIC})"),
         }
         return F.struct(v.alias("value"), assigned.alias("assigned"), prefixed.alias("prefixed"), F.array(*(features[f].cast("double") for f in FEATURES)).alias("x"))
 
@@ -95,6 +135,7 @@ class Forest:
     feature: list[int]
     threshold: list[float]
     probability: list[float]
+    words: Sequence[str] = ()
 
     def score(self, x: Column) -> Column:
         """The mean probability of the leaves that an array of features reaches."""
@@ -109,8 +150,12 @@ class Forest:
         return F.aggregate(F.sequence(F.lit(0), F.lit(self.trees - 1)), F.lit(0.0), lambda total, t: total + F.get(probability, t * size + leaf(t)) / self.trees)
 
 
-def labelled_findings(spark: SparkSession) -> DataFrame:
-    """Labelled findings (before, match, after, label), made by rule: real shapes with random values."""
+def labelled_findings(spark: SparkSession, words: Sequence[str] = ()) -> DataFrame:
+    """Labelled findings (before, match, after, label), made by rule: real shapes with random values.
+
+    A bounded sample: PER_KIND of each kind. ``words`` are the dictionary that readable names are made from.
+    """
+    shown = list(words[:: max(len(words) // 64, 1)]) or ["example", "sample", "index", "image", "user", "page", "value", "your"]
     h = lambda salt: F.sha2(F.concat_ws("-", F.lit(salt), F.col("id")), 256)
     letters = lambda salt: F.regexp_replace(F.base64(F.unhex(h(salt))), "[+/=]", "x")
     upper = lambda salt: F.upper(F.translate(h(salt), "0123456789abcdef", "QW2RT4YUP6SDFGHJ"))
@@ -120,7 +165,7 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
     small = lambda salt: F.translate(h(salt), "0123456789", "ghijklmnop")
     pick = lambda *words: F.element_at(F.array(*map(F.lit, words)), (F.col("id") % len(words) + 1).cast("int"))
     long_word = lambda salt: F.concat_ws("", *(F.element_at(F.array(*map(F.lit, SYLLABLES)), (F.conv(F.substr(h(salt), F.lit(k), F.lit(4)), 16, 10).cast("int") % len(SYLLABLES) + 1)) for k in range(1, 30, 5)))
-    kinds: list[tuple[str, Column, str, int]] = [
+    kinds: list[tuple[Column | str, Column, Column | str, int]] = [
         ("and in the ", text('token = "', cut(h("a"), 40)), '" of it', 1),
         ("set the ", text("password=", cut(h("b"), 18)), " then go", 1),
         ("there was ", text("password: ", cut(letters("c"), 12)), " in it", 1),
@@ -140,6 +185,24 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
         ("his key is ", F.translate(cut(letters("9"), 40), "0123456789", "gHiJkLmNoP"), " there", 1),
         ("set ", text("password=", cut(small("10"), 2), pick(",", ";", "<", "!", "$"), cut(small("11"), 9)), " then", 1),
         ("set ", text('password="', cut(small("12"), 4), " ", cut(h("12"), 6), pick("!", ",", "#", ";"), " ", cut(small("13"), 4)), '"', 1),
+        (pick("{", "db: {", "settings ", ""), text(pick("'password': '", "'db_password': '", "\"secret\": \"", "passphrase: '"), cut(small("46"), 2), " ", cut(h("46"), 5), pick(", ", "; ", " & ", ". "), cut(small("47"), 4), pick("<", "!", ";", "?"), cut(h("48"), 4)), pick("' y", "'}", "\",", "'\n"), 1),
+        ("the ", text(pick("npm_", "glpat-", "ghs_", "sk-", "pypi-"), cut(small("49"), 36)), " of", 1),
+        ("", text(pick("postgres://admin:", "https://user:", "mysql://root:", "amqp://svc:"), pick("Hunter", "s3cr", "Dragon", "kx"), cut(letters("30"), 5)), "@db.host", 1),
+        ("my ", text(pick("password is ", "password: ", "passcode is now ", "token was ", "secret key is: "), pick("hunter", "dragon", "blue", "k"), cut(h("31"), 3), pick("andmore", "x", "sun", "!")), " so", 1),
+        (pick("my ", "his ", "the ", ""), text(pick("password is ", "passphrase is ", "password ", "pwd: "), pick("tiger", "summer", "coffee", "lucky", "silver"), cut(digits("50"), 1), pick("forever", "house", "andyou", "blue", "forme"), pick("", "!", "7")), pick(".", " so", ", ok", "\n"), 1),
+        ("login with ", text(pick("password ", "passphrase ", "token "), cut(letters("32"), 8), pick("7", "!", "3", "#")), " there", 1),
+        ("Authorization: ", text(pick("Bearer ", "Basic ", "token "), cut(letters("33"), 30), "="), "\n", 1),
+        ("use ", text(pick("npm_", "github_pat_", "hf_", "sk_live_"), cut(letters("34"), 36)), " for that", 1),
+        ("post to ", text("https://hooks.slack.com/services/T", cut(upper("35"), 8), "/B", cut(upper("36"), 8), "/", cut(letters("37"), 24)), " now", 1),
+        ("the ", text(pick("token ", "password ", "secret "), pick("3-gram", "reset-link", "section-2", "length=8", "count=256", "50% of", "(8+ characters)", "A/B-test")), " of", 0),
+        ("a ", text(pick("password is ", "token is ", "secret was "), pick("required!", "missing?", "8-16", "optional=true", "50+ long", "case-sensitive*")), " in", 0),
+        ("", text(pick("http://localhost:", "https://user:", "redis://app:"), pick("password", "${PASS}", "<password>", "********")), "@host", 0),
+        (pick("integrity ", "resolved, ", "has "), text("sha512-", letters("38"), letters("39"), "=="), " in", 0),
+        ("ssh-rsa ", text("AAAAB3NzaC1yc2EAAAADAQABAAABAQ", letters("40"), letters("41")), " me@host", 0),
+        (pick("data:image/png;base64,", "image: ", "src="), text(pick("iVBORw0KGgo", "R0lGOD", "/9j/"), letters("42"), letters("43")), " alt", 0),
+        (pick("send to ", "wallet ", "coin address "), text(pick("bc1q", "0x", "1"), cut(h("44"), 40)), " now", 0),
+        ("in ", F.concat_ws("_", pick(*shown), pick(*shown[3:], *shown[:3]), pick(*shown[5:], *shown[:5]), cut(digits("45"), 2)), " is", 0),
+        ("at ", F.concat(pick(*shown), F.initcap(pick(*shown[2:], *shown[:2])), F.initcap(pick(*shown[7:], *shown[:7])), F.lit("Factory")), "(", 0),
         ("has ", long_word("14"), " in it", 0),
         ("", F.initcap(long_word("15")), ". the", 0),
         ("the ", F.upper(long_word("23")), " of", 0),
@@ -164,20 +227,24 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
         ("in the of ", cut(h("z"), 40), " the and", 0),
         ("mail ", text("user.name.", cut(digits("1"), 3), "-mail.example.com"), " sent", 0),
     ]
-    ids = spark.range(PER_KIND)
-    rows = [ids.select(F.lit(b).alias("before"), m.alias("match"), F.lit(a).alias("after"), F.lit(float(y)).alias("label")) for b, m, a, y in kinds]
-    return reduce(DataFrame.unionByName, rows)
-
-
-def fit(findings: DataFrame) -> Forest:
-    """A random forest over labelled findings (before, match, after, label)."""
-    # coalesced first, else the features are planned again for each kind
-    x = describe(F.col("before"), F.col("match"), F.col("after"))["x"]
-    rows = findings.coalesce(1).select("label", x.alias("x")).select("label", *(F.get("x", i).alias(f) for i, f in enumerate(FEATURES)))
+    as_column = lambda x: F.lit(x) if isinstance(x, str) else x
+    kind = lambda b, m, a, y: F.struct(as_column(b).alias("before"), m.alias("match"), as_column(a).alias("after"), F.lit(float(y)).alias("label"))
+    # a few kinds at a time: one array of all of them is more code than the JVM compiles
+    ids = spark.range(0, PER_KIND, 1, 1)
+    return reduce(DataFrame.unionByName, (ids.select(F.inline(F.array(*(kind(*k) for k in kinds[i : i + 6])))) for i in range(0, len(kinds), 6)))
+
+
+def fit(findings: DataFrame, words: Sequence[str] = ()) -> Forest:
+    """A random forest over labelled findings (before, match, after, label), with the dictionary to be used."""
+    one = findings.coalesce(1).withColumn("matches", F.array("match")).withColumn("known", F.get(known_letters("matches", words), F.lit(0)))
+    x = describe(F.col("before"), F.col("match"), F.col("after"), F.col("known"))["x"]
+    rows = one.select("label", x.alias("x")).select("label", *(F.get("x", i).alias(f) for i, f in enumerate(FEATURES)))
+    rows = rows.persist()  # read by each pass of the fit
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
     model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features").fit(vectors.select("features", "label"))
+    rows.unpersist()
     size = (2 << DEPTH) - 1
-    out = Forest(TREES, DEPTH, [0] * TREES * size, [0.0] * TREES * size, [0.0] * TREES * size)
+    out = Forest(TREES, DEPTH, [0] * TREES * size, [0.0] * TREES * size, [0.0] * TREES * size, words)
 
     def fill(node, base: int, n: int) -> None:
         """Node ``n`` and all below it; a leaf above the last level passes its probability down."""
@@ -194,15 +261,22 @@ def fit(findings: DataFrame) -> Forest:
     return out
 
 
+def fitted(docs: DataFrame, text_col: str = "text") -> Forest:
+    """A forest over labelled findings with the dictionary of ``docs``."""
+    words = dictionary(docs, text_col)
+    return fit(labelled_findings(docs.sparkSession, words), words)
+
+
 def searched(docs: DataFrame, text_col: str, forest: Forest) -> DataFrame:
     """``docs`` with columns __between (what stands between candidates) and __found (match, value, assigned, prefixed, probability); both null without a candidate."""
     cut = docs.withColumn("__matches", F.regexp_extract_all(F.col(text_col), F.lit(CANDIDATE), F.lit(0)))
     some = F.size("__matches") > 0
+    cut = cut.withColumn("__known", known_letters("__matches", forest.words))
     cut = cut.withColumn("__between", F.when(some, F.split(F.col(text_col), CANDIDATE, -1)))
     before = lambda i: F.right(F.get("__between", i), F.lit(BEFORE))
     after = lambda i: F.left(F.get("__between", i + 1), F.lit(AFTER))
-    described = F.transform("__matches", lambda m, i: F.struct(m.alias("match"), describe(before(i), m, after(i)).alias("d")))
-    cut = cut.withColumn("__found", F.when(some, described)).drop("__matches")
+    described = F.transform("__matches", lambda m, i: F.struct(m.alias("match"), describe(before(i), m, after(i), F.get("__known", i)).alias("d")))
+    cut = cut.withColumn("__found", F.when(some, described)).drop("__matches", "__known")
     scored = lambda c: F.struct(c["match"].alias("match"), c["d"]["value"].alias("value"), c["d"]["assigned"].alias("assigned"), c["d"]["prefixed"].alias("prefixed"), forest.score(c["d"]["x"]).alias("probability"))
     return cut.withColumn("__found", F.transform("__found", scored))
 
@@ -227,7 +301,7 @@ def findings(docs: DataFrame, model: Forest | None = None, id_col: str = "doc_id
     findings; repeated rows have their findings each; a null id keeps its
     findings; other columns are not read. ``with_value`` adds the value itself.
     """
-    model = model or fit(labelled_findings(docs.sparkSession))
+    model = model or fitted(docs, text_col)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = searched(source, "text", model)
     lengths = F.transform("__found", lambda c, i: (F.length(F.get("__between", i)) + F.length(c["match"])).cast("long"))
@@ -243,7 +317,7 @@ def findings(docs: DataFrame, model: Forest | None = None, id_col: str = "doc_id
     return each.select(*out, *([F.col("c.value").alias("value")] if with_value else []))
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text", model: Forest | None = None) -> DataFrame:
     """``docs`` with the secrets of its texts replaced and n_chars counted anew.
 
     Secrets are cut where they stand, in the row they stand in, so rows without an
@@ -251,9 +325,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") -> D
     of another word stays. Rows keep all their columns; null texts and those
     without a secret stay as they are.
     """
-    forest = fit(labelled_findings(docs.sparkSession))
+    forest = model or fitted(docs, text_col)
     # columns of the same names stand aside meanwhile
-    aside = {c: f"{c}_{uuid.uuid4().hex}" for c in ("__found", "__between") if c in docs.columns}
+    aside = {c: f"{c}_{uuid.uuid4().hex}" for c in ("__found", "__between", "__matches", "__known") if c in docs.columns}
     whole = searched(docs.withColumnsRenamed(aside), text_col, forest)
     name = lambda c: F.left(c["match"], F.length(c["match"]) - F.length(c["value"]))
     put = F.transform("__found", lambda c, i: F.concat(F.get("__between", i), F.when(c["probability"] > 0.5, F.concat(name(c), F.lit(mark))).otherwise(c["match"])))

@@ -500,16 +500,21 @@ SECRET_CASES = [
 ]
 
 
-def test_secrets(spark):
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secrets.fit(secrets.labelled_findings(spark))
+
+
+def test_secrets(spark, forest):
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(SECRET_CASES)], DOCS).withColumn("n_chars", F.length("text").cast("long")).withColumn("value", F.lit("clash"))
-    found = secrets.findings(docs, with_value=True).collect()
+    found = secrets.findings(docs, forest, with_value=True).collect()
     for i, (text, want) in enumerate(SECRET_CASES):
         mine = sorted((r for r in found if r.doc_id == i), key=lambda r: r.start)
         assert [r.value for r in mine if r.is_secret] == want, text
-    clean = {r.doc_id: r for r in secrets.redact(docs).collect()}
+    clean = {r.doc_id: r for r in secrets.redact(docs, model=forest).collect()}
     assert len(clean) == len(SECRET_CASES) and clean[7].text is None and clean[3].text == SECRET_CASES[3][0]
     assert clean[9].text == 'a [SECRET] and\npassword=[SECRET] é 😀 token = "[SECRET]"' and clean[9].n_chars == len(clean[9].text)
-    assert secrets.findings(docs.where("false")).count() == 0
+    assert secrets.findings(docs.where("false"), forest).count() == 0
 
 
 LETTERS = "abQdefGhijKlmNopqRstuVwxyzABcdEf"
@@ -518,22 +523,90 @@ WHOLE_CASES = [
     ("DB_PASSWORD=hunter2x", "hunter2x"), ("MY_SECRET=s3cr3tvalue", "s3cr3tvalue"), ("access_token: abcdefghijklmnop", "abcdefghijklmnop"), ("secret_key=tr0ub4dor", "tr0ub4dor"),
     (f"aws_secret_access_key = {LETTERS}", LETTERS), ("password=ab,cdefghijk", "ab,cdefghijk"), ("x 'password': 'my s3cret, p;ss<word' y", "my s3cret, p;ss<word"), (f"his key is {LETTERS}{LETTERS} there", LETTERS * 2),
     ("password      = hunter2x9", "hunter2x9"), ("PASSWORD\t\t\t\t= b7db7aa4a5", "b7db7aa4a5"), ("token:" + " " * 50 + "ab12cd34ef56", "ab12cd34ef56"),
+    ("go postgres://admin:S3cretPw9@db.host now", "S3cretPw9"), ("my password is hunter2andmore.", "hunter2andmore"),
     (f"a {KEY_BLOCK} b", KEY_BLOCK), (KEY_BLOCK[:300], KEY_BLOCK[:300]), ("Server=x;Password=hunter2xy;Database=z", "hunter2xy"), ("<p>token=ab12cd34ef56</p>", "ab12cd34ef56"), ("config.database.password=hunter2x9", "hunter2x9"),
 ]
 
 
-def test_secrets_are_found_whole(spark):
+# shapes, names and sentences that the labelled findings do not have
+def held_out(seed=5, each=12):
+    import random
+    import string
+
+    r = random.Random(seed)
+    some = lambda chars, n: "".join(r.choice(chars) for _ in range(n))
+    mixed, lower_digits, hexs = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits, "0123456789abcdef"
+    for _ in range(each):
+        v = some(lower_digits, 9) + "7"
+        yield v, f"login_passwd => {v}, then", True
+        v = some(mixed, 10) + "4"
+        yield v, f"clone it from ftp://deploy:{v}@files.internal/x", True
+        v = some(lower_digits, 8) + "2k"
+        yield v, f"Tell them the passphrase is now {v}, thanks.", True
+        v = some(mixed, 40) + "9"
+        yield v, f"curl -H 'Authorization: Bearer {v}' host", True
+        v = "xoxb-" + some(string.digits, 11) + "-" + some(mixed, 20)
+        yield v, f"the bot runs with {v} at night", True
+        v = "ASIA" + some(string.ascii_uppercase + string.digits, 16)
+        yield v, f"id={v}\nregion=eu", True
+        v = some(hexs, 32)
+        yield v, f"STRIPE_SECRET: {v}\n", True
+        yield None, f"tree {some(hexs, 40)}\nparent {some(hexs, 40)}", False
+        yield None, f"resolved with integrity sha384-{some(mixed, 64)} there", False
+        yield None, f"ecdsa AAAAE2VjZHNhLXNoYTItbmlzdHAyNTYA{some(mixed, 60)} ann@laptop", False
+        yield None, f"read the-quick-brown-fox-of-{r.choice(['march', 'april'])} aloud", False
+        yield None, f"token count: {r.randrange(10, 9000)} of 8192", False
+        yield None, f"password: {r.choice(['<your password>', '$PASSWORD', 'None', '********', 'required'])}\n", False
+        yield None, f"open /usr/local/share/{r.choice(['doc', 'man'])}/package/readme.txt first", False
+        yield None, f"isbn 978{some(string.digits, 13)} is out", False
+        yield None, f"url('data:image/gif;base64,R0lGODlh{some(mixed, 50)}')", False
+
+
+def test_secrets_held_out_precision_and_recall(spark, forest):
+    cases = list(held_out())
+    docs = spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(cases)], DOCS)
+    said = [(r.doc_id, r.value) for r in secrets.findings(docs, forest, with_value=True).where("is_secret").collect()]
+    right = sum(1 for i, v in said if cases[i][0] is not None and v.strip("\"',.") == cases[i][0])
+    wanted = sum(1 for _, _, y in cases if y)
+    print("precision", right / len(said), "recall", right / wanted, [(cases[i][1], v) for i, v in said if v != cases[i][0]], [cases[i][1] for i in range(len(cases)) if cases[i][2] and i not in {j for j, _ in said}][:9])
+    assert right / len(said) >= 0.9 and right / wanted >= 0.9
+
+
+def test_secret_candidates_are_those_of_a_plain_scan(spark, forest):
+    import regex
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    plain = regex.compile(secrets.CANDIDATE.replace(r"\z", r"\Z"))
+    lead = regex.compile(secrets.LEAD)
+    want = set()
+    for r in docs.collect():
+        for m in plain.finditer(r.text or ""):
+            n = lead.match(m[0])
+            start = m.start() + (n.end() if n else 0)
+            want.add((r.doc_id, start, m.end() - start))
+    got = {(r.doc_id, r.start, r.length) for r in secrets.findings(docs, forest).collect()}
+    assert got == want and len(got) > 5
+
+
+def test_dictionary_counts_documents(spark):
+    rows = [(i, f"common word{i} x1common Common" if i < 25 else "rare rare rare") for i in range(44)] + [(None, None), (99, "")]
+    assert secrets.dictionary(spark.createDataFrame(rows, DOCS)) == ["common"]
+    known = spark.createDataFrame([(["theQuickFox", "a1b2", "QUICK"],)], "m array<string>").select(secrets.known_letters("m", ["quick", "fox"])).first()[0]
+    assert known == [8, 0, 5]
+
+
+def test_secrets_are_found_whole(spark, forest):
     none = ["password=", 'token: ""', "-" * 40, "Schpfgegebeungerenheit ist es", "my_long_variable_name_here", "token == none", "token" * 9000]
     docs = spark.createDataFrame(list(enumerate([*(t for t, _ in WHOLE_CASES), *none])), DOCS)
     found = {}
-    for r in secrets.findings(docs, with_value=True).where("is_secret").collect():
+    for r in secrets.findings(docs, forest, with_value=True).where("is_secret").collect():
         found.setdefault(r.doc_id, []).append(r.value)
     assert found == {i: [v] for i, (_, v) in enumerate(WHOLE_CASES)}
 
 
-def test_secret_places(spark):
+def test_secret_places(spark, forest):
     text = f'é password=b7db7aa4a5fcc78305\n token = "{HEX}" x'
-    for r in secrets.findings(spark.createDataFrame([(1, text)], DOCS), with_value=True).collect():
+    for r in secrets.findings(spark.createDataFrame([(1, text)], DOCS), forest, with_value=True).collect():
         assert text[r.start : r.start + r.length] == r.value
 
 
