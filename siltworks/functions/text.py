@@ -21,9 +21,14 @@ def strip_tags(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(text, r"(^|\s)#[^\s#]+", "$1"), r"\s+", " "))
 
 
+#: Unicode's space separators.
+BLANKS = " \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
+
+
 def first_line(text: Column, limit: int = 90) -> Column:
-    """The first line that is not blank, at most ``limit`` characters."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    """The first line that is not blank, without blanks around it, at most ``limit`` characters."""
+    # by a lambda: F.trim has a second parameter, which F.transform would give the line's index
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x, F.lit(BLANKS))), lambda x: x != "")
     return F.left(F.coalesce(F.get(lines, F.lit(0)), F.lit("")), F.lit(limit))
 
 

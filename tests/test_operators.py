@@ -120,6 +120,13 @@ def test_text_pieces():
     assert "".join(soft) == prose and max(map(len, soft)) <= 1800
 
 
+def test_first_line_keeps_digits_and_drops_blanks(spark):
+    cases = ["0 call 555-8630\nx", "\n 1 of 1 \n2", " \u3000\n\u00a0 22 a2\u2003\n", "  both  ", "tab\t \r", "\u200b", " \n ", "", None, "é" * 5 + " 0123456"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, s string").orderBy("i")
+    got = [r[0] for r in df.select(text.first_line(F.col("s"), 15)).collect()]
+    assert got == ["0 call 555-8630", "1 of 1", "22 a2", "both", "tab\t \r", "\u200b", "", "", "", "é" * 5 + " 0123456"]
+
+
 def test_truncate_utf8(spark):
     cases = ["short", "é" * 10, "日本語テキスト", "a" * 9 + "😀", "", None]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, s string").orderBy("i")
