@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltworks.sources.state import kept
+
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], limit: int, rank: str = "rank") -> DataFrame:
     """The first ``limit`` rows of each group. Spark prunes in each task before the shuffle."""
@@ -51,15 +53,19 @@ def numbered(df: DataFrame, group: str, order: str, out: str = "number") -> Data
     """Adds ``out``: 1, 2, ... by ``order`` inside each group, without gathering a group in one task.
 
     Rows are dealt into ranges of (group, order) and counted inside them; a range's
-    offset for a group is what earlier ranges hold of it.
+    offset for a group is what earlier ranges hold of it. The rows are written with
+    their range: ranges come from a sample and are merged by size, so a plan that
+    deals the rows out twice gets two different divisions.
     """
-    ranged = df.repartitionByRange(group, order).sortWithinPartitions(group, order).withColumn("__part", F.spark_partition_id())
+    ranged = kept(df.repartitionByRange(group, order).withColumn("__part", F.spark_partition_id()), "numbered")
     placed = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__part", group).orderBy(order)))
     # one row for each range and group that meet
     sizes = placed.groupBy("__part", group).agg(F.count("*").alias("__size"))
     before = F.sum("__size").over(Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("__part", group, F.coalesce(before, F.lit(0)).alias("__start"))
-    return placed.join(offsets, ["__part", group]).withColumn(out, (F.col("__start") + F.col("__n")).cast("long")).drop("__part", "__n", "__start")
+    offsets = sizes.select(F.col("__part").alias("__in"), F.col(group).alias("__of"), F.coalesce(before, F.lit(0)).alias("__start"))
+    # rows without a group are a group too
+    both = placed.join(offsets, (F.col("__part") == F.col("__in")) & F.col(group).eqNullSafe(F.col("__of")))
+    return both.withColumn(out, (F.col("__start") + F.col("__n")).cast("long")).select(*df.columns, out)
 
 
 def after_cursor(df: DataFrame, key: str, cursor, limit: int) -> DataFrame:
