@@ -6,8 +6,8 @@ that version and the later ones of its id, and no other id. Acknowledgements are
 state, so a run that starts again delivers nothing twice and goes on where the last
 one stopped: only the stage that failed is tried again.
 
-State is kept for each id with Spark's state store: the queue of versions that are
-not delivered, the last version each sink acknowledged, and what is held.
+State is kept for each id with Spark's state store, as one value: the queue of
+versions that are not delivered, the last version each sink acknowledged, and what is held.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 #: A row without a version wakes its id: what is held is tried again.
 INBOX = "id string, version string, seq long"
 LOG = "id string, version string, seq long, sink string, outcome string, reason string, attempt int, batch_step int"
+#: What is known of an id: the last number queued, its steps, what each sink acknowledged, what is held, and the queue.
+STATE = "seq long, steps int, first string, second string, held_version string, held_sink string, attempts int, versions array<string>, seqs array<long>"
 #: sink(id, version, attempt) -> None if it was written and read back, else the reason why not.
 Sink = Callable[[str, str, int], str | None]
 
@@ -33,55 +35,48 @@ class Outbox(StatefulProcessor):
         self.sinks, self.paused, self.limit = sinks, paused, versions_a_step
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.queue = handle.getListState("queue", "version string, seq long")
-        self.last = handle.getValueState("last", "seq long, steps int")
-        self.receipts = handle.getMapState("receipts", "sink string", "version string")
-        self.held = handle.getValueState("held", "version string, sink string, attempts int")
+        self.state = handle.getValueState("outbox", STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        """State is read and written once for an id and batch, not for each version: every access is a round trip to the JVM."""
         ident = key[0]
-        seq, steps = self.last.get() or (None, 0)
-        waiting = [tuple(x) for x in self.queue.get()]
-        known = {x[1] for x in waiting}
+        seq, steps, first, second, *held, versions, seqs = self.state.get() or (None, 0, None, None, None, None, 0, [], [])
+        receipts, held = [first, second], tuple(held) if held[0] is not None else None
+        waiting = list(zip(versions, seqs, strict=True))
         for row in sorted(((r.version, r.seq) for r in rows if r.version is not None), key=lambda r: r[1]):
-            # what was queued before, delivered or not, is not queued again
-            if row[1] not in known and (seq is None or row[1] > seq):
+            # numbers only grow: what was queued before, delivered or not, is not queued again
+            if seq is None or row[1] > seq:
                 waiting.append(row)
-                known.add(row[1])
                 seq = row[1]
         steps += 1
-        tried, out = 0, []
-        while waiting and not self.paused(ident) and (self.limit is None or tried < self.limit):
+        tried, done, out = 0, 0, []
+        while done < len(waiting) and not self.paused(ident) and (self.limit is None or tried < self.limit):
             tried += 1
-            done, entries = self.deliver(ident, *waiting[0], steps)
+            held, entries = self.deliver(ident, *waiting[done], steps, receipts, held)
             out += entries
-            if not done:
+            if held is not None:
                 break
-            waiting.pop(0)
-        self.queue.put(waiting) if waiting else self.queue.clear()
-        self.last.update((seq, steps))
+            done += 1
+        rest = waiting[done:]
+        self.state.update((seq, steps, *receipts, *(held or (None, None, 0)), [v for v, _ in rest], [n for _, n in rest]))
         yield from out
 
-    def deliver(self, ident: str, version: str, seq: int, step: int) -> tuple[bool, list[Row]]:
-        """Take one version through the stages that it has not passed."""
+    def deliver(self, ident: str, version: str, seq: int, step: int, receipts: list[str | None], held: tuple | None) -> tuple[tuple | None, list[Row]]:
+        """Take one version through the stages that it has not passed; returns what is held now, and the attempts."""
         out = []
-        held = self.held.get()
         for at, (name, sink) in enumerate(self.sinks):
-            again = held is not None and tuple(held)[:2] == (version, name)
-            passed = self.receipts.containsKey((name,)) and self.receipts.getValue((name,))[0] == version
-            if at == 0 and passed and not again:
+            again = held is not None and held[:2] == (version, name)
+            if at == 0 and receipts[0] == version and not again:
                 continue
             attempt = held[2] + 1 if again else 1
             reason = sink(ident, version, attempt)
             out.append(Row(id=ident, version=version, seq=seq, sink=name, outcome="held" if reason else "verified", reason=reason, attempt=attempt, batch_step=step))
             if reason:
-                self.held.update((version, name, attempt))
-                return False, out
-            self.receipts.updateValue((name,), (version,))
+                return (version, name, attempt), out
+            receipts[at] = version
             if again:
-                self.held.clear()
                 held = None
-        return True, out
+        return None, out
 
 
 @contextmanager
