@@ -17,7 +17,7 @@ from siltworks.operators.joining import look_up
 from siltworks.sources.state import forget, kept
 
 
-def walk(nodes: DataFrame, key: str, parent: str, any_of: Sequence[str] = (), limit: int = 30, trail: bool = False) -> DataFrame:
+def walk(nodes: DataFrame, key: str, parent: str, any_of: Sequence[str] = (), limit: int = 30, trail: bool = False, steps: str | None = None) -> DataFrame:
     """Rows (key, parent, root, depth, outcome, columns of ``any_of``, and the trail if asked for).
 
     ``outcome`` is ``ok``, ``repeated`` (the key comes twice; its smallest parent
@@ -25,10 +25,11 @@ def walk(nodes: DataFrame, key: str, parent: str, any_of: Sequence[str] = (), li
     node below it) or ``too_deep`` (more than ``limit`` steps from the root). A
     column of ``any_of`` is true where it is for the node or a node on its way up.
     On and below cycles root, depth and trail are null. ``trail`` has the keys from
-    the root, of nodes up to ``limit`` deep. Rows without a key are left out.
+    the root, of nodes up to ``limit`` deep. Rows without a key are left out. A
+    column ``steps`` says how many steps a node is below its parent, 1 if not given.
     """
     one = nodes.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(
-        F.min(parent).alias("parent"), (F.count("*") > 1).alias("twice"), *(F.coalesce(F.max(F.col(c)), F.lit(False)).alias(f"f{i}") for i, c in enumerate(any_of)),
+        F.min(parent).alias("parent"), (F.count("*") > 1).alias("twice"), (F.min(steps) if steps else F.lit(1)).cast("long").alias("steps"), *(F.coalesce(F.max(F.col(c)), F.lit(False)).alias(f"f{i}") for i, c in enumerate(any_of)),
     )
     flags = [f"f{i}" for i in range(len(any_of))]
     one = kept(one, "tree-nodes")
@@ -36,7 +37,7 @@ def walk(nodes: DataFrame, key: str, parent: str, any_of: Sequence[str] = (), li
     known = look_up(one, "parent", one.select(F.col("id").alias("above"), F.lit(True).alias("here")), "above")
     end = F.when(F.col("parent").isNull(), "ok").when(F.col("here").isNull(), "orphan")
     start = known.select(
-        "id", "parent", "twice", *flags, end.alias("end"), F.when(F.col("here"), F.col("parent")).alias("up"), F.when(F.col("here"), 1).otherwise(0).cast("long").alias("hops"),
+        "id", "parent", "twice", *flags, end.alias("end"), F.when(F.col("here"), F.col("parent")).alias("up"), F.when(F.col("here"), F.col("steps")).otherwise(0).alias("hops"),
         F.when(F.col("here").isNull(), F.col("id")).alias("root"), *([F.col("id").cast("string").alias("trail")] if trail else []),
     )
     state, reach = kept(start, "tree"), 1
@@ -61,6 +62,10 @@ def walk(nodes: DataFrame, key: str, parent: str, any_of: Sequence[str] = (), li
     )
 
 
+#: So many numbers of a chain are searched for runs in one task at most.
+BLOCK = 1 << 16
+
+
 def admitted_chain(receipts: DataFrame, key: str, previous: str, sequence: str, chain: str) -> DataFrame:
     """Receipts that name the one before them: rows (key, chain, sequence, depth, outcome).
 
@@ -68,26 +73,63 @@ def admitted_chain(receipts: DataFrame, key: str, previous: str, sequence: str,
     the way back is missing; ``fork`` where on the way back two receipts name one
     before them, or two of a chain have one sequence number; ``misnumbered`` where
     a number is not one more than the one before; else ``admitted``.
+
+    Most receipts name their neighbour by number. Such runs are found by windows over
+    blocks of a chain's numbers, and only their heads are looked up and walked; the
+    others stand a known number of steps below their head. So receipts are shuffled
+    a fixed number of times, however long the chains; where no receipt names its
+    neighbour, each is a run and all are walked.
     """
     own = receipts.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(previous).alias("before"), F.col(sequence).alias("number"), F.col(chain).alias("chain"))
-    children = own.where("before is not null").groupBy("before").agg((F.countDistinct("id") > 1).alias("__fork"))
-    anchors = own.groupBy("chain", "number").agg((F.countDistinct("id") > 1).alias("__two"))
-    numbered = own.join(anchors, ["chain", "number"], "left")
-    forked = look_up(numbered, "before", children.withColumnRenamed("before", "of"), "of")
-    parents = look_up(forked, "before", own.groupBy("id").agg(F.min("number").alias("last")).withColumnRenamed("id", "of"), "of")
-    marked = kept(
-        parents.select(
-            "id", "before", "number", "chain", (F.coalesce("__fork", F.lit(False)) | F.coalesce("__two", F.lit(False))).alias("forked"),
-            F.coalesce(F.col("number") != F.col("last") + 1, F.lit(False)).alias("misnumbered"),
+    repeated = kept(own.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id", F.lit(True).alias("twice")), "receipts-repeated")
+    marked = own.withColumn("twice", F.lit(False)) if repeated.isEmpty() else own.join(repeated, "id", "left").withColumn("twice", F.coalesce("twice", F.lit(False)))
+    # rows without a chain or number have no neighbours; a hash deals them out
+    placed = F.col("chain").isNotNull() & F.col("number").isNotNull()
+    blocks = marked.withColumn("block", F.when(placed, F.floor(F.col("number") / BLOCK)).otherwise(F.xxhash64("id")).cast("long"))
+    block = Window.partitionBy("chain", "block").orderBy("number", "id")
+    same = Window.partitionBy("chain", "block", "number")
+    near = lambda c: F.lag(c).over(block)
+    follows = F.coalesce(placed & (F.col("before") == near("id")) & ~F.col("twice") & ~near("twice"), F.lit(False))
+    seen = blocks.withColumn("follows", follows).withColumn("two", placed & (F.min("id").over(same) != F.max("id").over(same)))
+    seen = seen.withColumn("odd", F.col("follows") & (F.col("number") != near("number") + 1)).withColumn("run", F.sum((~F.col("follows")).cast("long")).over(block.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy("chain", "block", "run").orderBy("number", "id")
+    to_here = run.rowsBetween(Window.unboundedPreceding, 0)
+    nodes = kept(
+        seen.select(
+            "id", F.when(~F.col("follows"), F.col("before")).alias("before"), "number", "chain", "twice", F.first("id").over(to_here).alias("head"), (F.row_number().over(run) - 1).cast("long").alias("at"),
+            F.max("two").over(to_here).alias("two"), F.max("odd").over(to_here).alias("odd"), F.coalesce(F.lead("follows").over(run), F.lit(False)).alias("followed"),
         ),
         "receipts",
     )
-    found = walk(marked, "id", "before", any_of=["forked", "misnumbered"], limit=1 << 62)
-    outcome = (
-        F.when(F.col("outcome").isin("repeated", "cycle"), F.col("outcome")).when(F.col("outcome") == "orphan", "gap").when(F.col("forked"), "fork").when(F.col("misnumbered"), "misnumbered").otherwise("admitted")
+    # what a head's pointer meets: the run it enters, and how far down
+    heads = nodes.where("at = 0").select("id", "before", "number", "two")
+    named = heads.where("before is not null").groupBy("before").agg(F.count_distinct("id").alias("n"))
+    met = nodes.join(named.select(F.col("before").alias("id")), "id", "left_semi").groupBy("id").agg(
+        F.min("head").alias("to"), F.min("at").alias("down"), F.max("two").alias("to_two"), F.max("odd").alias("to_odd"), F.min("number").alias("last"), F.max("followed").alias("followed")
+    )
+    facts = kept(named.join(met.withColumnRenamed("id", "before"), "before", "left").withColumn("fork", F.col("n") + F.coalesce("followed", F.lit(False)).cast("int") > 1), "receipts-named")
+    # the first receipt of a run that is forked because a head of another run names the one before it, too
+    cuts = facts.where("fork and followed").groupBy("to").agg((F.min("down") + 1).alias("cut"))
+    entered = look_up(heads, "before", facts.select(F.col("before").alias("of"), "to", "down", "to_two", "to_odd", "last", "fork"), "of")
+    entered = look_up(entered, "to", cuts.withColumnRenamed("to", "of"), "of")
+    off = lambda c: F.coalesce(c, F.lit(False))
+    edges = entered.select(
+        "id", F.coalesce("to", "before").alias("parent"), (F.col("down") + 1).alias("steps"), (off(F.col("fork")) | F.col("two") | off(F.col("to_two")) | off(F.col("down") >= F.col("cut"))).alias("forked"),
+        (off(F.col("number") != F.col("last") + 1) | off(F.col("to_odd"))).alias("misnumbered"), "before",
+    )
+    # of a repeated receipt the smallest name counts, as walk takes it; the marks of all its rows
+    edges = edges.groupBy("id").agg(F.min_by("parent", "before").alias("parent"), F.min_by("steps", "before").alias("steps"), F.max("forked").alias("forked"), F.max("misnumbered").alias("misnumbered"))
+    walked = walk(edges, "id", "parent", any_of=["forked", "misnumbered"], limit=1 << 62, steps="steps")
+    ends = walked.join(cuts.withColumnRenamed("to", "id"), "id", "left").select(F.col("id").alias("of"), F.col("depth").alias("head_depth"), "outcome", "forked", "misnumbered", "cut")
+    one = nodes if repeated.isEmpty() else nodes.where("not twice").drop("before").unionByName(
+        nodes.where("twice").groupBy("id").agg(F.min("number").alias("number"), F.min("chain").alias("chain"), F.lit(True).alias("twice"), F.first("head").alias("head"), F.min("at").alias("at"), F.max("two").alias("two"), F.max("odd").alias("odd"), F.max("followed").alias("followed"))
     )
-    named = marked.groupBy("id").agg(F.min("chain").alias("chain"), F.min("number").alias("number"))
-    return found.withColumn("__o", outcome).join(named, "id").select(F.col("id").alias(key), "chain", F.col("number").alias("sequence"), "depth", F.col("__o").alias("outcome"))
+    found = one.select("id", "chain", "number", "twice", "head", "at", "two", "odd").join(ends, F.col("head") == F.col("of"))
+    outcome = (
+        F.when(F.col("twice"), "repeated").when(F.col("outcome") == "cycle", "cycle").when(F.col("outcome") == "orphan", "gap").when(F.col("forked") | F.col("two") | off(F.col("at") >= F.col("cut")), "fork")
+        .when(F.col("misnumbered") | F.col("odd"), "misnumbered").otherwise("admitted")
+    )
+    return found.select(F.col("id").alias(key), "chain", F.col("number").alias("sequence"), (F.col("head_depth") + F.col("at")).alias("depth"), outcome.alias("outcome"))
 
 
 def path_history(creations: DataFrame, renames: DataFrame, path: str = "path", source: str = "source", at: str = "at") -> DataFrame:

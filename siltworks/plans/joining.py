@@ -159,10 +159,12 @@ def receipt_chains(spark, sf_dir):
     from pyspark.sql import Window
 
     w, e = Window.partitionBy("user_id").orderBy("event_id"), F.col("event_id")
-    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.md5(F.concat_ws(":", "user_id", "event_id")).alias("own"))
+    own = lambda c: F.when(c.isNotNull(), F.md5(F.concat_ws(":", "user_id", c)))
     number = F.row_number().over(w) + (e % 503 == 11).cast("int")
-    before = F.when(e % 401 == 7, "lost").when(e % 307 == 9, F.lag("own", 2).over(w)).when(e % 211 == 5, F.lead("own").over(w)).otherwise(F.lag("own").over(w))
-    made = rows.select("user_id", F.col("own").alias("receipt"), before.alias("before"), number.cast("long").alias("number"))
+    near = F.when(e % 307 == 9, F.lag("event_id", 2).over(w)).when(e % 211 == 5, F.lead("event_id").over(w)).otherwise(F.lag("event_id").over(w))
+    # receipts are hashed behind the window, which sorts numbers only
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id").select("user_id", "event_id", near.alias("near"), number.cast("long").alias("number"))
+    made = rows.select("user_id", own(e).alias("receipt"), F.when(e % 401 == 7, "lost").otherwise(own(F.col("near"))).alias("before"), "number")
     return trees.admitted_chain(made, "receipt", "before", "number", "user_id")
 
 
