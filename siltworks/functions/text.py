@@ -188,18 +188,34 @@ def keywords_in(text: Column, words: tuple[str, ...]) -> Column:
     return F.array_compact(F.array(*(F.when(hit(w), w) for w in words)))
 
 
+#: Characters of pieces that a task gathers before it hands them on.
+GATHERED = 1 << 20
+
+
 def split_rows(df: DataFrame, key: str, text: str, split: Callable[[str], Iterator[str]], out: str = "chunk") -> DataFrame:
-    """Rows (key, pos, chunk) from a Python splitter, run over Arrow batches; null and empty texts give no row."""
+    """Rows (key, pos, chunk) from a Python splitter, run over Arrow batches; null and empty texts give no row.
+
+    Texts are taken from a batch one by one and pieces go on by about a million
+    characters, so a task holds its input batch, one text and that much of pieces.
+    """
+
+    def made(rows, schema):
+        keys, places, parts = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys, schema.field(0).type), pa.array(places, pa.int64()), pa.array(parts, pa.string())], [key, "pos", out])
 
     def run(batches):
         for b in batches:
-            keys, places, parts = [], [], []
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for i, part in enumerate(split(t) if t else ()):
-                    keys.append(k)
-                    places.append(i)
-                    parts.append(part)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, b.schema.field(0).type), pa.array(places, pa.int64()), pa.array(parts, pa.string())], [key, "pos", out])
+            rows, size = [], 0
+            for k, t in zip(b.column(0), b.column(1), strict=True):
+                plain = t.as_py()
+                for i, part in enumerate(split(plain) if plain else ()):
+                    rows.append((k.as_py(), i, part))
+                    size += len(part)
+                    if size >= GATHERED:
+                        yield made(rows, b.schema)
+                        rows, size = [], 0
+            if rows:
+                yield made(rows, b.schema)
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, text).mapInArrow(run, f"{key} {kind}, pos long, {out} string")

@@ -2,6 +2,7 @@
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,28 @@ def test_text_pieces():
     assert "".join(soft) == prose and max(map(len, soft)) <= 1800
 
 
+def test_pieces_go_on_before_a_batch_is_split(spark):
+    """Pieces of a batch are not all held at once: the splitter is at most ``GATHERED`` characters ahead of what went on."""
+
+    class Frame:
+        schema = spark.createDataFrame([], "k long, t string").schema
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    run, given = text.split_rows(Frame(), "k", "t", lambda t: (given.append(len(t)), iter([t]))[1]), []
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(["x" * (text.GATHERED // 4)] * 38 + [None, ""])], ["k", "t"])
+    ahead, rows = 0, []
+    for part in run(iter([batch])):
+        rows += part.to_pylist()
+        ahead = max(ahead, part.num_rows)
+        assert len(given) == len(rows)
+    assert ahead == 4 and [r["k"] for r in rows] == list(range(38))
+
+
 def test_first_line_keeps_digits_and_drops_blanks(spark):
     cases = ["0 call 555-8630\nx", "\n 1 of 1 \n2", " \u3000\n\u00a0 22 a2\u2003\n", "  both  ", "tab\t \r", "\u200b", " \n ", "", None, "é" * 5 + " 0123456"]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, s string").orderBy("i")
