@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.operators import ranking
-from siltworks.operators.merging import batches_within
+from siltworks.operators.merging import batch_ends
 from siltworks.sources.state import forget, kept
 
 #: Places whose rows are summed into one fingerprint.
@@ -84,18 +84,17 @@ def append_plan(wanted: DataFrame, seen: DataFrame, intents: DataFrame, key: str
     outcome = (
         F.when(F.col("bad_at").isNotNull(), "modified").when(F.col("up_to") > F.col("n_seen"), "reconcile").when(F.size("rest") == 0, "complete").when(F.col("largest") > bytes_, "too_large").otherwise("append")
     )
-    numbered = batches_within(F.transform("rest", lambda x: F.array(F.lit(1).cast("long"), x["size"])), [count, bytes_])
-    with_batches = known.withColumn("outcome", outcome).withColumn("no", F.when(F.col("outcome") == "append", numbered))
+    counted = batch_ends(F.transform("rest", lambda x: F.array(F.lit(1).cast("long"), x["size"])), [count, bytes_])
 
-    def ends(b: Column) -> Column:
-        first = F.array_position("no", b)
-        of = F.size(F.filter("no", lambda x: x == b))
-        return F.struct(F.get("rest", (first - 1).cast("int"))["at"].alias("first"), F.get("rest", (first - 2 + of).cast("int"))["at"].alias("last"))
+    def spans(rest: Column, ends: Column) -> Column:
+        begin = lambda i: F.when(i > 0, F.get(ends, i - 1)).otherwise(0)
+        return F.transform(ends, lambda e, i: F.struct(F.get(rest, begin(i))["at"].alias("first"), F.get(rest, e - 1)["at"].alias("last")))
 
+    # the ends as an element, so that they are worked out once
+    with_batches = known.withColumn("outcome", outcome).withColumn("batches", F.when(F.col("outcome") == "append", F.get(F.transform(F.array(counted), lambda ends: spans(F.col("rest"), ends)), F.lit(0))))
     return with_batches.select(
-        key, F.coalesce("bad_at", F.least("n_seen", "n")).cast("long").alias("shared"), F.when(F.col("outcome") == "append", F.size("rest")).otherwise(0).cast("long").alias("todo"), "outcome",
-        F.when(F.col("outcome") == "append", F.transform(F.array_distinct("no"), ends)).alias("batches"),
-    )
+        key, F.coalesce("bad_at", F.least("n_seen", "n")).cast("long").alias("shared"), F.when(F.col("outcome") == "append", F.size("rest")).otherwise(0).cast("long").alias("todo"), "outcome", "batches"
+    )
 
 
 def share_budget(candidates: DataFrame, group: str, key: str, kind: str, order: str, budget: int = 100, reserve: int = 25) -> tuple[DataFrame, DataFrame]:

@@ -49,23 +49,31 @@ def batches(items: Column, count: int, weight: int) -> Column:
     return F.aggregate(items, start, add)["out"]
 
 
-def batches_within(items: Column, limits: Sequence[int]) -> Column:
-    """Batch number of each item of an ordered array of weights (one array each): greedy, under all ``limits`` at once.
+def batch_ends(items: Column, limits: Sequence[int]) -> Column:
+    """Places behind each batch of an ordered array of weights (one array each): greedy, under all ``limits`` at once.
 
-    An item over a limit by itself has a batch of its own.
+    An item over a limit by itself has a batch of its own. The array grows by one
+    for each batch, not for each item, so long arrays cost little more than their length.
     """
     fields = [f"w{i}" for i in range(len(limits))]
-    start = F.struct(F.lit(-1).alias("batch"), *(F.lit(0).cast("long").alias(f) for f in fields), F.array().cast("array<int>").alias("out"))
+    start = F.struct(F.lit(0).alias("n"), *(F.lit(0).cast("long").alias(f) for f in fields), F.array().cast("array<int>").alias("out"))
 
     def add(a: Column, x: Column) -> Column:
-        full = a["batch"] < 0
+        full = F.lit(False)
         for i, (f, limit) in enumerate(zip(fields, limits, strict=True)):
             full = full | (a[f] + x[i] > limit)
-        batch = a["batch"] + full.cast("int")
+        full = (a["n"] > 0) & full
         sums = [F.when(full, x[i]).otherwise(a[f] + x[i]).alias(f) for i, f in enumerate(fields)]
-        return F.struct(batch.alias("batch"), *sums, F.concat(a["out"], F.array(batch)).alias("out"))
+        return F.struct((a["n"] + 1).alias("n"), *sums, F.when(full, F.concat(a["out"], F.array(a["n"]))).otherwise(a["out"]).alias("out"))
 
-    return F.aggregate(items, start, add)["out"]
+    return F.aggregate(items, start, add, lambda a: F.when(a["n"] > 0, F.concat(a["out"], F.array(a["n"]))).otherwise(a["out"]))
+
+
+def batches_within(items: Column, limits: Sequence[int]) -> Column:
+    """Batch number of each item of an ordered array of weights; see :func:`batch_ends`."""
+    numbers = lambda ends: F.flatten(F.transform(ends, lambda e, i: F.array_repeat(i, e - F.when(i > 0, F.get(ends, i - 1)).otherwise(0))))
+    # as an element, so that the ends are worked out once
+    return F.get(F.transform(F.array(batch_ends(items, limits)), numbers), F.lit(0))
 
 
 def merge_runs(items: Column) -> Column:

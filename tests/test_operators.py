@@ -1,6 +1,7 @@
 """Properties of operators on small tables, nulls and ties included."""
 
 import json
+import random
 
 import pyarrow as pa
 import pytest
@@ -143,6 +144,30 @@ def test_pieces_go_on_before_a_batch_is_split(spark):
     assert ahead == 4 and [r["k"] for r in rows] == list(range(38))
 
 
+def test_batches_of_long_lists(spark):
+    """Every batch against a plain loop; 150,000 items in seconds, which copying the numbers for each item does not reach."""
+    from time import monotonic
+
+    def plain(sizes):
+        out, n, total = [], 0, 0
+        for s in sizes:
+            if not out or n + 1 > 100 or total + s > 300:
+                out, n, total = [*out, (out[-1] + 1) if out else 0], 0, 0
+            else:
+                out = [*out, out[-1]]
+            n, total = n + 1, total + s
+        return out
+
+    pick = random.Random(3)
+    cases = [[], [500], [1] * 250, [500, 500, 1], *([pick.choice([0, 1, 7, 90, 301]) for _ in range(pick.randrange(300))] for _ in range(20))]
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, s array<long>").withColumn("x", F.transform("s", lambda v: F.array(F.lit(1).cast("long"), v)))
+    assert {r.i: r.b for r in rows.select("i", merging.batches_within(F.col("x"), [100, 300]).alias("b")).collect()} == {i: plain(c) for i, c in enumerate(cases)}
+    started = monotonic()
+    long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(150_000)), lambda v: F.array(F.lit(1).cast("long"), F.lit(5).cast("long"))).alias("x"))
+    got = long.select(merging.batches_within(F.col("x"), [100, 300]).alias("b")).select(F.size("b"), F.array_max("b")).first()
+    assert tuple(got) == (150_000, 2499) and monotonic() - started < 10
+
+
 def test_first_line_keeps_digits_and_drops_blanks(spark):
     cases = ["0 call 555-8630\nx", "\n 1 of 1 \n2", " \u3000\n\u00a0 22 a2\u2003\n", "  both  ", "tab\t \r", "\u200b", " \n ", "", None, "é" * 5 + " 0123456"]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, s string").orderBy("i")
